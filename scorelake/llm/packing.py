@@ -19,7 +19,6 @@ Null counts as empty: one piece, the end token.  Repeated rows are packed each o
 from __future__ import annotations
 
 import json
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,7 +34,6 @@ from ._spark import materialise
 CAPACITY = 1024
 END_TOKEN = 2
 VOCABULARY = "byte_bpe_50k.json"
-CACHE = 400_000
 
 
 def tokenizer_path(name: str = VOCABULARY) -> str:
@@ -56,66 +54,42 @@ def byte_ranks(path: str) -> dict[bytes, int]:
     return {bytes(letter[c] for c in token): i for token, i in vocabulary.items() if all(c in letter for c in token)}
 
 
-class WordCache:
-    """Ids of texts, a stretch between two words at a time; the same ids as ``tokenizers`` gives.
+class Encoder:
+    """Ids of whole texts, the same as ``tokenizers`` gives for the file.
 
-    The vocabulary's splitter starts a new piece at each blank after a character that is no white
-    space, so texts are cut there and each distinct stretch is encoded once.  Texts with white
-    space before a blank or a blank at an end are encoded whole.  The file of ``tokenizers`` is
-    run by tiktoken's encoder, which is several times as fast.
+    tiktoken's encoder runs the vocabulary: measured at 6.3 MB a second and core against 1.3 to
+    1.7 for ``tokenizers`` itself.  Special tokens' strings in a text are ordinary text.
     """
 
-    def __init__(self, path: str, limit: int = CACHE):
+    def __init__(self, path: str):
         import tiktoken
 
         ranks = byte_ranks(path)
+        # Ids are dense up to the special tokens, which stand after the merges.
         ranks = {token: i for token, i in ranks.items() if i < len(ranks)}
         self.encoder = tiktoken.Encoding("packing", pat_str=SPLITTER, mergeable_ranks=ranks, special_tokens={})
-        self.limit, self.known = limit, {}
-        self.whole = re.compile(r"\s\x20|\x20$|^\x20|\0")
 
-    def _encode(self, text: str) -> bytes:
+    def encode(self, text: str) -> bytes:
+        """Little-endian 32-bit ids."""
         ids = self.encoder.encode_ordinary(text)
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        if len(self.known) > self.limit:
-            self.known.clear()
-        known, out = self.known, []
-        for text in texts:
-            if self.whole.search(text):
-                out.append(self._encode(text))
-                continue
-            parts = text.replace(" ", "\0 ").split("\0")
-            for part in set(parts).difference(known):
-                known[part] = self._encode(part)
-            out.append(b"".join(map(known.__getitem__, parts)))
-        return out
-
-
-def tokenise(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, batch_chars: int = 1 << 20) -> DataFrame:
+
+def tokenise(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordCache(path)
+        encoder = Encoder(path)
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            out, at = [], 0
-            while at < len(texts):
-                held, size, first = [], 0, at
-                while at < len(texts) and (not held or size < batch_chars):
-                    held.append(texts[at].as_py() or "")
-                    size += len(held[-1])
-                    at += 1
-                for doc_id, raw in zip(doc_ids[first:at], words.encode(held)):
-                    raw += END_TOKEN.to_bytes(4, "little")
-                    n = len(raw) // 4
-                    start, length, piece = 0, n % capacity or capacity, 0
-                    while start < n:
-                        out.append((doc_id, piece, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)])))
-                        start, length, piece = start + length, capacity, piece + 1
+            out = []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw = encoder.encode(text.as_py() or "") + END_TOKEN.to_bytes(4, "little")
+                n = len(raw) // 4
+                start, length, piece = 0, n % capacity or capacity, 0
+                while start < n:
+                    out.append((doc_id, piece, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)])))
+                    start, length, piece = start + length, capacity, piece + 1
             columns = zip(*out) if out else [()] * 5
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
