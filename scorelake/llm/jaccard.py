@@ -18,9 +18,10 @@ leading document, linked ones merge to components, and then only pairs across co
 compared (one side always outside the column's largest component).  No link between different
 components is lost, so components are exact up to collisions of 64-bit shingle hashes.
 
-Empty and null texts have empty sets and link with nothing.  Repeated rows of one id are one
-document if their texts are equal; rows of one id with different texts count as linked.  Null ids
-are returned with a null component.  An empty table gives no rows; other columns are ignored.
+Empty and null texts have empty sets and link with nothing: each row is its own component.
+Repeated rows, and rows of one id with different texts, are rows like others: the component of a
+row is the smallest id among all rows it reaches, null if none of them has one.  An empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,10 +30,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import drop_scratch, materialise
+from ._spark import materialise
 from ._text import SPACE, mix, shingle_set, word_chunks
 from .components import connected_components
 
@@ -83,21 +84,25 @@ def common_shingles(docs: DataFrame, shingle: int, share: float = COMMON_SHARE)
     return values[by_value], place[by_value]
 
 
+def _node(columns: np.ndarray) -> int:
+    """A 64-bit identity of a set: the sum over its hashed columns."""
+    return int(mix(columns).sum(dtype=np.uint64).view(np.int64))
+
+
 def signatures(docs: DataFrame, shingle: int, num: int, den: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, n, two 64-bit sums over the set that identify it, and the first columns in order."""
+    """doc_id, digest of the text, node (what identifies the set), n, and the first columns in order."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, place = shared.value
         for batch in batches:
-            sizes, one_sum, two_sum, prefixes = [], [], [], []
+            sizes, nodes, prefixes = [], [], []
             for _, words in word_chunks(batch.column(1), SPACE, lower=True):
                 for d in range(len(words)):
                     s = shingle_set(words.hash[words.offsets[d] : words.offsets[d + 1]], shingle)
                     n = len(s)
                     sizes.append(n)
-                    one_sum.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)))
-                    two_sum.append(int(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)))
+                    nodes.append(_node(s))
                     if n and len(values):
                         at = np.minimum(np.searchsorted(values, s), len(values) - 1)
                         is_common = values[at] == s
@@ -107,30 +112,32 @@ def signatures(docs: DataFrame, shingle: int, num: int, den: int, common: tuple[
             lengths = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int32()), pa.array(one_sum, pa.int64()), pa.array(two_sum, pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))],
-                names=["doc_id", "n", "s1", "s2", "prefix"],
+                [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))],
+                names=["doc_id", "digest", "node", "n", "prefix"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n int, s1 long, s2 long, prefix array<long>")
+    return docs.select("doc_id", "text", "digest").mapInArrow(run, "doc_id long, digest long, node long, n int, prefix array<long>")
 
 
 def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, columns) of every text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = []
-            for _, words in word_chunks(batch.column(1), SPACE, lower=True):
-                sets += [shingle_set(words.hash[words.offsets[d] : words.offsets[d + 1]], shingle).view(np.int64) for d in range(len(words))]
+            for _, words in word_chunks(batch.column(0), SPACE, lower=True):
+                sets += [shingle_set(words.hash[words.offsets[d] : words.offsets[d + 1]], shingle) for d in range(len(words))]
             lengths = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))], names=["doc_id", "columns"])
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))], names=["node", "columns"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, columns array<long>")
+    return docs.select("text").mapInArrow(run, "node long, columns array<long>")
 
 
 def _multiply(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) that link: overlap counts of two sparse rows, each pair once."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("columns").alias("_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("columns").alias("_b"))
+    left = sets.select(F.col("node").alias("a"), F.col("columns").alias("_a"))
+    right = sets.select(F.col("node").alias("b"), F.col("columns").alias("_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "_a", "_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,55 +161,58 @@ def _multiply(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 def _possible(x: str, y: str, num: int, den: int) -> str:
     """Condition: sizes and places still allow the overlap that a link needs."""
     needed = f"cast(ceil({num} * ({x}.n + {y}.n) / {num + den}) as int)"
-    return f"1 + least({x}.n - {x}.at, {y}.n - {y}.at) - 1 >= {needed} and {den} * least({x}.n, {y}.n) >= {num} * greatest({x}.n, {y}.n)"
+    return f"least({x}.n - {x}.at, {y}.n - {y}.at) >= {needed} and {den} * least({x}.n, {y}.n) >= {num} * greatest({x}.n, {y}.n)"
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM, den: int = DEN, common_share: float = COMMON_SHARE) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
     signed = materialise(signatures(rows, shingle, num, den, common_shingles(rows, shingle, common_share)), "jaccard-signatures")
-    full = signed.where("n > 0 and doc_id is not null")
-    classes = full.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("lead"), F.count("*").alias("_copies"))
-    leads = classes.select(F.col("lead").alias("doc_id"), "n", "s1", "s2")
-    # The first column block, one row per set: column, document, size, place.
+    # One row per set; the text of its smallest document stands for it.
+    classes = signed.where("n > 0").groupBy("node", "n").agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "digest")).alias("lead"))
+    classes = materialise(classes, "jaccard-classes")
+    leads = classes.select("node", F.col("lead.doc_id").alias("doc_id"), F.col("lead.digest").alias("digest"))
+
+    def is_lead(x: str, y: str):
+        return F.col(f"{x}.doc_id").eqNullSafe(F.col(f"{y}.doc_id")) & (F.col(f"{x}.digest") == F.col(f"{y}.digest"))
+
+    # The first column block: column, set, size, place in the order.
     block = (
-        full.join(leads, ["doc_id", "n", "s1", "s2"], "left_semi").dropDuplicates(["doc_id", "n", "s1", "s2"])
-        .select("doc_id", "n", F.posexplode("prefix").alias("at", "column"))
-    )
-    per_column = Window.partitionBy("column")
-    shared = block.groupBy("column").agg(F.count("*").alias("_rows")).where("_rows > 1").select("column")
-    block = materialise(block.join(shared, "column"), "jaccard-block")
-
-    # Each document against the leading one of its column: that of the fewest rare columns.
-    pivots = block.groupBy("column").agg(F.min(F.struct("at", "n", "doc_id")).alias("p")).select("column", "p.at", "p.n", F.col("p.doc_id").alias("pivot"))
-    stars = (
-        block.alias("x").join(pivots.alias("y"), F.expr(f"x.column = y.column and x.doc_id <> y.pivot and {_possible('x', 'y', num, den)}"))
-        .select(F.least("x.doc_id", "y.pivot").alias("a"), F.greatest("x.doc_id", "y.pivot").alias("b")).distinct()
+        signed.where("n > 0").alias("s").join(leads.alias("l"), is_lead("s", "l"), "left_semi").dropDuplicates(["node"])
+        .select("node", "n", F.posexplode("prefix").alias("at", "column"))
     )
+    met = block.groupBy("column").agg(F.count("*").alias("_rows")).where("_rows > 1").select("column")
+    block = materialise(block.join(met, "column"), "jaccard-block")
+
+    # Each set against the leading one of its column: that with the fewest rarer columns.
+    pivots = block.groupBy("column").agg(F.min(F.struct("at", "n", "node")).alias("p")).select("column", "p.at", "p.n", F.col("p.node").alias("node"))
+    stars = _candidates(block, pivots, "x.node <> y.node", num, den)
     stars = materialise(stars, "jaccard-stars")
-    candidates = block.select("doc_id").distinct()
-    sets = materialise(shingle_sets(rows.where("doc_id is not null").join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle), "jaccard-sets")
+    wanted = block.select("node").distinct().join(leads, "node").select("doc_id", "digest")
+    texts = rows.alias("s").join(wanted.alias("l"), is_lead("s", "l"), "left_semi")
+    sets = materialise(shingle_sets(texts, shingle).dropDuplicates(["node"]), "jaccard-sets")
     linked = materialise(_multiply(stars, sets, num, den), "jaccard-links")
-    parts = connected_components(linked)
+    parts = connected_components(linked).withColumnRenamed("component", "part")
 
-    # What is left: pairs of one column in different components, one side outside its largest component.
-    placed = block.join(parts, block["doc_id"] == parts["node"], "left").select("column", "doc_id", "n", "at", F.coalesce("component", "doc_id").alias("part"))
+    # What is left: pairs of one column in different components, one side outside the column's largest.
+    placed = block.join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     sized = placed.groupBy("column", "part").agg(F.count("*").alias("_n"))
     largest = sized.groupBy("column").agg(F.max(F.struct("_n", "part")).alias("m"), F.count("*").alias("_parts")).where("_parts > 1").select("column", F.col("m.part").alias("main"))
     mixed = materialise(placed.join(largest, "column"), "jaccard-mixed")
-    outside = mixed.where("part <> main")
-    rest = (
-        outside.alias("x").join(mixed.alias("y"), F.expr(f"x.column = y.column and x.part <> y.part and (y.part = y.main or x.doc_id < y.doc_id) and {_possible('x', 'y', num, den)}"))
-        .select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    more = _multiply(rest, sets, num, den)
-    merged = materialise(connected_components(linked.unionByName(more)), "jaccard-components")
-
-    same_id = full.join(classes, ["n", "s1", "s2"]).select(F.col("doc_id").alias("node"), "lead", "n")
-    of_lead = classes.join(merged, classes["lead"] == merged["node"], "left").select("n", "s1", "s2", F.coalesce("component", "lead").alias("component_id"))
-    del same_id, per_column
-    return signed.join(of_lead, ["n", "s1", "s2"], "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("component_id")), "doc_id").alias("component_id")
+    rest = _candidates(mixed.where("part <> main"), mixed, "x.part <> y.part and (y.part = y.main or x.node < y.node)", num, den).join(stars, ["a", "b"], "left_anti")
+    links = linked.unionByName(_multiply(rest, sets, num, den))
+    merged = connected_components(links)
+
+    # Components are named by their smallest document.
+    named = classes.select("node", "n", "least_id").join(merged, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    names = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    of_node = named.join(names, "component").select("node", "n", "component_id")
+    return signed.join(of_node, ["node", "n"], "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
+
+
+def _candidates(x: DataFrame, y: DataFrame, condition: str, num: int, den: int) -> DataFrame:
+    """Pairs a < b of sets that share a column and can still reach the overlap they need."""
+    met = x.alias("x").join(y.alias("y"), F.expr(f"x.column = y.column and {condition} and {_possible('x', 'y', num, den)}"))
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()

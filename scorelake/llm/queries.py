@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, packing, quality, secrets, sharding, substring
+from . import decontaminate, fingerprint, jaccard, packing, quality, secrets, sharding, substring
 from ._spark import load
 
 
@@ -13,6 +13,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"))
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(load(spark, sf_dir, "documents"), shingle=3, num=90, den=100)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest_columns(substring.remove_repeats(load(spark, sf_dir, "documents")))
 
