@@ -33,15 +33,15 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, rows_per_partition: in
         rows.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
         .select("part", F.coalesce(F.sum("bytes").over(whole), F.lit(0)).alias("bytes_before"), F.coalesce(F.sum("rows").over(whole), F.lit(0)).alias("rows_before"))
     )
-    total = rows.agg(F.coalesce(F.sum("size"), F.lit(1)).alias("total"))
+    total = rows.agg(F.sum("size")).first()[0] or 1
     inside = Window.partitionBy("part").orderBy("doc_id", "text_crc32", "size")
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
-        # One row a partition, and one row: both small by their number.
+        # One row a partition: small by their number.
         rows.withColumns({"_upto": F.sum("size").over(upto), "_nth": F.row_number().over(inside)})
-        .join(F.broadcast(totals), "part").crossJoin(F.broadcast(total))
+        .join(F.broadcast(totals), "part")
         .withColumn("_index", F.col("rows_before") + F.col("_nth") - 1)
-        .withColumn("shard", F.expr(f"cast(least({shards - 1}, (2 * (bytes_before + _upto) - size) * {shards} div (2 * total)) as int)"))
+        .withColumn("shard", F.expr(f"cast(least({shards - 1}, (2 * (bytes_before + _upto) - size) * {shards} div (2 * {total})) as int)"))
     )
     placed = materialise(placed.select("doc_id", "size", "text_crc32", "shard", "_index"), "sharding-placed")
     starts = placed.groupBy("shard").agg(F.min("_index").alias("_first"))  # at most ``shards`` rows
