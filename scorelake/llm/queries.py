@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, jaccard, linededup, packing, quality, secrets, sharding, substring
-from ._spark import load
+from . import decontaminate, fingerprint, jaccard, linededup, packing, quality, secrets, sharding, substring, warc
+from ._spark import load, materialise, scratch_path
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,12 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest_columns(substring.remove_repeats(load(spark, sf_dir, "documents")))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    warc.write_warc(load(spark, sf_dir, "pages"), folder)
+    return warc.resolve_revisits(materialise(warc.read_warc(spark, folder, with_payload=False).drop("payload"), "warc-records"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(load(spark, sf_dir, "documents"))
 
