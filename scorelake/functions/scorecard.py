@@ -21,7 +21,8 @@ def points(p_bad: Column) -> Column:
     """Half-even rounded score in 0..999; odds of 500 where nothing is bad, 0 where nothing is good."""
     odds = F.when(p_bad > 0, (1 - p_bad) / F.greatest(p_bad, F.lit(1e-10))).when(p_bad <= 0, F.lit(TARGET_ODDS * 10.0))
     score = F.bround(F.lit(OFFSET) + F.lit(FACTOR) * F.ln(odds))
-    return F.coalesce(F.least(F.greatest(score, F.lit(0.0)), F.lit(999.0)), F.when(p_bad.isNotNull(), F.lit(0.0))).cast("int")
+    # greatest() skips nulls, so the null logarithm of zero odds becomes 0.
+    return F.when(p_bad.isNotNull(), F.least(F.greatest(score, F.lit(0.0)), F.lit(999.0))).cast("int")
 
 
 def grade(score: Column) -> Column:
