@@ -32,11 +32,16 @@ MIN_LINES = 2
 RESULT = ("n_lines", "n_removed")
 
 
-def _lines(words: Words, doc: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of a document's lines (of all its break-free stretches) that aren't blank, and their hashes."""
+def _solid(words: Words) -> np.ndarray:
+    """Of each line (break-free stretch) of a run of documents, whether it isn't blank."""
+    dark = np.concatenate([[0], np.cumsum(~SPACE[words.data])])
+    return dark[words.end] > dark[words.start]
+
+
+def _lines(words: Words, solid: np.ndarray, doc: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a document's lines that aren't blank, and their hashes."""
     lo, hi = words.offsets[doc], words.offsets[doc + 1]
-    solid = np.concatenate([[0], np.cumsum(~SPACE[words.data])])
-    full = solid[words.end[lo:hi]] > solid[words.start[lo:hi]]
+    full = solid[lo:hi]
     return np.flatnonzero(full), words.hash[lo:hi][full]
 
 
@@ -49,8 +54,9 @@ def _runs(min_lines: int):
             doc_ids, rows = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
             out = []
             for at, words in word_chunks(batch.column(2), NEWLINE):
+                solid = _solid(words)
                 for d in range(len(words)):
-                    _, h = _lines(words, d)
+                    _, h = _lines(words, solid, d)
                     whole = grams(h, min_lines)
                     if len(whole):
                         # The minimum of a run's window depends on the run alone, so copies agree on it.
@@ -99,8 +105,9 @@ def _cut(joined: DataFrame, fields: list, min_lines: int) -> DataFrame:
             repeats = batch.column(len(names)).to_pylist()
             texts, n_lines, n_removed = batch.column(text_at).to_pylist(), [], []
             for at, words in word_chunks(batch.column(text_at), NEWLINE):
+                solid = _solid(words)
                 for d in range(len(words)):
-                    numbers, h = _lines(words, d)
+                    numbers, h = _lines(words, solid, d)
                     gone = np.zeros(len(h), bool)
                     for first in repeats[at + d] or ():
                         gone[first : first + min_lines] = True
