@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, jaccard, linededup, packing, quality, secrets, sharding, substring, warc
+from . import decontaminate, fingerprint, jaccard, linededup, oracles, packing, quality, secrets, sharding, substring, warc
 from ._spark import load, materialise, scratch_path
 
 
@@ -57,4 +57,10 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_ngram_jaccard_join": oracles.OP2,
+    "op3_substring_dedup": oracles.OP3,
+    "op4_warc": oracles.OP4,
+    "op7_line_dedup": oracles.OP7,
+    "op8_benchmark_decontamination": oracles.OP8,
+}
