@@ -25,6 +25,11 @@ def apply_renames(df: DataFrame, renames: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(renames)
 
 
+def keep_existing(df: DataFrame, wanted: list[str]) -> DataFrame:
+    """Those of the wanted columns that there are, in that order."""
+    return df.select(*[c for c in wanted if c in df.columns])
+
+
 def trim_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.trim(c) for c in columns})
 

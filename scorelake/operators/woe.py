@@ -78,6 +78,12 @@ def missing_features(df: DataFrame, features: list[str]) -> DataFrame:
     return row.select(F.inline(F.array(*items)))
 
 
+def feature_table(df: DataFrame, key: list[str], selection: DataFrame, target: str) -> DataFrame:
+    """Keys, target and the features that the selection (a row a feature) keeps, for all populations."""
+    kept = [r["feature"] for r in selection.where("status <> 'EXCLUDED'").select("feature").collect()]
+    return df.select(*key, target, *sorted(c for c in kept if c in df.columns))
+
+
 def transform(df: DataFrame, feature: str, edges: list[float], table: DataFrame, name: str) -> DataFrame:
     """Replace a continuous feature by its band's WoE: the table has a few rows a feature."""
     woe = table.where(F.col("feature") == feature).select("band", F.col("woe").alias(name))

@@ -23,4 +23,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-from . import analytics, gold, history, reporting, streams  # noqa: E402, F401
+from . import analytics, gold, history, layers, reporting, streams  # noqa: E402, F401

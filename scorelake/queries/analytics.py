@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scorecard
-from ..operators import metrics, model, woe
+from ..operators import metrics, model, standardize, woe
 from ..sources.tables import load
 from . import query
 from .gold import POPULATION_SQL, populated
@@ -136,6 +136,12 @@ def weighted_gini(spark, sf_dir):
     return metrics.weighted_gini(scored_orders(spark, sf_dir), "bad", "score", "month")
 
 
+@query(X_SQL + " select o_orderkey, bad, o_totalprice from x")
+def feature_table(spark, sf_dir):
+    rows = labelled(spark, sf_dir)
+    return woe.feature_table(rows, ["o_orderkey"], woe.select_features(woe.evidence(woe.continuous_bands(rows, ["o_totalprice"], "bad"), "band")).withColumn("status", F.lit("SELECTED")), "bad")
+
+
 @query(X_SQL + ", d as (select o_totalprice / 1e6 as a, o_totalprice / 1e6 + c_acctbal / 1e5 as b from x) select count(*) as n, round(corr(a, b), 4) as correlation, round(avg(a - b), 4) as mean_diff, round(max(abs(a - b)), 4) as max_abs_diff from d where a is not null and b is not null")
 def score_reconcile(spark, sf_dir):
     a = F.col("o_totalprice") / 1e6
@@ -181,6 +187,12 @@ def scorecard_points(spark, sf_dir):
     return scored(spark, sf_dir).select("application_id", "credit_score", "risk_grade", "goodbadflag_inferred", F.round("final_p_good", 6).alias("final_p_good"), "_observed_label")
 
 
+@query(SCORED_SQL + "select application_id, risk_grade, timestamp '2024-02-01 00:00:00' as _scored_at, 'scorecard' as _model_name, 'models:/scorecard/2' as _model_uri, 2 as _model_version from scored")
+def score_lineage(spark, sf_dir):
+    rows = scorecard.lineage(scored(spark, sf_dir), F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"), "scorecard", "models:/scorecard/2", 2)
+    return standardize.keep_existing(rows, ["application_id", "risk_grade", "no_such_column", "_scored_at", "_model_name", "_model_uri", "_model_version"])
+
+
 PSI_SQL = SCORED_SQL + """,
 b as (select min(credit_score) as lo, max(credit_score) as hi from scored where _population = 'DEV'),
 h as (select _population, least(floor((credit_score - lo) / ((hi - lo) / 10)), 9) as bin, count(*) as n from scored, b where credit_score between lo and hi group by all),
