@@ -9,8 +9,10 @@ of its product with its transpose hold the overlap of two documents, and documen
   columns in any common order.  Columns that are common (in at least ``common_share`` of the
   documents of some task's share; a list that the share bounds) come last.  Pairs meet by join on
   a column, and the sizes and the two places in the order bound the overlap still possible: pairs
-  below the overlap that their sizes ask for are dropped before they become rows.
-* The second block is counted for what is left: the remaining columns of both rows.
+  below the overlap that their sizes ask for are dropped before they become rows.  For the others
+  the overlap inside this block is counted: of the row whose block ends first in the order, columns
+  that weren't met can't be in the other row at all, which bounds the whole overlap again.
+* The whole rows are multiplied only for pairs that pass.
 
 Rows with equal sets are one row from the start, so exact copies never meet.  Within a column a
 large group of near copies isn't multiplied out: each document is first compared with the column's
@@ -90,40 +92,67 @@ def _node(columns: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, shingle: int, num: int, den: int, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, digest of the text, node (what identifies the set), n, and the first columns in order."""
+    """doc_id, digest of the text, node (what identifies the set), n, the first columns in order, and the place of the last of them."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, place = shared.value
         for batch in batches:
-            sizes, nodes, prefixes = [], [], []
+            sizes, nodes, prefixes, rare, places = [], [], [], [], []
             for _, words in word_chunks(batch.column(1), SPACE, lower=True):
                 for d in range(len(words)):
                     s = shingle_set(words.hash[words.offsets[d] : words.offsets[d + 1]], shingle)
                     n = len(s)
                     sizes.append(n)
                     nodes.append(_node(s))
+                    p, ranks = n - _need(n, num, den) + 1 if n else 0, np.zeros(0, np.int64)
                     if n and len(values):
                         at = np.minimum(np.searchsorted(values, s), len(values) - 1)
                         is_common = values[at] == s
+                        ranks = np.sort(place[at[is_common]])
                         tail = s[is_common][np.argsort(place[at[is_common]])]
                         s = np.concatenate([s[~is_common], tail])
-                    prefixes.append(s[: n - _need(n, num, den) + 1].view(np.int64) if n else s.view(np.int64))
+                    prefixes.append(s[:p].view(np.int64))
+                    # Where the block ends in the common order: by hash, and after all those by rank.
+                    ends_rare = p <= n - len(ranks)
+                    rare.append(0 if ends_rare else 1)
+                    places.append(0 if not n else int((s[p - 1] ^ np.uint64(1 << 63)).view(np.int64)) if ends_rare else int(ranks[p - 1 - n + len(ranks)]))
             lengths = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))],
-                names=["doc_id", "digest", "node", "n", "prefix"],
+                [batch.column(0), batch.column(2), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat)), pa.array(rare, pa.int32()), pa.array(places, pa.int64())],
+                names=["doc_id", "digest", "node", "n", "prefix", "end_group", "end_place"],
             )
 
-    return docs.select("doc_id", "text", "digest").mapInArrow(run, "doc_id long, digest long, node long, n int, prefix array<long>")
+    return docs.select("doc_id", "text", "digest").mapInArrow(run, "doc_id long, digest long, node long, n int, prefix array<long>, end_group int, end_place long")
 
 
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """(node, columns) of every text."""
+FILTER_BITS = 1 << 24
+
+
+def _filter_bits(wanted: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size (2 MB) over the digests of ``wanted``: no false negatives."""
+    slots = wanted.select(F.expr(f"cast(pmod(digest, {FILTER_BITS}) as int)").alias("slot"))
+    words = slots.groupBy(F.expr("slot div 64").cast("int").alias("word")).agg(F.expr("bit_or(shiftleft(1L, slot % 64))").alias("bits"))
+    found = words.toPandas()  # at most FILTER_BITS / 64 rows, through Arrow
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return bits
+
+
+def shingle_sets(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, columns) of every text of ``rows`` (text, digest) whose digest is wanted, and of a few others.
+
+    Texts stay where they are: a bitmap of the wanted digests goes to them, so that only sets are
+    shuffled.  As it fills up, more sets that nobody asks for get through; none is lost.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
         for batch in batches:
+            slot = batch.column(1).to_numpy() % FILTER_BITS
+            batch = batch.filter(pa.array((bits[slot // 64] >> (slot % 64)) & 1 == 1))
             sets = []
             for _, words in word_chunks(batch.column(0), SPACE, lower=True):
                 sets += [shingle_set(words.hash[words.offsets[d] : words.offsets[d + 1]], shingle) for d in range(len(words))]
@@ -131,7 +160,7 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))], names=["node", "columns"])
 
-    return docs.select("text").mapInArrow(run, "node long, columns array<long>")
+    return rows.select("text", "digest").mapInArrow(run, "node long, columns array<long>")
 
 
 def _multiply(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -177,21 +206,17 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM,
         return F.col(f"{x}.doc_id").eqNullSafe(F.col(f"{y}.doc_id")) & (F.col(f"{x}.digest") == F.col(f"{y}.digest"))
 
     # The first column block: column, set, size, place in the order.
-    block = (
-        signed.where("n > 0").alias("s").join(leads.alias("l"), is_lead("s", "l"), "left_semi").dropDuplicates(["node"])
-        .select("node", "n", F.posexplode("prefix").alias("at", "column"))
-    )
+    firsts = signed.where("n > 0").alias("s").join(leads.alias("l"), is_lead("s", "l"), "left_semi").drop("doc_id", "digest").dropDuplicates(["node"])
+    firsts = materialise(firsts, "jaccard-firsts")
+    block = firsts.select("node", "n", F.posexplode("prefix").alias("at", "column"))
     met = block.groupBy("column").agg(F.count("*").alias("_rows")).where("_rows > 1").select("column")
     block = materialise(block.join(met, "column"), "jaccard-block")
 
     # Each set against the leading one of its column: that with the fewest rarer columns.
     pivots = block.groupBy("column").agg(F.min(F.struct("at", "n", "node")).alias("p")).select("column", "p.at", "p.n", F.col("p.node").alias("node"))
-    stars = _candidates(block, pivots, "x.node <> y.node", num, den)
+    stars = _bounded(_candidates(block, pivots, "x.node <> y.node", num, den), firsts, num, den)
     stars = materialise(stars, "jaccard-stars")
-    wanted = block.select("node").distinct().join(leads, "node").select("doc_id", "digest")
-    texts = rows.alias("s").join(wanted.alias("l"), is_lead("s", "l"), "left_semi")
-    sets = materialise(shingle_sets(texts, shingle).dropDuplicates(["node"]), "jaccard-sets")
-    linked = materialise(_multiply(stars, sets, num, den), "jaccard-links")
+    linked = materialise(_multiply(stars, _sets_of(stars, rows, leads, shingle), num, den), "jaccard-links")
     parts = connected_components(linked).withColumnRenamed("component", "part")
 
     # What is left: pairs of one column in different components, one side outside the column's largest.
@@ -200,7 +225,8 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM,
     largest = sized.groupBy("column").agg(F.max(F.struct("_n", "part")).alias("m"), F.count("*").alias("_parts")).where("_parts > 1").select("column", F.col("m.part").alias("main"))
     mixed = materialise(placed.join(largest, "column"), "jaccard-mixed")
     rest = _candidates(mixed.where("part <> main"), mixed, "x.part <> y.part and (y.part = y.main or x.node < y.node)", num, den).join(stars, ["a", "b"], "left_anti")
-    links = linked.unionByName(_multiply(rest, sets, num, den))
+    rest = materialise(_bounded(rest, firsts, num, den), "jaccard-rest")
+    links = linked.unionByName(_multiply(rest, _sets_of(rest, rows, leads, shingle), num, den))
     merged = connected_components(links)
 
     # Components are named by their smallest document.
@@ -212,6 +238,25 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM,
     )
 
 
+def _bounded(pairs: DataFrame, firsts: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs whose overlap inside the first block still allows the one that their sizes ask for."""
+    side = lambda x: firsts.select(F.col("node").alias(x), F.struct("n", "prefix", F.struct("end_group", "end_place").alias("end")).alias(f"_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    met = "size(array_intersect(_a.prefix, _b.prefix))"
+    needed = f"cast(ceil({num} * (_a.n + _b.n) / {num + den}) as int)"
+    missed = f"case when _a.end <= _b.end then _a.n - (size(_a.prefix) - {met}) else _b.n - (size(_b.prefix) - {met}) end"
+    return both.where(f"{missed} >= {needed}").select("a", "b")
+
+
+def _sets_of(pairs: DataFrame, rows: DataFrame, leads: DataFrame, shingle: int) -> DataFrame:
+    """The sets that ``pairs`` name, from the text of one document each."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = nodes.join(leads, "node").select("doc_id", "digest")
+    lone = wanted.select(F.xxhash64(F.coalesce("doc_id", F.lit(0)), "digest").alias("digest"))
+    keyed = rows.select("text", F.xxhash64(F.coalesce("doc_id", F.lit(0)), "digest").alias("digest"))
+    return materialise(shingle_sets(keyed, lone, shingle), "jaccard-sets")
+
+
 def _candidates(x: DataFrame, y: DataFrame, condition: str, num: int, den: int) -> DataFrame:
     """Pairs a < b of sets that share a column and can still reach the overlap they need."""
     met = x.alias("x").join(y.alias("y"), F.expr(f"x.column = y.column and {condition} and {_possible('x', 'y', num, den)}"))
