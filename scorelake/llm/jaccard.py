@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,7 @@ from .components import connected_components
 SHINGLE = 5
 NUM, DEN = 80, 100
 COMMON_SHARE = 0.002
+BLOCK_ENTRIES = 500_000
 
 
 def _need(n, num: int, den: int):
@@ -49,19 +51,24 @@ def _need(n, num: int, den: int):
     return -(-n * num // den)
 
 
-def common_shingles(docs: DataFrame, shingle: int, share: float = COMMON_SHARE) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(docs: DataFrame, shingle: int, share: float = COMMON_SHARE, fold_at: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingles that are common in some task's share of the documents, and their places by rarity."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, counts, held, size, documents = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0
+        kept, counts, held, size, documents, folds = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0, 0
 
         def fold():
-            nonlocal kept, counts, held, size
-            values = np.concatenate([kept, *held])
-            weights = np.concatenate([counts, np.ones(len(values) - len(kept), np.int64)])
-            kept, inverse = np.unique(values, return_inverse=True)
-            counts = np.bincount(inverse.ravel(), weights, len(kept)).astype(np.int64)
-            held, size = [], 0
+            nonlocal kept, counts, held, size, folds
+            values, n = np.unique(np.concatenate(held), return_counts=True)
+            at = np.minimum(np.searchsorted(kept, values), max(len(kept) - 1, 0))
+            known = kept[at] == values if len(kept) else np.zeros(len(values), bool)
+            counts[at[known]] += n[known]
+            order = np.argsort(np.concatenate([kept, values[~known]]), kind="stable")
+            kept, counts = np.concatenate([kept, values[~known]])[order], np.concatenate([counts, n[~known] + folds])[order]
+            # Lossy counting: what is rarer than one a fold goes, so memory doesn't follow the share's size.
+            folds += 1
+            often = counts > folds
+            kept, counts, held, size = kept[often], counts[often], [], 0
 
         for batch in batches:
             for _, words in word_chunks(batch.column(0), SPACE, lower=True):
@@ -70,16 +77,17 @@ def common_shingles(docs: DataFrame, shingle: int, share: float = COMMON_SHARE)
                     one = shingle_set(words.hash[words.offsets[d] : words.offsets[d + 1]], shingle)
                     held.append(one)
                     size += len(one)
-                if size > 2_000_000:
+                if size > fold_at:
                     fold()
-        if documents:
+        if held:
             fold()
+        if documents:
             keep = counts >= max(8, share * documents)
             yield pa.RecordBatch.from_arrays([pa.array(kept[keep].view(np.int64)), pa.array(counts[keep])], names=["shingle", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).collect()
-    values = np.array([r.shingle for r in rows], np.int64).view(np.uint64)
-    order = np.lexsort((values, np.array([r.n for r in rows], np.int64)))
+    rows = docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).toPandas()
+    values = rows["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.lexsort((values, rows["n"].to_numpy(np.int64)))
     place = np.empty(len(rows), np.int64)
     place[order] = np.arange(len(rows))
     by_value = np.argsort(values)
@@ -153,12 +161,11 @@ def shingle_sets(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
         for batch in batches:
             slot = batch.column(1).to_numpy() % FILTER_BITS
             batch = batch.filter(pa.array((bits[slot // 64] >> (slot % 64)) & 1 == 1))
-            sets = []
             for _, words in word_chunks(batch.column(0), SPACE, lower=True):
-                sets += [shingle_set(words.hash[words.offsets[d] : words.offsets[d + 1]], shingle) for d in range(len(words))]
-            lengths = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))], names=["node", "columns"])
+                sets = [shingle_set(words.hash[words.offsets[d] : words.offsets[d + 1]], shingle) for d in range(len(words))]
+                lengths = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+                columns = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), columns], names=["node", "columns"])
 
     return rows.select("text", "digest").mapInArrow(run, "node long, columns array<long>")
 
@@ -171,18 +178,26 @@ def _multiply(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = batch.column(2), batch.column(3)
-            x, y = one.flatten().to_numpy().view(np.uint64), two.flatten().to_numpy().view(np.uint64)
-            nx, ny = np.diff(one.offsets.to_numpy()), np.diff(two.offsets.to_numpy())
-            # Entries of both blocks of rows side by side: a column met twice in one pair is an overlap.
-            row = np.concatenate([np.repeat(np.arange(len(nx)), nx), np.repeat(np.arange(len(ny)), ny)])
-            key = mix(np.concatenate([x, y]) + mix(row.astype(np.uint64)))
-            order = np.argsort(key, kind="stable")
-            key, row = key[order], row[order]
-            met = key[1:] == key[:-1]
-            overlap = np.bincount(row[1:][met], minlength=len(nx))
-            keep = pa.array(den * overlap >= num * (nx + ny - overlap))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+            sizes = np.cumsum(pa.compute.add(pa.compute.list_value_length(batch.column(2)), pa.compute.list_value_length(batch.column(3))).to_numpy())
+            row = 0
+            while row < batch.num_rows:  # a block of rows with a bounded number of entries, or one row
+                end = max(row + 1, int(np.searchsorted(sizes, (sizes[row - 1] if row else 0) + BLOCK_ENTRIES, "right")))
+                yield product(batch.slice(row, end - row))
+                row = end
+
+    def product(block: pa.RecordBatch) -> pa.RecordBatch:
+        one, two = block.column(2), block.column(3)
+        x, y = one.flatten().to_numpy().view(np.uint64), two.flatten().to_numpy().view(np.uint64)
+        nx, ny = np.diff(one.offsets.to_numpy()), np.diff(two.offsets.to_numpy())
+        # Entries of both blocks of rows side by side: a column met twice in one pair is an overlap.
+        row = np.concatenate([np.repeat(np.arange(len(nx)), nx), np.repeat(np.arange(len(ny)), ny)])
+        key = mix(np.concatenate([x, y]) + mix(row.astype(np.uint64)))
+        order = np.argsort(key, kind="stable")
+        key, row = key[order], row[order]
+        met = key[1:] == key[:-1]
+        overlap = np.bincount(row[1:][met], minlength=len(nx))
+        keep = pa.array(den * overlap >= num * (nx + ny - overlap))
+        return pa.RecordBatch.from_arrays([block.column(0).filter(keep), block.column(1).filter(keep)], names=["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")
 

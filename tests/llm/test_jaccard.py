@@ -67,3 +67,11 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(1000, 1100)] + [(7, 7)]
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in [5, *range(1000, 1100)]} == {5}
+
+
+def test_common_shingles_are_found_however_often_counts_are_folded(frame):
+    rows = [(i, f"the same three words {i} {i + 1} {i + 2}") for i in range(40)]
+    for fold_at in (0, 50, 10**6):
+        values, place = jaccard.common_shingles(frame(rows, 1), 3, 0.5, fold_at)
+        assert len(values) == 2 and sorted(place) == [0, 1]
+    assert len(jaccard.common_shingles(frame([]), 3)[0]) == 0
