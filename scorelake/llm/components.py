@@ -18,11 +18,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     pairs = materialise(pairs, "components")
-    before = None
+    before = _digest(pairs)
     while True:
         new = _small_star(_large_star(pairs))
         new = materialise(new, "components")
-        after = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        after = _digest(new)
         drop_scratch(edges.sparkSession, pairs)
         pairs = new
         if after == before:
@@ -33,6 +33,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def _digest(pairs: DataFrame):
+    """A number that two edge tables share only if they are equal."""
+    return pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+
 def _large_star(pairs: DataFrame) -> DataFrame:
     both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -241,7 +241,8 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM,
     mixed = materialise(placed.join(largest, "column"), "jaccard-mixed")
     rest = _candidates(mixed.where("part <> main"), mixed, "x.part <> y.part and (y.part = y.main or x.node < y.node)", num, den).join(stars, ["a", "b"], "left_anti")
     rest = materialise(_bounded(rest, firsts, num, den), "jaccard-rest")
-    links = linked.unionByName(_multiply(rest, _sets_of(rest, rows, leads, shingle), num, den))
+    # The first components are stars already; only new links are added to them.
+    links = parts.select(F.col("node").alias("a"), F.col("part").alias("b")).unionByName(_multiply(rest, _sets_of(rest, rows, leads, shingle), num, den))
     merged = connected_components(links)
 
     # Components are named by their smallest document.
