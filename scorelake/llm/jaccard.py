@@ -148,6 +148,20 @@ def _filter_bits(wanted: DataFrame) -> np.ndarray:
     return bits
 
 
+def _only(firsts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose node is wanted (column ``digest``), and a few others, without moving the rest."""
+    shared = firsts.sparkSession.sparkContext.broadcast(_filter_bits(wanted))
+    at = firsts.columns.index("node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            slot = batch.column(at).to_numpy() % FILTER_BITS
+            yield batch.filter(pa.array((bits[slot // 64] >> (slot % 64)) & 1 == 1))
+
+    return firsts.mapInArrow(run, firsts.schema)
+
+
 def shingle_sets(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(node, columns) of every text of ``rows`` (text, digest) whose digest is wanted, and of a few others.
 
@@ -217,11 +231,11 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM,
     classes = materialise(classes, "jaccard-classes")
     leads = classes.select("node", F.col("lead.doc_id").alias("doc_id"), F.col("lead.digest").alias("digest"))
 
-    def is_lead(x: str, y: str):
-        return F.col(f"{x}.doc_id").eqNullSafe(F.col(f"{y}.doc_id")) & (F.col(f"{x}.digest") == F.col(f"{y}.digest"))
-
-    # The first column block: column, set, size, place in the order.
-    firsts = signed.where("n > 0").alias("s").join(leads.alias("l"), is_lead("s", "l"), "left_semi").drop("doc_id", "digest").dropDuplicates(["node"])
+    # The first column block: column, set, size, place in the order.  The join deals rows by the
+    # same key that repeated rows are dropped by.
+    key = F.coalesce("doc_id", F.lit(-(2**63))).alias("key")
+    firsts = signed.where("n > 0").select(key, "*").join(leads.select(key, "digest"), ["key", "digest"], "left_semi").dropDuplicates(["key", "digest"])
+    firsts = firsts.select("node", "n", "prefix", "end_group", "end_place")
     firsts = materialise(firsts, "jaccard-firsts")
     block = firsts.select("node", "n", F.posexplode("prefix").alias("at", "column"))
     met = block.groupBy("column").agg(F.count("*").alias("_rows")).where("_rows > 1").select("column")
@@ -256,6 +270,8 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, num: int = NUM,
 
 def _bounded(pairs: DataFrame, firsts: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs whose overlap inside the first block still allows the one that their sizes ask for."""
+    pairs = materialise(pairs, "jaccard-pairs")
+    firsts = _only(firsts, pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))))
     side = lambda x: firsts.select(F.col("node").alias(x), F.struct("n", "prefix", F.struct("end_group", "end_place").alias("end")).alias(f"_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     met = "size(array_intersect(_a.prefix, _b.prefix))"
