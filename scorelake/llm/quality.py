@@ -14,6 +14,7 @@ a null label or with contradicting labels aren't trained on; with no usable labe
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +26,11 @@ from ._text import SPACE, chunks, mix, segment
 
 BUCKETS = 1 << 18
 DIM = 16
-MAX_TRAIN = 6_000
+MAX_TRAIN = 3_000
 EPOCHS = 4
 RATE = 0.5
 CHAR_GRAMS = (3, 5)
+CHUNK_BYTES = 512 << 10
 REPEATED = np.uint64(0x5EED)
 
 
@@ -73,7 +75,7 @@ class Model:
 def train(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, buckets: int = BUCKETS, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = 7) -> Model:
     """SGD over documents, each given as (distinct buckets, shares that sum to 1)."""
     rng = np.random.default_rng(seed)
-    table = rng.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)
+    table = (rng.random((buckets, dim), np.float32) * 2 - 1) / np.float32(dim)
     out, bias = np.zeros((dim, 2), np.float32), np.zeros(2, np.float32)
     # The rare class weighs more, so that it is learned too.
     weight = np.sqrt(np.where(labels == 1, len(labels) / max(1, 2 * (labels == 1).sum()), len(labels) / max(1, 2 * (labels == 0).sum())))
@@ -116,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, buckets:
         for batch in batches:
             quality = batch.column(0).to_pylist()
             rows = []
-            for row, end, data, bounds in chunks(batch.column(1)):
+            for row, end, data, bounds in chunks(batch.column(1), CHUNK_BYTES):
                 ids, owner = feature_ids(data, bounds, buckets)
                 order = np.argsort(owner, kind="stable")
                 ids, cut = ids[order], np.searchsorted(owner[order], np.arange(end - row + 1))
@@ -127,12 +129,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, buckets:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()))], names=["quality", "ids", "times"])
 
     sample = training_rows(docs, labels, max_train).mapInArrow(count, "quality int, ids binary, times binary")
-    features, target = [], []
-    for row in sorted(sample.toLocalIterator(), key=lambda r: (r.quality, bytes(r.ids), bytes(r.times))):
-        ids, times = np.frombuffer(bytes(row.ids), "<i4"), np.frombuffer(bytes(row.times), "<i4").astype(np.float32)
+    # A bounded table; the order of its rows is made to depend on them alone.
+    found = sample.toPandas()
+    rows = []
+    for label, raw, counts in zip(found["quality"], found["ids"], found["times"]):
+        ids, times = np.frombuffer(raw, "<i4"), np.frombuffer(counts, "<i4").astype(np.float32)
         if len(ids):
-            features.append((ids, times / times.sum()))
-            target.append(row.quality)
+            rows.append((zlib.crc32(raw), int(label), ids, times / times.sum()))
+    del found
+    rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
+    features, target = [r[2:] for r in rows], [r[1] for r in rows]
     if len(set(target)) < 2:
         return Model(np.zeros(buckets, np.float32), 0.0)
     return train(features, np.array(target), buckets)
@@ -148,7 +154,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            scores = [own.score(data, bounds) for _, _, data, bounds in chunks(batch.column(len(names)))]
+            scores = [own.score(data, bounds) for _, _, data, bounds in chunks(batch.column(len(names)), CHUNK_BYTES)]
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(scores, pa.float64())], names=[*names, "score"])
 
