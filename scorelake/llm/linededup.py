@@ -80,12 +80,10 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     keyed = docs.withColumns({"_doc": key, "_row": F.xxhash64("doc_id", "text")})
     spread = keyed.select("_doc", "_row", "text").mapInArrow(_runs(min_lines), RUNS)
     runs = materialise(spread, "lines-runs")
-    # Fingerprints that stand in one place only have no copies.
-    common = runs.groupBy("fingerprint").agg(F.count("*").alias("_n")).where("_n > 1").select("fingerprint")
+    # Places are counted per fingerprint and run: a fingerprint that stands in one place only has no
+    # repeated runs, and one that is everywhere is summed by each task before rows move.
     first = F.min(F.struct("doc_id", "row", "first"))
-    places = (
-        runs.join(common, "fingerprint", "left_semi").groupBy("fingerprint", "run").agg(first.alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-    )
+    places = runs.groupBy("fingerprint", "run").agg(first.alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     later = (
         runs.join(places, ["fingerprint", "run"])
         .where("struct(doc_id, row, first) > _first")
