@@ -26,7 +26,7 @@ from ._text import SPACE, chunks, mix, segment
 
 BUCKETS = 1 << 18
 DIM = 16
-MAX_TRAIN = 3_000
+MAX_TRAIN = 1_500
 EPOCHS = 4
 RATE = 0.5
 CHAR_GRAMS = (3, 5)
