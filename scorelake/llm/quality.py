@@ -100,8 +100,8 @@ def train(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, buc
 
 
 def held_out(doc_id):
-    """Rows that training never sees."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+    """Rows that training never sees; a null id isn't one of them, but never has a label either."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
