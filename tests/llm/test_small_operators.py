@@ -156,3 +156,26 @@ def test_secrets_base_pattern_and_layers(frame):
     assert one(5).spans == "" and one(6).spans == ""
     assert one(7).n_access == 1 and one(8).n_hex == 1
     assert one(9).n_assign == 0
+
+
+@pytest.mark.parametrize(
+    "text", ["{\\u0022password\\u0022: \\u0022hunter2secret99\\u0022}", "\\u0070assword: abcdefgh12", "api%5Fkey = abcdefgh12", "<b>secret%3A</b> tok%65n%20:  %22abcdefgh12"]
+)
+def test_secrets_with_spaces_beside_escapes(text):
+    base, added = secrets.find_secrets(text)
+    (start, kind, end), *more = added
+    key = max(text.find(k) for k in ("password", "\\u0070", "api", "tok%"))
+    assert base == more == [] and kind == 0 and start == key and end == len(text) - (len("\\u0022}") if "hunter" in text else 0)
+
+
+@pytest.mark.parametrize("width", [10, 64, 70, 76])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+@pytest.mark.parametrize("breaks", ["\n", "\r\n  "])
+def test_secrets_in_wrapped_base64(width, pack, breaks):
+    rnd = random.Random(width)
+    noise = lambda: " ".join(str(rnd.random()) for _ in range(12))
+    for shift in range(60):  # the secret stands over a break of every kind
+        code = base64.b64encode(pack(("," * shift + noise() + " token = 'abcdefgh12' " + noise()).encode())).decode()
+        code = breaks.join(code[i : i + width] for i in range(0, len(code), width))
+        _, added = secrets.find_secrets(f"see {code}\n\nThe end")
+        assert (4, 0, 4 + len(code)) in added
