@@ -1,6 +1,7 @@
 """Sharding, classifier, fingerprints, decontamination and secrets against brute force."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import random
@@ -179,3 +180,35 @@ def test_secrets_in_wrapped_base64(width, pack, breaks):
         code = breaks.join(code[i : i + width] for i in range(0, len(code), width))
         _, added = secrets.find_secrets(f"see {code}\n\nThe end")
         assert (4, 0, 4 + len(code)) in added
+
+
+@pytest.mark.parametrize("char", [b"\0", "\u00a0".encode(), "\u200b".encode(), "\u3000".encode(), b"\xff", b"\xc3"])
+def test_secrets_beside_any_bytes(char):
+    for pack in (bytes, gzip.compress, zlib.compress, bz2.compress):
+        code = base64.b64encode(pack(b"some " + char + b" text, token: abcdefgh12 " + char + b" end")).decode()
+        assert (2, 0, 2 + len(code)) in secrets.find_secrets(f"\u00e9 {code} x")[1]
+
+
+@pytest.mark.parametrize("packs", [[p, *q] for p in (gzip.compress, zlib.compress, bz2.compress) for q in ([], [gzip.compress], [bz2.compress], [zlib.compress, gzip.compress])])
+@pytest.mark.parametrize("lead", ["", "x", "xx"])
+def test_secrets_in_streams_above_a_layer(packs, lead):
+    rnd = random.Random(3)
+    noise = lambda n: " ".join(f"\u00e9{rnd.random()}\u65e5" for _ in range(n))
+    nested = base64.b64encode(gzip.compress(b"AKIA" + b"A" * 16)).decode()
+    raw = f"{lead}{noise(700)} token {' ' * 9000}= 'abcdefgh12' {noise(700)} {nested} {'0' * 40} {noise(2)}".encode()
+    for pack in packs:
+        half = rnd.randrange(len(raw))  # streams that follow each other are one
+        raw = pack(raw[:half]) + pack(raw[half:])
+    code = base64.b64encode(raw).decode()
+    for max_layer in (1000, 1001, 6000, secrets.MAX_LAYER):
+        assert secrets.find_secrets(f"see {code}.", max_layer) == ([], [(4, kind, 4 + len(code)) for kind in (0, 1, 2)])
+
+
+def test_secrets_before_a_stray_character():
+    code = base64.b64encode(b"token: abcdefgh12!").decode()
+    assert secrets.find_secrets(f"{code}x") == ([], [(0, 0, len(code) + 1)])
+
+
+def test_secrets_in_a_megabyte_stream():
+    code = base64.b64encode(gzip.compress(("x" + "\u00e9" * 3_000_000 + " token=abcdefgh12").encode())).decode()
+    assert secrets.find_secrets(code)[1] == [(0, 0, len(code))]
