@@ -10,7 +10,7 @@ from ._spark import load, materialise, scratch_path
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(load(spark, sf_dir, "documents"))
+    return packing.pack(load(spark, sf_dir, "documents"), added=True)
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

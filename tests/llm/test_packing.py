@@ -61,3 +61,25 @@ def test_best_fit_is_near_the_bound():
 
 def test_empty_table(frame):
     assert packing.pack(frame([])).collect() == []
+
+
+def test_added_tokens_keep_their_ids(spark, tmp_path):
+    import corpus_pipeline
+    from scorelake.llm import queries
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    rnd = random.Random(5)
+    glue = lambda: "".join(rnd.choice(["<|endoftext|>", " ", "\n", "  \n ", "it's", "x1", "<|endoftext", "|>", "\u00e9\U0001f642", " the"]) for _ in range(rnd.choice([2, 9, 60])))
+    data = [(0, "abc <|endoftext|> def"), (1, "<|endoftext|>" * 2000), (2, None)] + [(3 + i, glue()) for i in range(200)]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = []
+    for doc_id, text in data:
+        ids, start, piece = [*t.encode(text or "", add_special_tokens=False).ids, packing.END_TOKEN], 0, 0
+        length = len(ids) % 1024 or 1024
+        while start < len(ids):
+            want.append((doc_id, piece, start, length, zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())))
+            start, length, piece = start + length, 1024, piece + 1
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for got in (queries.op1_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.best_fit_packing(spark, docs, str(tmp_path))):
+        assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got.collect()) == sorted(want)
