@@ -142,6 +142,18 @@ def feature_table(spark, sf_dir):
     return woe.feature_table(rows, ["o_orderkey"], woe.select_features(woe.evidence(woe.continuous_bands(rows, ["o_totalprice"], "bad"), "band")).withColumn("status", F.lit("SELECTED")), "bad")
 
 
+@query()
+def feature_table_populations(spark, sf_dir):
+    """Every application with the features that their IV on DEV selects; the target of rejected ones is null."""
+    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    target = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0)
+    rows = populated(spark, sf_dir).withColumnsRenamed({"amount": "o_totalprice", "priority": "o_orderpriority"}).join(customer, "c_custkey", "left").withColumn("bad", target)
+    dev = rows.where("_population = 'DEV' and bad is not null")
+    continuous = woe.evidence(woe.continuous_bands(dev, CONTINUOUS, "bad"), "band").select("feature", "iv")
+    categorical = woe.evidence(woe.group_rare(woe.long_form(dev, ["c_mktsegment", "o_orderpriority"], "bad", "string")), "level").select("feature", "iv")
+    return woe.feature_table(rows, ["application_id", "_population"], woe.select_features(continuous.unionByName(categorical)), "bad")
+
+
 @query(X_SQL + ", d as (select o_totalprice / 1e6 as a, o_totalprice / 1e6 + c_acctbal / 1e5 as b from x) select count(*) as n, round(corr(a, b), 4) as correlation, round(avg(a - b), 4) as mean_diff, round(max(abs(a - b)), 4) as max_abs_diff from d where a is not null and b is not null")
 def score_reconcile(spark, sf_dir):
     a = F.col("o_totalprice") / 1e6

@@ -90,3 +90,22 @@ def test_logit_is_at_its_optimum_and_wald_agrees(spark):
     assert table[1].odds_ratio == pytest.approx(math.exp(table[1].coefficient))
     parcels = model.parcel_rejects(df.limit(3).withColumn("p", F.lit(0.25)), "p", "y")
     assert parcels.count() == 6 and parcels.agg(F.sum("weight")).first()[0] == pytest.approx(3)
+
+
+def test_feature_table_has_all_populations_and_selected_features(spark, tmp_path):
+    from scorelake.queries import QUERIES
+
+    rnd = random.Random(7)
+    # The amount tells bad from good, the other features are the same in both; P has other customers.
+    customers = [(i, float(i % 5), "AB"[i % 2]) for i in range(20)]
+    orders = [(i, i // 3 % 20, "FOP"[i % 3], 100.0 * (i % 3) + rnd.random(), f"{1995 + i // 3 % 2}-0{1 + i // 9 % 9}-05", "1-URGENT", i // 3) for i in range(9000)]
+    spark.createDataFrame(customers, "c_custkey long, c_acctbal double, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    columns = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string, n long"
+    spark.createDataFrame(orders, columns).withColumn("o_orderdate", F.to_timestamp("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    got = QUERIES["feature_table_populations"](spark, str(tmp_path))
+    assert got.columns == ["application_id", "_population", "bad", "o_totalprice"]
+    rows = got.collect()
+    assert {r._population for r in rows} == {"DEV", "HOL", "OOT", "TTD"}
+    want = sorted((i, {"F": 1, "O": 0, "P": None}[s], amount) for i, _, s, amount, *_ in orders)
+    assert sorted((r.application_id, r.bad, r.o_totalprice) for r in rows) == want
+    assert all((r._population == "TTD") == (r.bad is None) for r in rows)
