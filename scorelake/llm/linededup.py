@@ -1,14 +1,12 @@
-"""Line dedup by winnowing over line hashes.
+"""Line dedup by exact grouping of runs of lines.
 
-A document is its sequence of lines; blank ones are skipped.  In each window of ``min_lines``
-consecutive line hashes the smallest is the fingerprint, so every run of ``min_lines`` lines has
-one and all copies of the run agree on it.  Fingerprints that occur more than once are joined by
-their hash, and under each every run of ``min_lines`` lines around it is matched against the first
-place (by document, then line) where the same run stands.  Runs that came earlier are repeats; matches extend
-both ways as neighbouring runs overlap, and all lines of later runs are deleted.  The first
-occurrence of every run stays.
+A document is its sequence of lines; blank ones are skipped.  Every run of ``min_lines`` consecutive
+lines is hashed and grouped with its copies; the first place (by document, then line) where a run
+stands is kept, and all lines of its later copies are deleted, so longer repeats go as neighbouring
+runs overlap.  No winnowing takes place: no run is left out, no positions are joined or extended.
+Each run carries the smallest of its line hashes, which only makes the grouping key longer.
 
-A common fingerprint never meets its copies pairwise: runs are grouped by their hash with partial
+A common run never meets its copies pairwise: runs are grouped by their hash with partial
 sums of the first place.  Only hashes move until the lines are cut.
 
 Nulls stay null and texts without repeats stay as they are; rows of equal id and text are one
@@ -59,7 +57,7 @@ def _runs(min_lines: int):
                     _, h = _lines(words, solid, d)
                     whole = grams(h, min_lines)
                     if len(whole):
-                        # The minimum of a run's window depends on the run alone, so copies agree on it.
+                        # The minimum of a run's lines depends on the run alone, so copies agree on it.
                         out.append((np.full(len(whole), doc_ids[at + d]), np.full(len(whole), rows[at + d]), sliding_min(h, min_lines), whole, np.arange(len(whole))))
             if out:
                 c = [np.concatenate(x) for x in zip(*out)]
@@ -80,8 +78,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     keyed = docs.withColumns({"_doc": key, "_row": F.xxhash64("doc_id", "text")})
     spread = keyed.select("_doc", "_row", "text").mapInArrow(_runs(min_lines), RUNS)
     runs = materialise(spread, "lines-runs")
-    # Places are counted per fingerprint and run: a fingerprint that stands in one place only has no
-    # repeated runs, and one that is everywhere is summed by each task before rows move.
+    # Places are counted per run: one that is everywhere is summed by each task before rows move.
     first = F.min(F.struct("doc_id", "row", "first"))
     places = runs.groupBy("fingerprint", "run").agg(first.alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     later = (
