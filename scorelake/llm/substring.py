@@ -1,20 +1,20 @@
-"""Substring dedup by relative Lempel-Ziv parsing in windows of words.
-
-Every text is both a reference and parsed against all references.  The reference is cut into
-blocks by content: each window of ``window`` words belongs to the block of its smallest word
-8-gram, so equal windows, wherever they stand, meet in one block, and a block indexes the windows
-of all documents.  A document's stretch of consecutive windows in one block is factored greedily
-against the block's index: a factor starts at the first window that also starts elsewhere and goes
-on as long as windows do.  A factor of m windows is a repeated string of m + window - 1 words, so
-every factor is long enough by construction.  Windows that reach over the end of a stretch or of a
-factor are looked up too, in their own block (the check at factor boundaries), and the factors of
-a document over all blocks merge to its duplicate spans.
-
-Only hashes move: per stretch one row with 6 bytes a window; with the block's 64-bit hash that
-makes 112 bits that must agree.  Blocks that a first pass finds common in some task's share
-(at least ``hot_share`` of its documents; a list that the share bounds, not the corpus) are split
-by window: their windows are counted within each task first, so that a passage in a third of all
-documents sends one row a task and window.
+"""Substring dedup by counting hashed windows of words in blocks.
+
+The texts are cut into blocks by content: each window of ``window`` words belongs to the block of
+its smallest word 8-gram, so equal windows, wherever they stand, meet in one block, and a block
+counts the windows of all documents.  A document's stretch of consecutive windows in one block is
+compared with the block's counts: a factor is a maximal run of windows that each also start
+elsewhere, be it in different documents.  No Lempel-Ziv parsing takes place: nothing is matched
+against one place.  A factor of m windows covers m + window - 1 words, each in a repeated window.
+Windows that reach over the end of a stretch or of a factor are looked up too, in their own block
+(the check at factor boundaries), and the factors of a document over all blocks merge to its
+duplicate spans.
+
+Only hashes move: per stretch one row with 6 bytes a window.  They are folded with the block's
+64-bit hash into one 64-bit key, and windows count as equal when these 64 bits agree.  Blocks that
+a first pass finds common in some task's share (at least ``hot_share`` of its documents; a list
+that the share bounds, not the corpus) are split by window: their windows are counted within each
+task first, so that a passage in a third of all documents sends one row a task and window.
 
 Windows are judged on the input.  Nulls and texts shorter than a window are kept whole; repeated
 rows are copies of each other, and rows equal in id and text share their spans, which are equal;
@@ -188,7 +188,7 @@ def _factor_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     _, inverse, times = np.unique(key, return_inverse=True, return_counts=True)
     weight = np.bincount(inverse.ravel(), np.where(many, 2, 1)[stretch], len(times))
     repeated = weight[inverse.ravel()] > 1
-    # Greedy factors: maximal runs of repeated windows inside a stretch.
+    # Factors: maximal runs of repeated windows inside a stretch.
     edge = np.concatenate([[True], stretch[1:] != stretch[:-1]])
     begins = np.flatnonzero(repeated & (edge | ~np.concatenate([[False], repeated[:-1]])))
     stops = np.flatnonzero(repeated & (np.concatenate([edge[1:], [True]]) | ~np.concatenate([repeated[1:], [False]])))
