@@ -57,6 +57,25 @@ def test_equals_brute_force(frame):
         assert got == brute(rows, k, num, 100)
 
 
+def test_a_column_of_many_unlinked_documents_is_split(frame, monkeypatch):
+    rnd = random.Random(9)
+    rows = [(i, "all of us say " + " ".join(f"w{rnd.randrange(4)}" for _ in range(rnd.randint(3, 9)))) for i in range(120)]
+    rows += [(500 + i, t + " " + rnd.choice(["", "", "tail"])) for i, (_, t) in enumerate(rows[:40])]
+    for num, depth in ((60, 4), (40, 2), (60, 1)):
+        monkeypatch.setattr(jaccard, "DEPTH", depth)
+        got = sorted((tuple(r) for r in jaccard.jaccard_components(frame(rows), 2, num, 100, 0.9, column_pairs=3).collect()), key=repr)
+        assert got == brute(rows, 2, num, 100)
+
+
+def test_very_long_texts(frame):
+    rnd = random.Random(3)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(200_000)]
+    near = [w if i % 400 else "changed" for i, w in enumerate(words)]
+    rows = [(5, " ".join(words)), (6, " ".join(near)), (7, " ".join(words[:100_000])), (8, "short")]
+    got = sorted(map(tuple, jaccard.jaccard_components(frame(rows)).collect()))
+    assert got == brute(rows, 5, 80, 100) and [c for *_, c in got] == [5, 5, 7, 8]
+
+
 def test_empty_table_and_clashing_columns(frame):
     assert jaccard.jaccard_components(frame([])).collect() == []
     rows = frame([(1, "a b c d e f"), (2, "a b c d e f")]).withColumn("node", F.lit(1)).withColumn("digest", F.lit("x"))
