@@ -42,3 +42,11 @@ def drop_scratch(spark: SparkSession, df: DataFrame) -> None:
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def fresh(taken: list[str], name: str) -> str:
+    """``name``, with underscores put before it until no column is called like that."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name = "_" + name
+    return name

@@ -39,6 +39,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._heavy import FOLD_AT, heavy_values
 from ._spark import drop_scratch, materialise
 from ._text import SPACE, mix, shingle_set, word_chunks
 from .components import connected_components
@@ -57,57 +58,15 @@ def _need(n, num: int, den: int):
     return -(-n * num // den)
 
 
-def common_shingles(docs: DataFrame, shingle: int, share: float = COMMON_SHARE, fold_at: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
+def common_shingles(docs: DataFrame, shingle: int, share: float = COMMON_SHARE, fold_at: int = FOLD_AT) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingles that stand in at least ``share`` of all documents, and their places by rarity.
 
-    A shingle that common is so in some task's share of the documents.  Tasks count with half the
-    share as their limit, so the sum over tasks lacks less than the other half, and what reaches the
-    driver is bounded by the shingles of two documents over the share, however many tasks there are.
-    The list only orders columns: a shingle that small tasks miss costs time, not a link.
+    The list only orders columns: a shingle that it misses costs time, not a link.
     """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, counts, held, size, documents, folds = np.zeros(0, np.uint64), np.zeros(0, np.int64), [], 0, 0, 0
-
-        def fold():
-            nonlocal kept, counts, held, size, folds
-            values, n = np.unique(np.concatenate(held), return_counts=True)
-            at = np.minimum(np.searchsorted(kept, values), max(len(kept) - 1, 0))
-            known = kept[at] == values if len(kept) else np.zeros(len(values), bool)
-            counts[at[known]] += n[known]
-            order = np.argsort(np.concatenate([kept, values[~known]]), kind="stable")
-            kept, counts = np.concatenate([kept, values[~known]])[order], np.concatenate([counts, n[~known] + folds])[order]
-            # Lossy counting: what is rarer than one a fold goes, so memory doesn't follow the share's size.
-            folds += 1
-            often = counts > folds
-            kept, counts, held, size = kept[often], counts[often], [], 0
-
-        for batch in batches:
-            for _, words in word_chunks(batch.column(0), SPACE, lower=True):
-                documents += len(words)
-                for d in range(len(words)):
-                    one = shingle_set(words.hash[words.offsets[d] : words.offsets[d + 1]], shingle)
-                    held.append(one)
-                    size += len(one)
-                if size > fold_at:
-                    fold()
-        if held:
-            fold()
-        if documents:
-            keep = counts >= max(4, share / 2 * documents)
-            # The task's documents come in a row of their own, without a shingle.
-            yield pa.RecordBatch.from_arrays([pa.array([None, *kept[keep].view(np.int64).tolist()], pa.int64()), pa.array([documents, *counts[keep].tolist()], pa.int64())], names=["shingle", "n"])
-
-    counted = materialise(docs.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "jaccard-common")
-    documents = counted.where("shingle is null").select("n").first()
-    rows = counted.where(F.col("shingle").isNotNull() & (F.col("n") >= share / 2 * (documents["n"] if documents else 0))).toPandas()
-    drop_scratch(docs.sparkSession, counted)
-    values = rows["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.lexsort((values, rows["n"].to_numpy(np.int64)))
-    place = np.empty(len(rows), np.int64)
-    place[order] = np.arange(len(rows))
-    by_value = np.argsort(values)
-    return values[by_value], place[by_value]
+    values, n = heavy_values(docs, SPACE, True, lambda words, d: shingle_set(words.hash[words.offsets[d] : words.offsets[d + 1]], shingle), share, fold_at)
+    place = np.empty(len(values), np.int64)
+    place[np.lexsort((values, n))] = np.arange(len(values))
+    return values, place
 
 
 def _node(columns: np.ndarray) -> int:

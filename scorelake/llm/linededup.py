@@ -1,17 +1,21 @@
-"""Line dedup by exact grouping of runs of lines.
-
-A document is its sequence of lines; blank ones are skipped.  Every run of ``min_lines`` consecutive
-lines is hashed and grouped with its copies; the first place (by document, then line) where a run
-stands is kept, and all lines of its later copies are deleted, so longer repeats go as neighbouring
-runs overlap.  No winnowing takes place: no run is left out, no positions are joined or extended.
-Each run carries the smallest of its line hashes, which only makes the grouping key longer.
-
-A common run never meets its copies pairwise: runs are grouped by their hash with partial
-sums of the first place.  Only hashes move until the lines are cut.
-
-Nulls stay null and texts without repeats stay as they are; rows of equal id and text are one
-document and are cut alike; a deleted line goes with its line break.  Input columns
-stay, those named like a result column (n_lines, n_removed) are replaced.
+"""Line dedup by winnowing over line hashes.
+
+A document is its sequence of lines; blank ones are skipped.  Of each window of ``min_lines``
+consecutive lines the line with the smallest hash is selected, so two copies of a window always
+select the same line of it, and a line is a fingerprint if some window selects it.  Positions of
+fingerprints that stand more than once are joined with the first position whose match, extended
+to both sides from the fingerprint over the window's lines, is the same; all other lines of such
+windows are later repeats.  A longer repeat holds a selected line in each of its windows, so the
+windows' union is the whole of it.  Lines of at least ``long_words`` words are fingerprints of
+their own and repeat alone.  The first place (by document, then line) stays, all later copies go.
+
+A common line never meets its copies pairwise: positions are grouped by fingerprint and match with
+partial sums of the first place.  Only hashes move until the lines are cut.
+
+Nulls stay null and texts without repeats stay as they are, however long; rows of equal id and
+text are one document and are cut alike, an id that is null counts as the smallest; a deleted line
+goes with its line break.  Input columns stay, whatever they are called; those named like a result
+column (n_lines, n_removed) are replaced.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,74 +27,95 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import materialise
-from ._text import NEWLINE, SPACE, Words, grams, sliding_min, word_chunks
+from ._spark import fresh, materialise
+from ._text import NEWLINE, SPACE, Words, grams, mix, word_chunks
 
 MIN_LINES = 2
+LONG_WORDS = 50
 RESULT = ("n_lines", "n_removed")
 
 
-def _solid(words: Words) -> np.ndarray:
-    """Of each line (break-free stretch) of a run of documents, whether it isn't blank."""
-    dark = np.concatenate([[0], np.cumsum(~SPACE[words.data])])
-    return dark[words.end] > dark[words.start]
+class Lines:
+    """Numbers, hashes and word counts of the lines of a run of documents that aren't blank."""
+
+    def __init__(self, words: Words):
+        self.words = words
+        inside = ~SPACE[words.data]
+        starts = inside.copy()
+        starts[1:] &= ~inside[:-1]
+        at_line = words.start[words.start < len(inside)]
+        starts[at_line] |= inside[at_line]
+        before = np.concatenate([[0], np.cumsum(starts)])
+        self.n_words = before[words.end] - before[words.start]
+
+    def of(self, doc: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lo, hi = self.words.offsets[doc], self.words.offsets[doc + 1]
+        full = self.n_words[lo:hi] > 0
+        return np.flatnonzero(full), self.words.hash[lo:hi][full], self.n_words[lo:hi][full]
+
 
+def selected(h: np.ndarray, width: int) -> np.ndarray:
+    """Of each window of ``width`` values the place of its smallest, the leftmost of equal ones."""
+    if len(h) < width:
+        return np.zeros(0, np.int64)
+    return np.arange(len(h) - width + 1) + np.lib.stride_tricks.sliding_window_view(h, width).argmin(axis=1)
 
-def _lines(words: Words, solid: np.ndarray, doc: int) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of a document's lines that aren't blank, and their hashes."""
-    lo, hi = words.offsets[doc], words.offsets[doc + 1]
-    full = solid[lo:hi]
-    return np.flatnonzero(full), words.hash[lo:hi][full]
 
+POSITIONS = "fingerprint long, match long, doc_id long, row long, first int, n int"
 
-RUNS = "doc_id long, row long, fingerprint long, run long, first int"
 
+def _positions(min_lines: int, long_words: int):
+    """Of each window the fingerprint that it selects and the match around it; long lines match alone."""
 
-def _runs(min_lines: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_ids, rows = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy()
             out = []
             for at, words in word_chunks(batch.column(2), NEWLINE):
-                solid = _solid(words)
+                lines = Lines(words)
                 for d in range(len(words)):
-                    _, h = _lines(words, solid, d)
-                    whole = grams(h, min_lines)
-                    if len(whole):
-                        # The minimum of a run's lines depends on the run alone, so copies agree on it.
-                        out.append((np.full(len(whole), doc_ids[at + d]), np.full(len(whole), rows[at + d]), sliding_min(h, min_lines), whole, np.arange(len(whole))))
+                    _, h, n_words = lines.of(d)
+                    place = selected(h, min_lines)
+                    alone = np.flatnonzero(n_words >= long_words)
+                    if not len(place) + len(alone):
+                        continue
+                    # How far the match reaches to the left of the fingerprint is part of it.
+                    first = np.arange(len(place))
+                    match = mix(grams(h, min_lines) + (place - first).astype(np.uint64))
+                    size = np.full(len(place) + len(alone), min_lines)
+                    size[len(place) :] = 1
+                    out.append((np.concatenate([h[place], h[alone]]), np.concatenate([match, h[alone]]), np.full(len(size), doc_ids[at + d]), np.full(len(size), rows[at + d]), np.concatenate([first, alone]), size))
             if out:
-                c = [np.concatenate(x) for x in zip(*out)]
+                fingerprint, match, doc, row, first, size = (np.concatenate(c) for c in zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[0].astype(np.int64)), pa.array(c[1]), pa.array(c[2].view(np.int64)), pa.array(c[3].view(np.int64)), pa.array(c[4].astype(np.int32))],
-                    names=["doc_id", "row", "fingerprint", "run", "first"],
+                    [pa.array(fingerprint.view(np.int64)), pa.array(match.view(np.int64)), pa.array(doc.astype(np.int64)), pa.array(row), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32))],
+                    names=[p.split()[0] for p in POSITIONS.split(", ")],
                 )
 
     return run
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """``docs`` with later repeated runs of lines cut from ``text``, and n_lines and n_removed."""
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int = LONG_WORDS) -> DataFrame:
+    """``docs`` with later repeats of ``min_lines`` lines, or of a line of ``long_words`` words, cut from ``text``, and n_lines and n_removed."""
     fields = [f for f in docs.schema.fields if f.name not in RESULT]
-    docs = docs.select(*[F.col(f"`{f.name}`") for f in fields])
+    doc_id, row, repeats = (fresh(docs.columns, n) for n in ("_doc", "_row", "_repeats"))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    # The number of a row tells rows of one id apart; it is written with the hashes, not worked out again.
-    keyed = docs.withColumns({"_doc": key, "_row": F.xxhash64("doc_id", "text")})
-    spread = keyed.select("_doc", "_row", "text").mapInArrow(_runs(min_lines), RUNS)
-    runs = materialise(spread, "lines-runs")
-    # Places are counted per run: one that is everywhere is summed by each task before rows move.
-    first = F.min(F.struct("doc_id", "row", "first"))
-    places = runs.groupBy("fingerprint", "run").agg(first.alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    # The number of a row tells rows of one id apart.
+    keyed = docs.select(*[F.col(f"`{f.name}`") for f in fields], key.alias(doc_id), F.xxhash64("doc_id", "text").alias(row))
+    places = materialise(keyed.select(doc_id, row, "text").mapInArrow(_positions(min_lines, long_words), POSITIONS), "lines-positions")
+    # Fingerprints that stand once end here: each task sends one row for each of its fingerprints.
+    again = places.groupBy("fingerprint").agg(F.count("*").alias("_n")).where("_n > 1").select("fingerprint")
+    met = places.join(again, "fingerprint", "left_semi")
+    place = F.struct("doc_id", "row", "first")
+    leads = met.groupBy("fingerprint", "match", "n").agg(F.min(place).alias("_lead"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     later = (
-        runs.join(places, ["fingerprint", "run"])
-        .where("struct(doc_id, row, first) > _first")
-        .groupBy("doc_id", "row").agg(F.collect_set("first").alias("_repeats"))
+        met.join(leads, ["fingerprint", "match", "n"]).where(place > F.col("_lead"))
+        .groupBy(F.col("doc_id").alias(doc_id), F.col("row").alias(row)).agg(F.collect_set(F.struct("first", "n")).alias(repeats))
     )
-    joined = keyed.join(later, (keyed["_doc"] == later["doc_id"]) & (keyed["_row"] == later["row"]), "left").select(*[keyed[f"`{f.name}`"] for f in fields], "_repeats")
-    return _cut(joined, fields, min_lines)
+    return _cut(keyed.join(later, [doc_id, row], "left").select(*[F.col(f"`{f.name}`") for f in fields], F.col(repeats)), fields)
 
 
-def _cut(joined: DataFrame, fields: list, min_lines: int) -> DataFrame:
+def _cut(joined: DataFrame, fields: list) -> DataFrame:
     names = [f.name for f in fields]
     text_at = names.index("text")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "n_lines int, n_removed int"])
@@ -100,12 +125,12 @@ def _cut(joined: DataFrame, fields: list, min_lines: int) -> DataFrame:
             repeats = batch.column(len(names)).to_pylist()
             texts, n_lines, n_removed = batch.column(text_at).to_pylist(), [], []
             for at, words in word_chunks(batch.column(text_at), NEWLINE):
-                solid = _solid(words)
+                lines = Lines(words)
                 for d in range(len(words)):
-                    numbers, h = _lines(words, solid, d)
+                    numbers, h, _ = lines.of(d)
                     gone = np.zeros(len(h), bool)
-                    for first in repeats[at + d] or ():
-                        gone[first : first + min_lines] = True
+                    for r in repeats[at + d] or ():
+                        gone[r["first"] : r["first"] + r["n"]] = True
                     n_lines.append(len(h))
                     n_removed.append(int(gone.sum()))
                     if gone.any():

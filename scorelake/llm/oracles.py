@@ -40,7 +40,8 @@ l as (select doc_id, unnest(ps) as piece, generate_subscripts(ps, 1) as i from p
 s as (select *, rtrim(piece, chr(10) || chr(13)) as line, row_number() over (partition by doc_id order by i) as k from l where regexp_matches(piece, '[^\x20\x09-\x0D]')),
 runs as (select a.doc_id, a.k, a.line as x, b.line as y from s a join s b on a.doc_id = b.doc_id and b.k = a.k + 1),
 f as (select *, row_number() over (partition by x, y order by doc_id, k) as nth from runs),
-gone as (select distinct doc_id, unnest([k, k + 1]) as k from f where nth > 1),
+long as (select doc_id, k, row_number() over (partition by line order by doc_id, k) as nth from s where len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50),
+gone as (select doc_id, unnest([k, k + 1]) as k from f where nth > 1 union select doc_id, k from long where nth > 1),
 cut as (select s.doc_id, s.i from s join gone on gone.doc_id = s.doc_id and gone.k = s.k),
 kept as (select l.doc_id, string_agg(piece, '' order by l.i) as t from l left join cut on cut.doc_id = l.doc_id and cut.i = l.i where cut.i is null group by 1)
 select p.doc_id, cast((select count(*) from s where s.doc_id = p.doc_id) as int) as n_lines, cast((select count(*) from cut where cut.doc_id = p.doc_id) as int) as n_removed,

@@ -1,13 +1,14 @@
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from scorelake.llm import linededup
 
 
-def brute(rows, k):
+def brute(rows, k, long_words=linededup.LONG_WORDS):
     """Rows must have different ids; ties of id aren't drawn here."""
-    seen, out = set(), []
+    seen, alone, out = set(), set(), []
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
         lines = (text or "").split("\n")
         solid = [i for i, x in enumerate(lines) if x.strip()]
@@ -17,6 +18,11 @@ def brute(rows, k):
             if run in seen:
                 gone.update(solid[i : i + k])
             seen.add(run)
+        for i in solid:
+            if len(lines[i].split()) >= long_words:
+                if (lines[i], "alone") in alone:
+                    gone.add(i)
+                alone.add((lines[i], "alone"))
         kept = None if text is None else [x for i, x in enumerate(lines) if i not in gone and x.strip()]
         out.append((doc_id, kept, len(solid), len(gone)))
     return out
@@ -27,9 +33,37 @@ def test_equals_brute_force(frame):
         rnd = random.Random(seed)
         line = lambda: rnd.choice(["", "  ", *"abcdéfgh"])
         rows = [(i, "\n".join(line() for _ in range(rnd.randint(0, 14)))) for i in range(60)] + [(100, None), (None, "a\nb\nc")]
-        got = linededup.dedup_lines(frame(rows), k).collect()
-        kept = sorted(((r.doc_id, None if r.text is None else [x for x in r.text.split("\n") if x.strip()], r.n_lines, r.n_removed) for r in got), key=repr)
-        assert kept == sorted(brute(rows, k), key=repr)
+        rows += [(200 + i, "\n".join(rnd.choice(["one two three", "a b c d", "a", ""]) for _ in range(rnd.randint(1, 4)))) for i in range(9)]
+        for long_words in (2, 50):
+            got = linededup.dedup_lines(frame(rows), k, long_words).collect()
+            assert plain(got) == sorted(brute(rows, k, long_words), key=repr)
+
+
+def plain(got):
+    return sorted(((r.doc_id, None if r.text is None else [x for x in r.text.split("\n") if x.strip()], r.n_lines, r.n_removed) for r in got), key=repr)
+
+
+def test_equal_windows_select_equal_lines():
+    rng = np.random.default_rng(0)
+    h = rng.integers(0, 30, 500).astype(np.uint64)
+    for width in (1, 2, 5):
+        place = linededup.selected(h, width)
+        assert all(h[p] == h[i : i + width].min() and i <= p < i + width for i, p in enumerate(place))
+        kept = {}
+        for i, p in enumerate(place):
+            assert kept.setdefault(tuple(h[i : i + width]), p - i) == p - i
+    assert len(linededup.selected(h[:1], 2)) == 0
+
+
+def test_any_column_names_and_very_long_texts(frame):
+    long = "\n".join(f"line {i}" for i in range(100_000))
+    rows = frame([(1, long), (2, long), (2, "new\n" + long + "\nlast"), (None, None), (3, "w " * 60), (4, "w " * 60)])
+    clash = rows.select("doc_id", "text", *[F.lit(n).alias(n) for n in ("_row", "_repeats", "_doc", "row", "match", "first", "n", "fingerprint")])
+    got = linededup.dedup_lines(clash)
+    assert got.columns == [*clash.columns, "n_lines", "n_removed"]
+    assert all(r["_row"] == "_row" and r["_repeats"] == "_repeats" and r["_doc"] == "_doc" for r in got.collect())
+    texts = sorted(((r.doc_id, r.text, r.n_removed) for r in got.collect()), key=repr)
+    assert (2, "new\nlast", 100_000) in texts and (1, long, 0) in texts and (None, None, 0) in texts and (4, "", 1) in texts
 
 
 def test_copies_keep_one_and_columns_stay(frame):

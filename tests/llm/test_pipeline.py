@@ -60,7 +60,7 @@ def test_every_stage_and_the_run(spark, folder):
     kept = given["line_dedup"]
     assert not [i for i in kept if 200 <= i < 260] and all(i in kept for i in range(150))
 
-    # Line dedup: later runs of two lines go; documents that were nothing else go as well.
+    # Line dedup: later runs of two lines and later long lines go; documents that were nothing else go as well.
     want = {}
     for doc_id, lines, n, gone in brute_lines([(i, r.text) for i, r in kept.items()], corpus_pipeline.linededup.MIN_LINES):
         if not gone or gone < n:
