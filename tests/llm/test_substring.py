@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+
 from scorelake.llm import substring
 
 
@@ -41,10 +43,57 @@ def corpus(seed, n=60):
 def test_equals_brute_force_with_and_without_common_blocks(frame):
     for seed, share in ((1, 0.01), (2, 1.0), (3, 0.2)):
         rows = corpus(seed)
-        got = rows_of(substring.remove_repeats(frame(rows), window=8, seed=3, share=share))
+        got = rows_of(substring.remove_repeats(frame(rows), window=8, seed=3, share=share, index_windows=40 * seed))
         assert got == brute(rows, 8)
 
 
+def test_factors_are_longest_matches_that_refer_to_an_equal_place(frame):
+    for share in (0.05, 1.0):
+        rows = [r for r in corpus(5) if r[0] is not None]
+        words = {}
+        for i, t in rows:
+            words.setdefault(i, []).append(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+        found = substring.duplicate_factors(frame(rows), window=8, seed=3, share=share).collect()
+        assert found
+        for f in found:
+            n = f.n + 7
+            own = {tuple(w[f.first : f.first + n]) for w in words[f.doc_id]}
+            assert own & {tuple(w[f.reference_first : f.reference_first + n]) for w in words[f.reference]}
+            assert (f.doc_id, f.first) != (f.reference, f.reference_first) or len(words[f.doc_id]) > 1
+
+
+def test_greedy_factors_equal_brute_force():
+    rng = np.random.default_rng(4)
+    for n, sigma, cut in ((1, 2, 1), (40, 3, 5), (300, 4, 9), (300, 200, 20), (200, 1, 7)):
+        key, stretch = rng.integers(0, sigma, n).astype(np.uint64), np.arange(n) // cut
+        lists = [key[stretch == i].tolist() for i in range(stretch[-1] + 1)]
+        want = []
+        for i, own in enumerate(lists):
+            at = 0
+            while at < len(own):
+                best = 0
+                for j, other in enumerate(lists):
+                    for k in range(len(other)):
+                        size = 0
+                        while (i, at) != (j, k) and at + size < len(own) and k + size < len(other) and own[at + size] == other[k + size]:
+                            size += 1
+                        best = max(best, size)
+                if best:
+                    want.append((i * cut + at, best))
+                at += max(best, 1)
+        at, length, source = substring.greedy_factors(key, stretch)
+        assert sorted(zip(at.tolist(), length.tolist())) == want
+        for a, m, b in zip(at, length, source):
+            assert a != b and (key[a : a + m] == key[b : b + m]).all() and stretch[b] == stretch[b + m - 1]
+
+
+def test_very_long_texts(frame):
+    rnd = random.Random(8)
+    words = [f"w{rnd.randrange(10**6)}" for _ in range(150_000)]
+    got = rows_of(substring.remove_repeats(frame([(1, " ".join(words)), (2, " ".join(words[40_000:90_000])), (3, "x")])))
+    assert [(r[0], r[2]) for r in got] == [(1, 50_000), (2, 50_000), (3, 0)]
+
+
 def test_empty_table_and_other_columns(frame):
     from pyspark.sql import functions as F
 
