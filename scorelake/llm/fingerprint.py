@@ -2,7 +2,7 @@
 
 A paragraph is a line that holds more than white space, trimmed; a line's sentences are paragraphs
 too, so that texts without line breaks have parts.  Each is hashed to a wide vector of +1 and -1
-lanes, and a document's fingerprint is the sum of the vectors modulo 2**16: independent of their
+lanes, and a document's fingerprint is the sum of the vectors modulo 2**32: independent of their
 order, and updated by adding or subtracting single paragraphs.  The text as a whole adds nothing,
 so two texts with the same paragraphs in another order are equal on purpose.
 
@@ -10,6 +10,8 @@ The sums are also a linear sketch: the cosine of two fingerprints (lanes read as
 estimates that of their paragraph multisets, with a standard error of about 1/sqrt(lanes).
 
 Null counts as the empty text, whose fingerprint is zero; repeated rows have equal fingerprints.
+Texts are used whole, and lanes hold the sums of two thousand million parts.  Columns other than
+doc_id and text are ignored.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LANES = 512
+from ._ranges import NO_ID, cut_points, range_number
+
+LANES = 256
 PART = re.compile(r"[^.!?\r\n]+[.!?]*")
 
 
@@ -35,17 +38,19 @@ def paragraphs(text: str) -> list[bytes]:
 
 def vector(part: bytes) -> np.ndarray:
     """+1 / -1 lanes of one paragraph."""
-    bits = np.unpackbits(np.frombuffer(hashlib.blake2b(part, digest_size=64).digest(), np.uint8))
-    return bits.astype(np.int16) * np.int16(2) - np.int16(1)
+    bits = np.unpackbits(np.frombuffer(hashlib.blake2b(part, digest_size=LANES // 8).digest(), np.uint8))
+    return bits.astype(np.int32) * np.int32(2) - np.int32(1)
 
 
 def multiset_sum(parts: list[bytes]) -> np.ndarray:
-    """Sum of the paragraphs' vectors, modulo 2**16."""
+    """Sum of the paragraphs' vectors, modulo 2**32."""
     if not parts:
-        return np.zeros(LANES, np.int16)
-    digests = b"".join([hashlib.blake2b(p, digest_size=64).digest() for p in parts])
-    ones = np.unpackbits(np.frombuffer(digests, np.uint8).reshape(len(parts), -1), axis=1).sum(axis=0, dtype=np.int64)
-    return (2 * ones - len(parts)).astype(np.int16)
+        return np.zeros(LANES, np.int32)
+    ones = np.zeros(LANES, np.int64)
+    for at in range(0, len(parts), 4096):
+        digests = b"".join([hashlib.blake2b(p, digest_size=LANES // 8).digest() for p in parts[at : at + 4096]])
+        ones += np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, LANES // 8), axis=1).sum(axis=0, dtype=np.int64)
+    return (2 * ones - len(parts)).astype(np.int32)
 
 
 def insert(fingerprint: np.ndarray, part: bytes) -> np.ndarray:
@@ -57,11 +62,11 @@ def delete(fingerprint: np.ndarray, part: bytes) -> np.ndarray:
 
 
 def encode(fingerprint: np.ndarray) -> str:
-    return base64.b64encode(fingerprint.astype("<i2").tobytes()).decode()
+    return base64.b64encode(fingerprint.astype("<i4").tobytes()).decode()
 
 
 def decode(text: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(text), "<i2")
+    return np.frombuffer(base64.b64decode(text), "<i4")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -79,51 +84,29 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _cuts(docs: DataFrame, parts: int) -> list[int]:
-    """Ids that split the documents into about ``parts`` ranges: at most ``parts`` numbers."""
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).first()[0] if parts > 1 else None
-    return sorted(set(cuts or []))
-
-
 def fingerprint_pairs(docs: DataFrame, rows_per_range: int = 20_000) -> DataFrame:
     """Per document: its fingerprint, its edited text's, and how alike they and the next document's are.
 
     The next document is the one with the next smaller doc_id (after the smallest, the largest).
-    Documents are dealt to id ranges once, and each range also gets the first document of the
-    range below it, so one shuffle of the texts is all.  Null ids come last; equal ids are ordered
-    by text.
+    Documents are dealt to ranges once, one a task, and each range also gets the first document of
+    the range below it, so one shuffle of the texts is all.  Null ids come last; rows of one id are
+    ordered by their texts' hashes, so they fall into several ranges where they are many.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = docs.count()
-    spark = docs.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = _cuts(docs, max(1, min(max(width, total // rows_per_range), 10_000)))
-    dealt = docs.withColumn("range", _range_of(cuts))
-    # The first document of each range is a guest of the range before it; this table has a row a range.
-    tops = sorted((r["range"], r["top"]) for r in dealt.groupBy("range").agg(F.max("doc_id").alias("top")).collect())
-    host = {r: tops[i - 1][0] for i, (r, _) in enumerate(tops)}
-    heads = spark.createDataFrame([(r, top, host[r]) for r, top in tops], "range int, top long, host int")
+    keyed = docs.withColumns({"id": F.coalesce("doc_id", F.lit(NO_ID)), "hash": F.xxhash64("text")})
+    dealt = keyed.withColumn("range", range_number(F.col("id"), F.col("hash"), cut_points(keyed.select("id", "hash"), rows_per_range)))
+    # The first document of each range is a guest of the range above it, and that of the last one of the lowest range; this table has a row a range.
+    tops = sorted((r["range"], r["top"]["id"], r["top"]["hash"]) for r in dealt.groupBy("range").agg(F.max(F.struct("id", "hash")).alias("top")).collect())
+    heads = docs.sparkSession.createDataFrame([(r, i, h, tops[(k + 1) % len(tops)][0]) for k, (r, i, h) in enumerate(tops)], "range int, top_id long, top_hash long, host int")
+    own, guest = F.struct(F.col("range").alias("at"), F.lit(False).alias("guest")), F.struct(F.col("host").alias("at"), F.lit(True).alias("guest"))
     rows = (
         dealt.join(F.broadcast(heads), "range")
-        .withColumn("homes", F.when(F.col("doc_id").eqNullSafe(F.col("top")), F.array(F.struct(F.col("range").alias("at"), F.lit(False).alias("guest")), F.struct(F.col("host").alias("at"), F.lit(True).alias("guest")))).otherwise(F.array(F.struct(F.col("range").alias("at"), F.lit(False).alias("guest")))))
-        .select("doc_id", "text", F.explode("homes").alias("home"))
-        .select("doc_id", "text", "home.at", "home.guest")
+        .withColumn("homes", F.when((F.col("id") == F.col("top_id")) & (F.col("hash") == F.col("top_hash")), F.array(own, guest)).otherwise(F.array(own)))
+        .select("doc_id", "text", "id", "hash", F.explode("homes").alias("home"))
     )
-    n = max(1, len(tops))
-    sorted_rows = rows.repartition(n, "at").sortWithinPartitions("at", "guest", F.desc("doc_id"), "text")
-    return sorted_rows.mapInArrow(_compare, SCHEMA)
-
-
-def _range_of(cuts: list[int]):
-    """Number of the id range, 0 for the largest ids; null ids have the last one to themselves."""
-    edges = np.array(cuts, np.int64)
-
-    @F.pandas_udf("int")
-    def number(ids: pd.Series) -> pd.Series:
-        at = len(edges) - np.searchsorted(edges, ids.fillna(0).to_numpy(np.int64), "right")
-        return pd.Series(np.where(ids.isna(), len(edges) + 1, at).astype(np.int32))
-
-    return number("doc_id")
+    n = max(1, tops[-1][0] + 1 if tops else 1)
+    ordered = rows.select("doc_id", "text", "home.at", "home.guest", "id", "hash").repartitionById(n, F.col("at")).sortWithinPartitions("at", "guest", F.desc("id"), F.desc("hash"), "text")
+    return ordered.select("doc_id", "text", "at", "guest").mapInArrow(_compare, SCHEMA)
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
