@@ -1,8 +1,9 @@
 """WARC archives: a deterministic sharded writer and a reader.
 
-Pages are cut into ranges of ``page_id`` (cut points from the ids that hash smallest, so they
-depend on the data alone), each range is sorted by one task and written as gzip members, one a
-record, into files that roll at ``roll_bytes`` of compressed size.  Headers and digests are worked
+Pages are cut into ranges of page_id and payload digest (cut points from the pairs that hash
+smallest, so they depend on the data alone, and many pages of one id fall into several ranges),
+each range is sorted by one task and written as gzip members, one a record, into files that roll
+at ``roll_bytes`` of compressed size.  Headers and digests are worked
 out anew, record ids are name-based UUIDs, the date is an argument: the same pages give the same
 bytes.
 
@@ -17,7 +18,7 @@ by digest in a narrow table; the pages themselves are shuffled once.
 
 A null payload counts as empty, a null url leaves the field out; null ids come first and refer
 to a page with an id where there is one; rows that repeat the stored page's id and payload are
-stored too.  Extra columns are ignored.  Archive folders are reached by pyarrow (file, hdfs, s3,
+stored too.  Extra columns are ignored.  An empty table gives an empty manifest.  Archive folders are reached by pyarrow (file, hdfs, s3,
 gs); pages by any reader of Spark.
 """
 
@@ -31,13 +32,13 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ._ranges import MOST_RANGES, NO_ID, cut_points, range_number
+
 ROLL_BYTES = 16 << 20
 ROWS_PER_RANGE = 20_000
 DATE = "1970-01-01T00:00:00Z"
@@ -74,15 +75,6 @@ def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, l
     return _member([*fields, ("Content-Type", "application/http;msgtype=response")], block)
 
 
-def _cuts(pages: DataFrame, rows_per_range: int) -> list[int]:
-    """Cut points of near-equal ranges, from a bounded sample that depends on the ids alone."""
-    n = pages.count()
-    ranges = min(max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // rows_per_range), 10_000)
-    sample = pages.select("page_id").where("page_id is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(20 * ranges)
-    ids = sorted({r.page_id for r in sample.collect()})
-    return sorted({ids[len(ids) * i // ranges] for i in range(1, ranges)}) if ids else []
-
-
 def write_warc(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, roll_bytes: int = ROLL_BYTES, rows_per_range: int = ROWS_PER_RANGE, date: str = DATE) -> DataFrame:
     """Write the archives under ``folder``; the manifest (name, records, bytes, sha256) is returned."""
     spark = pages.sparkSession
@@ -92,17 +84,15 @@ def write_warc(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, roll_b
     leads = narrow.groupBy("digest").agg(F.max("page_id").alias("lead"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
     revisits = narrow.join(leads, "digest").where("not (page_id <=> lead)").select("page_id", "digest", "lead").distinct()
 
-    edges = np.array(_cuts(pages, rows_per_range), np.int64)
-
-    @F.pandas_udf("int")
-    def range_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.where(ids.isna(), 0, np.searchsorted(edges, ids.fillna(0).to_numpy(np.int64), "right")).astype(np.int32))
+    # The first 60 bits of a digest stand in its order.
+    place = [F.coalesce("page_id", F.lit(NO_ID)), F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")]
+    cuts = cut_points(pages.select("page_id", F.sha1("payload").alias("digest")).select(place[0].alias("id"), place[1].alias("hash")), rows_per_range)
 
     # A page's revisit marks come before the page in the sort.
     marks = revisits.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "digest", "lead", F.lit(0).alias("kind"))
     whole = pages.select("page_id", "url", "payload", F.sha1("payload").alias("digest"), F.lit(None).cast("long").alias("lead"), F.lit(1).alias("kind"))
-    dealt = marks.unionByName(whole).withColumn("range", range_of("page_id"))
-    ordered = dealt.repartition(len(edges) + 1, "range").sortWithinPartitions("range", "page_id", "digest", "kind", "url")
+    dealt = marks.unionByName(whole).withColumn("range", range_number(*place, cuts))
+    ordered = dealt.repartitionById(len(cuts[0]) + 1, F.col("range")).sortWithinPartitions("range", "page_id", "digest", "kind", "url")
     pending = ordered.mapInArrow(_writer(folder, roll_bytes, date), MANIFEST)
     pending.write.mode("overwrite").parquet(f"{folder}/_pending")
     chosen = spark.read.schema(MANIFEST).parquet(f"{folder}/_pending")
@@ -181,7 +171,8 @@ RECORDS = "page_id long, url string, record_id string, record_type string, refer
 def read_warc(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
     """The response and revisit records of all files that the manifest lists; digests are checked."""
     names = spark.read.parquet(f"{folder}/manifest").select("name")
-    files = names.repartition(max(1, names.count()))
+    # Several files a task where there are many; a file is read as a stream.
+    files = names.repartition(max(1, min(names.count(), MOST_RANGES)), "name")
     keep = with_payload
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -53,3 +53,12 @@ def test_empty_table(spark):
     folder = scratch_path(spark, "warc-test")
     assert warc.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), folder).count() == 0
     assert warc.read_warc(spark, folder).count() == 0
+
+
+def test_many_pages_of_one_id_fall_into_several_files(spark):
+    pages = spark.createDataFrame([(None, "u", f"page {i}") for i in range(60)] + [(3, "u", f"three {i % 9}") for i in range(60)], "page_id long, url string, html string")
+    folder = scratch_path(spark, "warc-test")
+    manifest = warc.write_warc(pages, folder, rows_per_range=10).collect()
+    assert len(manifest) > 6 and sum(r.records for r in manifest) == 120
+    records = warc.read_warc(spark, folder).collect()
+    assert sorted((r.page_id is None, bytes(r.payload)) for r in records) == sorted((i is None, h.encode()) for i, _, h in map(tuple, pages.collect()))
