@@ -9,7 +9,11 @@ gives the same result as averaging first.
 Training takes at most ``max_train`` labelled rows, those with the smallest hash of their id; the
 sample is all that reaches the driver.  Scoring reads whole texts where they are: no shuffle.
 Null and empty texts have no features and get the score of the bias; rows without a label, with
-a null label or with contradicting labels aren't trained on; with no usable label every score is 0.5.
+a null label or with contradicting labels aren't trained on; with no usable label, as in an empty
+table, every score is 0.5.  Columns that aren't asked for are ignored, an input column ``score`` is
+replaced.
+
+One feature is made by hand: a word said twice in a row is the same feature whatever the word.
 """
 
 from __future__ import annotations
@@ -105,12 +109,15 @@ def held_out(doc_id):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> DataFrame:
-    """(quality, text) of a bounded sample: the labelled, not held-out rows whose ids hash smallest."""
+    """(quality, text) of a bounded sample: the labelled, not held-out rows whose ids hash smallest; repeated rows count once."""
     known = labels.where(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_most"))
     known = known.where((F.col("quality") == F.col("_most")) & ~held_out(F.col("doc_id"))).select("doc_id", "quality")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    # At most ``max_train`` short rows: small enough to broadcast by its bound.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("_digest"))
+    # At most ``max_train`` short rows each: small enough to broadcast by their bound.
+    several = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "_digest", "quality").distinct()
+    rows = several.orderBy(F.xxhash64("doc_id"), "doc_id", "_digest").limit(max_train)
+    return docs.join(F.broadcast(rows), ["doc_id", "_digest"]).groupBy("doc_id", "_digest", "quality").agg(F.first("text").alias("text")).select("quality", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, buckets: int = BUCKETS) -> Model:
