@@ -11,7 +11,8 @@ Texts don't move: no shuffle.  Test items are a stated query set; they are colle
 at most ``block_bytes`` and a set larger than that is searched block by block.
 
 Nulls, empty texts and items without words have no words and no hits; repeated rows each get their
-own result; an item that occurs twice under one id counts once; an empty table gives no rows.
+own result; an item that occurs twice under one id counts once, one without an id is searched but not
+named; an empty table gives no rows.  Very long texts are a shard of their own.
 Input columns named like a result column are replaced by it.
 """
 
@@ -24,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import fresh, materialise
 from ._text import NON_ALNUM, Words, chunks, segment
 
 WINDOW = 10
@@ -224,7 +226,7 @@ def _search_shard(shard: list[Words], phrases: Phrases) -> list[tuple[int, list[
                 last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(begin) - 1]])
                 spans = list(zip(begin[new].tolist(), reach[last].tolist()))
                 items = {i for p in np.unique(phrase[lo:hi]) for i in phrases.owners[phrases.owner_of[p] : phrases.owner_of[p + 1]].tolist()}
-                ids = sorted({phrases.ids[i] for i in items})
+                ids = sorted({phrases.ids[i] for i in items if phrases.ids[i] is not None})
             out.append((int(words.offsets[doc + 1] - words.offsets[doc]), spans, ids, words, doc))
         base += len(words.hash)
     return out
@@ -298,24 +300,23 @@ def find_contamination(
     if n_blocks == 1:
         block = [(r.id, bytes(r.text)) for r in known.collect()]
         return _pass(docs, block, window, shard_bytes, remove)
-    from ._spark import materialise
-
-    keyed = materialise(docs.withColumn("_row", F.expr("uuid()")), "decontaminate-rows")
+    row, spans = fresh(docs.columns, "_row"), fresh(docs.columns, "_spans")
+    keyed = materialise(docs.withColumn(row, F.expr("uuid()")), "decontaminate-rows")
     found = None
     for i in range(n_blocks):
-        # Blocks of near-equal size: items are dealt by a hash of their id.
-        block = [(r.id, bytes(r.text)) for r in known.where(F.expr(f"pmod(xxhash64(id), {n_blocks}) = {i}")).collect()]
-        part = _pass(keyed.select("_row", "text"), block, window, shard_bytes, False).drop("text")
+        # Blocks of near-equal size: items are dealt by a hash of their id and text.
+        block = [(r.id, bytes(r.text)) for r in known.where(F.expr(f"pmod(xxhash64(id, text), {n_blocks}) = {i}")).collect()]
+        part = _pass(keyed.select(row, "text"), block, window, shard_bytes, False).drop("text")
         found = part if found is None else found.unionByName(part)
-    merged = found.groupBy("_row").agg(
-        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    merged = found.groupBy(row).agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias(spans), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
     )
-    joined = keyed.drop(*RESULT).join(merged, "_row").drop("_row")
-    return _merge_spans(joined, remove)
+    joined = keyed.drop(*RESULT).join(merged, row).drop(row)
+    return _merge_spans(joined, spans, remove)
 
 
-def _merge_spans(df: DataFrame, remove: bool) -> DataFrame:
-    kept = [f for f in df.schema.fields if f.name != "_spans"]
+def _merge_spans(df: DataFrame, found: str, remove: bool) -> DataFrame:
+    kept = [f for f in df.schema.fields if f.name != found]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"spans {SPANS}"])
 
     def merge(batches):
@@ -323,7 +324,7 @@ def _merge_spans(df: DataFrame, remove: bool) -> DataFrame:
             rows = batch.to_pylist()
             for r in rows:
                 spans = []
-                for s in sorted((s["first"], s["end"]) for s in r.pop("_spans")):
+                for s in sorted((s["first"], s["end"]) for s in r.pop(found)):
                     if spans and s[0] <= spans[-1][1]:
                         spans[-1] = (spans[-1][0], max(spans[-1][1], s[1]))
                     else:
@@ -332,7 +333,7 @@ def _merge_spans(df: DataFrame, remove: bool) -> DataFrame:
                 if remove and spans:
                     raw = np.frombuffer(r["text"].encode(), np.uint8)
                     r["text"] = _without(segment(raw, np.array([0, len(raw)]), NON_ALNUM, True), 0, spans)
-            target = pa.schema([*(f for f in batch.schema if f.name != "_spans"), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))])
+            target = pa.schema([*(f for f in batch.schema if f.name != found), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))])
             yield pa.RecordBatch.from_pylist(rows, schema=target)
 
     return df.mapInArrow(merge, schema)

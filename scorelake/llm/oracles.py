@@ -56,7 +56,7 @@ q as (select distinct item_id, least(len(ws), 10) as m, array_to_string(ws[i : i
 win as (select doc_id, i, m, array_to_string(ws[i : i + m - 1], ' ') as t from (select doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) as i from d, (select distinct m from q) where len(ws) >= m)),
 found as (select win.doc_id, win.i, win.m, q.item_id from win join q on win.t = q.t and win.m = q.m),
 hit as (select doc_id, count(*) as n from (select distinct doc_id, unnest(range(i, i + m)) as i from found) group by 1),
-its as (select doc_id, count(*) as n, string_agg(id, ',' order by id) as ids from (select distinct doc_id, cast(item_id as varchar) as id from found) group by 1)
+its as (select doc_id, count(*) as n, string_agg(id, ',' order by id) as ids from (select distinct doc_id, cast(item_id as varchar) as id from found where item_id is not null) group by 1)
 select d.doc_id, len(ws) as n_words, coalesce(hit.n, 0) as n_hit, coalesce(its.n, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(hit.n, 0) > 0 as contaminated
 from d left join hit on hit.doc_id = d.doc_id left join its on its.doc_id = d.doc_id
 """
