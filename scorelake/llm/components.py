@@ -14,7 +14,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     Alternates large-star and small-star steps, in which every node points its larger (smaller)
     neighbours to its smallest one, until nothing changes: a number of rounds that grows with the
     logarithm of the edges.  Every round is written to the shared folder, so plans stay short and
-    a lost executor costs one round.  A node with many neighbours sends rows, never a list.
+    a lost executor costs one round.  A node with many neighbours sends rows, never a list.  Edges
+    with a null end and loops are ignored.
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     pairs = materialise(pairs, "components")

@@ -13,7 +13,9 @@ to b-th piece of length n go to sequences x onward at offset o", is a table whos
 the capacity alone.  Pieces find their run by their rank among those of their length, which comes
 from counts per (length, hash bucket), so one length that holds a third of all pieces is shared out.
 
-Null counts as empty: one piece, the end token.  Repeated rows are packed each on its own.
+Null counts as empty: one piece, the end token.  Repeated rows are packed each on its own; pieces of
+equal length take places by id, and those equal in all are interchangeable.  Texts are encoded
+whole, however long.  Columns other than doc_id and text are ignored.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -63,21 +65,19 @@ def added_tokens(path: str) -> dict[str, int]:
 
 
 class Encoder:
-    """Ids of whole texts, the same as ``tokenizers`` gives for the file.
+    """Ids of whole texts, those of ``Tokenizer.encode(text, add_special_tokens=False)`` for the file.
 
     tiktoken's encoder runs the vocabulary: measured at 6.3 MB a second and core against 1.3 to
-    1.7 for ``tokenizers`` itself.  Strings of added tokens in a text get these tokens' ids with
-    ``added``, as by ``Tokenizer.encode(text, add_special_tokens=False)``; without, they are ordinary
-    text, as with ``encode_special_tokens``.
+    1.7 for ``tokenizers`` itself.  Strings of added tokens in a text get these tokens' ids.
     """
 
-    def __init__(self, path: str, added: bool = False):
+    def __init__(self, path: str):
         import tiktoken
 
         ranks = byte_ranks(path)
         # Ids are dense up to the special tokens, which stand after the merges.
         ranks = {token: i for token, i in ranks.items() if i < len(ranks)}
-        self.encoder = tiktoken.Encoding("packing", pat_str=SPLITTER, mergeable_ranks=ranks, special_tokens=added_tokens(path) if added else {})
+        self.encoder = tiktoken.Encoding("packing", pat_str=SPLITTER, mergeable_ranks=ranks, special_tokens=added_tokens(path))
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
@@ -85,12 +85,12 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def tokenise(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, added: bool = False) -> DataFrame:
+def tokenise(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     path = path or tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, added)
+        encoder = Encoder(path)
         for batch in batches:
             out = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -152,18 +152,16 @@ def best_fit(counts: dict[int, int], capacity: int, max_docs: int, max_attention
 
 def pack(
     docs: DataFrame, capacity: int = CAPACITY, max_docs: int | None = None, max_attention: int | None = None, rule: str = "norm", path: str | None = None, buckets: int | None = None,
-    added: bool = False,
 ) -> DataFrame:
     """Pieces with sequence_id and offset.
 
-    By default the document count and attention cost allow whatever the tokens allow.  With ``added``,
-    strings of the vocabulary's added tokens get these tokens' ids.
+    By default the document count and attention cost allow whatever the tokens allow.
     """
     max_docs, max_attention = max_docs or capacity, max_attention or capacity * capacity
     spark = docs.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     pieces = materialise(
-        tokenise(docs, capacity, path, added).withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int")), "packing-pieces"
+        tokenise(docs, capacity, path).withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int")), "packing-pieces"
     )
     per_bucket = pieces.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     counts = {r["length"]: r["n"] for r in per_bucket.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # at most ``capacity`` rows

@@ -25,8 +25,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, rows_per_partition: in
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row."""
     raw = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(raw) + F.lit(1)).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
-    # Sizes come from the texts, so the row number is known only after one pass; the session's width is the least.
-    ordered = slim.repartitionByRange("doc_id", "text_crc32", "size").withColumn("part", F.spark_partition_id())
+    # Partitions grow in number with the rows; the session's width is the least.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), docs.count() // rows_per_partition)
+    ordered = slim.repartitionByRange(parts, "doc_id", "text_crc32", "size").withColumn("part", F.spark_partition_id())
     rows = materialise(ordered, "sharding-order")
     whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = (

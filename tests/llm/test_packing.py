@@ -12,7 +12,6 @@ def reference_ids():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(packing.tokenizer_path())
-    t.encode_special_tokens = True
     return lambda text: [*t.encode(text, add_special_tokens=False).ids, packing.END_TOKEN]
 
 

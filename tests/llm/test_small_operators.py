@@ -212,3 +212,126 @@ def test_secrets_before_a_stray_character():
 def test_secrets_in_a_megabyte_stream():
     code = base64.b64encode(gzip.compress(("x" + "\u00e9" * 3_000_000 + " token=abcdefgh12").encode())).decode()
     assert secrets.find_secrets(code)[1] == [(0, 0, len(code))]
+
+
+def base_by_hand(text):
+    """The contract's three patterns by a scanner of its own."""
+    found = []
+    word, hexes, big = "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    value = word + word.upper() + "0123456789+/_.=-"
+    lower = lambda c: c.lower() if c in word.upper() else c
+    i = 0
+    while i < len(text):
+        end = 0
+        for key in ("password", "passwd", "secret", "token", "apikey", "api_key"):
+            if [lower(c) for c in text[i : i + len(key)]] == list(key):
+                j = i + len(key)
+                for quoted in (1, 0):  # quotes are optional, taken where they can be
+                    k = j + (quoted and text[j : j + 1] in ("'", '"'))
+                    while text[k : k + 1] == " ":
+                        k += 1
+                    if text[k : k + 1] not in (":", "=") or k >= len(text):
+                        continue
+                    k += 1
+                    while text[k : k + 1] == " ":
+                        k += 1
+                    k += text[k : k + 1] in ("'", '"') and k < len(text)
+                    m = k
+                    while m < len(text) and text[m] in value:
+                        m += 1
+                    if m > k:
+                        end, size = m, m - k
+                        break
+            if end:
+                break
+        if end:
+            if size >= 8:
+                found.append((i, 0, end))
+            i = end
+        else:
+            i += 1
+    for kind, start, signs, least in ((1, "AKIA", big, 16), (2, "", hexes, 32)):
+        i = 0
+        while i < len(text):
+            j = i + len(start)
+            while j < len(text) and text[j] in signs:
+                j += 1
+            if text.startswith(start, i) and j > i + len(start):
+                if j - i >= least:
+                    found.append((i, kind, j))
+                i = j
+            else:
+                i += 1
+    return sorted(found)
+
+
+def test_secrets_base_kinds_equal_brute_force():
+    rnd = random.Random(12)
+    bits = ["password", "PassWd", "secret", "token", "api_key", "apikey", "'", '"', " ", "  ", ":", "=", "abc", "deadbeef", "0123456789", "AKIA", "ABCDEF123", "\u017f", "\u212a", ".", "\u00e9", "f" * 31, "=", "x-y"]
+    n = 0
+    for _ in range(6000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 25)))
+        assert secrets.scan(text) == base_by_hand(text), text
+        n += len(secrets.scan(text))
+    assert n > 2000
+
+
+def test_secrets_in_escaped_compressed_bytes(frame):
+    for pack in (gzip.compress, zlib.compress, bz2.compress):
+        code = urllib.parse.quote(pack(b"some words, token: abcdefgh12, and others"), safe="")
+        assert (4, 0, 4 + len(code)) in secrets.find_secrets(f"see {code} x")[1]
+    assert secrets.scan_secrets(frame([])).collect() == []
+
+
+def test_training_rows_are_bounded_by_rows(spark, frame):
+    docs = frame([(i % 2 * 3, f"text {i % 7}") for i in range(900)])
+    labels = spark.createDataFrame([(0, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    held = [i for i in (0, 3) if zlib.crc32(str(i).encode()) % 3 == 1]
+    got = quality.training_rows(docs, labels, 2).collect()
+    assert len(got) == (2 if len(held) < 2 else 0)
+    assert len({(r.quality, r.text) for r in quality.training_rows(docs, labels, 1000).collect()}) == 7 * (2 - len(held))
+
+
+def test_items_without_an_id_and_clashing_columns(spark, frame):
+    items = spark.createDataFrame([(None, "a b c"), (7, "a b c"), (2, "x y z"), (None, None)], "item_id long, text string")
+    docs = frame([(1, "q a b c q"), (2, "x y z"), (3, None)]).withColumns({"_row": F.lit("r"), "_spans": F.lit("s")})
+    for block_bytes in (1 << 20, 4):
+        found = decontaminate.find_contamination(docs, items, 3, block_bytes=block_bytes)
+        assert {"_row", "_spans"} < set(found.columns)
+        assert sorted((r.doc_id, r["_row"], r["_spans"], r["items"], [tuple(s) for s in r.spans]) for r in found.collect()) == [
+            (1, "r", "s", ["7"], [(1, 4)]), (2, "r", "s", ["2"], [(0, 3)]), (3, "r", "s", [], [])
+        ]
+    long = " ".join(["w"] * 300_000 + ["a", "b", "c"] + ["v"] * 300_000)
+    assert decontaminate.find_contamination(frame([(1, long)]), items, 3).first().spans[0].first == 300_000
+
+
+def test_fingerprints_of_many_parts_and_of_one_id(frame):
+    one = lambda n: fingerprint.multiset_sum([b"same sentence."] * n)
+    for few, many in ((300, 400), (30_000, 40_000), (3, 70_000)):
+        assert fingerprint.likeness(one(few), one(many)) > 0.99
+    # Lanes by a plain reading of the digest.
+    parts = [b"a", b"b", b"b"]
+    want = np.zeros(fingerprint.LANES, np.int64)
+    for p in parts:
+        digest = hashlib.blake2b(p, digest_size=fingerprint.LANES // 8).digest()
+        want += [1 if digest[i // 8] >> (7 - i % 8) & 1 else -1 for i in range(fingerprint.LANES)]
+    assert (fingerprint.multiset_sum(parts) == want).all()
+    # Rows of one id, and of none, fall into several ranges and are still one ring.
+    data = [(5, f"text {i}. more {i}.") for i in range(40)] + [(None, f"null {i}.") for i in range(40)] + [(9, "nine."), (1, "x. " * 200_000)]
+    got = fingerprint.fingerprint_pairs(frame(data).withColumns({"id": F.lit(1), "hash": F.lit("h"), "range": F.lit(0)}), 5).collect()
+    assert len(got) == len(data) and sorted(r.n_chars for r in got) == sorted(len(t) for _, t in data)
+    nine = next(r for r in got if r.doc_id == 9)
+    follow = {hashlib.sha256(("nin" + t[:2]).encode()).hexdigest() for i, t in data if i == 5}
+    assert nine.edited_sha256 in follow
+
+
+def test_likeness_estimates_the_cosine_of_multisets():
+    rng, seen = random.Random(2), []
+    for _ in range(60):
+        parts = [f"part {rng.randrange(40)}".encode() for _ in range(60)]
+        other = [rng.choice([p, f"part {rng.randrange(40)}".encode()]) for p in parts]
+        count = lambda ps: {p: ps.count(p) for p in ps}
+        x, y = count(parts), count(other)
+        true = sum(n * y.get(p, 0) for p, n in x.items()) / (sum(n * n for n in x.values()) * sum(n * n for n in y.values())) ** 0.5
+        seen.append(fingerprint.likeness(fingerprint.multiset_sum(parts), fingerprint.multiset_sum(other)) - true)
+    assert abs(np.mean(seen)) < 0.03 and np.std(seen) < 0.12
