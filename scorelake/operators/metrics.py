@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PSI_WARNING, PSI_CRITICAL = 0.10, 0.25
-CUTS = 64
+CUTS, ROWS_PER_CUT = 64, 500_000
 
 
 def roc_metrics(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
@@ -18,7 +18,8 @@ def roc_metrics(df: DataFrame, label: str, score: str, by: list[str] | None = No
     """
     by = by or []
     rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    cuts = rows.agg(F.percentile_approx(score, [i / CUTS for i in range(1, CUTS)], 1000)).first()[0] or []
+    number = min(max(CUTS, rows.count() // ROWS_PER_CUT), 4096)  # ranges grow in number with the rows
+    cuts = rows.agg(F.percentile_approx(score, [i / number for i in range(1, number)], 10 * number)).first()[0] or []
     points = rows.groupBy(*by, F.col(score).cast("double").alias("_s")).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n"))
     points = points.withColumn("_part", F.size(F.filter(F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>"), lambda c: c < F.col("_s"))))
     totals = points.groupBy(*by, "_part").agg(F.sum("_p").alias("_pt"), F.sum("_n").alias("_nt"))
@@ -100,6 +101,26 @@ def metric_log(metrics: DataFrame, key: str, names: list[str], model: str, run:
     return rows.select(F.lit(model).alias("model_name"), F.lit(run).alias("run_timestamp"), "population", "metric", "value", F.lit("none").alias("alert_level"))
 
 
+#: The columns of an evaluation record.
+EVALUATION = [
+    "model_name string", "challenger_version long", "champion_version long", "evaluation_timestamp string", "eval_rows long", "auc double", "gini double", "ks double",
+    "weighted_gini_by_dp3 double", "weighted_gini_by_pop double", "sas_correlation double", "sas_mean_diff double", "sas_max_abs_diff double", "champion_gini double", "comparison_result string",
+]
+
+
+def evaluation_record(overall: DataFrame, by_month: DataFrame, by_population: DataFrame, agreement: DataFrame, comparison: DataFrame, model: str, version: int, champion: int | None, run: str) -> DataFrame:
+    """One row in the fixed schema EVALUATION from the one-row results of roc_metrics, weighted_gini (two), reconcile and compare_models."""
+    parts = [
+        overall.select(F.col("n").alias("eval_rows"), "auc", "gini", "ks"), by_month.select(F.col("weighted_gini").alias("weighted_gini_by_dp3")), by_population.select(F.col("weighted_gini").alias("weighted_gini_by_pop")),
+        agreement.select(F.col("correlation").alias("sas_correlation"), F.col("mean_diff").alias("sas_mean_diff"), F.col("max_abs_diff").alias("sas_max_abs_diff")), comparison.select("champion_gini", "comparison_result"),
+    ]
+    row, *rest = [p.withColumn("_k", F.lit(1)) for p in parts]  # single rows
+    for p in rest:
+        row = row.join(F.broadcast(p), "_k")
+    row = row.withColumns({"model_name": F.lit(model), "challenger_version": F.lit(version), "champion_version": F.lit(champion), "evaluation_timestamp": F.lit(run)})
+    return row.select(*[F.col(c.split()[0]).cast(c.split()[1]).alias(c.split()[0]) for c in EVALUATION])
+
+
 def alert_rollup(log: DataFrame) -> DataFrame:
     """Alerts by level and the retraining decision."""
     critical = F.count_if(F.col("alert_level") == "critical")

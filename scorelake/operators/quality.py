@@ -23,29 +23,34 @@ def run_checks(
     """The suite: row count, required columns, null counts, key uniqueness, value ranges, class balance.
 
     Columns that aren't there are skipped by the null check (``required`` is what reports them);
-    any null fails; an all-null column passes its range; ``target`` is (column, bad, good).
+    any null fails; an all-null column passes its range; ``target`` is (column, bad, good).  Null
+    percentages, averages and the good:bad ratio come as rows of their own.
     """
     ranges = ranges or {}
     not_null = tuple(c for c in not_null if c in df.columns)
     aggregates = [F.count("*").alias("rows")]
     aggregates += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in not_null]
     for c in ranges:
-        aggregates += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+        aggregates += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"), F.avg(c).alias(f"avg_{c}")]
     if keys:
         aggregates.append(F.count_distinct(F.struct(*keys)).alias("distinct_keys"))
     if target:
         aggregates += [F.count_if(F.col(target[0]) == target[1]).alias("bad"), F.count_if(F.col(target[0]) == target[2]).alias("good")]
     checks = [("row_count", "*", F.col("rows") >= min_rows, F.col("rows"))]
     checks += [("required", c, F.lit(c in df.columns), F.lit(float(c in df.columns))) for c in required]
-    checks += [("not_null", c, F.col(f"nulls_{c}") == 0, F.col(f"nulls_{c}")) for c in not_null]
+    for c in not_null:
+        nulls = F.col(f"nulls_{c}")
+        checks += [("not_null", c, nulls == 0, nulls), ("null_pct", c, nulls == 0, nulls * 100.0 / F.nullif(F.col("rows"), F.lit(0)))]
     if keys:
         duplicates = F.col("rows") - F.col("distinct_keys")
         checks.append(("unique", ",".join(keys), duplicates == 0, duplicates))
     for c, (low, high) in ranges.items():
         checks += [("range_min", c, F.col(f"min_{c}") >= low, F.col(f"min_{c}")), ("range_max", c, F.col(f"max_{c}") <= high, F.col(f"max_{c}"))]
+        checks.append(("range_avg", c, F.lit(True), F.col(f"avg_{c}")))
     if target:
         share = F.col("bad") * 100.0 / F.nullif(F.col("rows"), F.lit(0))
         checks.append(("bad_share", target[0], share.between(*bad_share), share))
+        checks.append(("good_bad_ratio", target[0], F.lit(True), F.col("good") / F.nullif(F.col("bad"), F.lit(0))))
     return long_form(df.agg(*aggregates), checks)
 
 

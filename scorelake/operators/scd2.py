@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import join_keyed
+
 VERSION = ["_row_hash", "_is_current", "_effective_from", "_effective_to"]
 SEPARATOR, MISSING = "\x1f", "\x00"
 
@@ -58,37 +60,53 @@ def backfill_versions(df: DataFrame, start: Column, exclude: tuple[str, ...] = (
     return stamp(df.withColumn("_row_hash", row_hash(df, exclude)), start)
 
 
-def apply(current: DataFrame | None, batch: DataFrame, keys: list[str], now: Column, close_at: str = "business", delete_when: Column | None = None) -> DataFrame:
-    """The table after a versioned batch: changed versions closed, new and changed rows added.
-
-    Rows of ``batch`` that ``delete_when`` holds for close the current version and add nothing.
-    Unchanged rows, and rows that start before the current version (late ones), change nothing;
-    applying a batch twice is applying it once.
-    """
+def judge(current: DataFrame, batch: DataFrame, keys: list[str], delete_when: Column | None = None) -> DataFrame:
+    """A versioned batch with ``_change``: NEW, CHANGED, UNCHANGED, LATE, DELETED or NONE (a delete of nothing)."""
     deleted = F.coalesce(delete_when, F.lit(False)) if delete_when is not None else F.lit(False)
     batch = batch.withColumn("_deletes", deleted)
-    if current is None:
-        return batch.where("not _deletes").drop("_deletes")
     active = current.where("_is_current").select(*keys, F.col("_row_hash").alias("_old_hash"), F.col("_effective_from").alias("_old_from"), F.lit(True).alias("_known"))
-    judged = batch.join(active, keys, "left").withColumn(
-        "_change",
+    change = (
         F.when(F.col("_known").isNull(), F.when(F.col("_deletes"), F.lit("NONE")).otherwise(F.lit("NEW")))
         .when(F.col("_effective_from") < F.col("_old_from"), F.lit("LATE"))
         .when(F.col("_deletes"), F.lit("DELETED"))
         .when(~F.col("_row_hash").eqNullSafe(F.col("_old_hash")), F.lit("CHANGED"))
-        .otherwise(F.lit("UNCHANGED")),
+        .otherwise(F.lit("UNCHANGED"))
     )
+    return join_keyed(batch, active, keys, "left").withColumn("_change", change).drop("_deletes", "_old_hash", "_old_from", "_known")
+
+
+def change_counts(judged: DataFrame) -> DataFrame:
+    """What a run did: rows that were new, changed (closed and added again) and unchanged."""
+    count = lambda kind: F.count_if(F.col("_change") == kind)
+    return judged.agg(count("NEW").alias("new_rows"), count("CHANGED").alias("changed_rows"), count("UNCHANGED").alias("unchanged_rows"))
+
+
+def apply(current: DataFrame | None, batch: DataFrame, keys: list[str], now: Column, close_at: str = "business", delete_when: Column | None = None) -> DataFrame:
+    """The table after a versioned batch: changed versions closed, new and changed rows added.
+
+    Rows of ``batch`` that ``delete_when`` holds for close the current version and add nothing.
+    Unchanged rows, and rows that start before the current version (late ones), change nothing;
+    applying a batch twice is applying it once.  Null keys are keys like others.
+    """
+    if current is None:
+        return batch.where(~F.coalesce(delete_when, F.lit(False))) if delete_when is not None else batch
+    # Closed versions never change: only the current part meets the batch.
+    closed, active = current.where("not _is_current"), current.where("_is_current")
+    judged = judge(current, batch, keys, delete_when)
     ends = judged.where("_change in ('CHANGED', 'DELETED')").select(*keys, (F.col("_effective_from") if close_at == "business" else now).alias("_end"), F.lit(True).alias("_closes"))
-    kept = current.join(ends, keys, "left")
-    closes = F.col("_is_current") & F.coalesce(F.col("_closes"), F.lit(False))
-    kept = kept.withColumns({"_effective_to": F.when(closes, F.col("_end")).otherwise(F.col("_effective_to")), "_is_current": F.col("_is_current") & ~closes}).select(*current.columns)
-    added = judged.where("_change in ('NEW', 'CHANGED')").select(*batch.drop("_deletes").columns)
-    return kept.unionByName(added, allowMissingColumns=True)
+    closes = F.coalesce(F.col("_closes"), F.lit(False))
+    kept = join_keyed(active, ends, keys, "left")
+    kept = kept.withColumns({"_effective_to": F.when(closes, F.col("_end")).otherwise(F.col("_effective_to")), "_is_current": ~closes}).select(*current.columns)
+    added = judged.where("_change in ('NEW', 'CHANGED')").drop("_change")
+    return closed.unionByName(kept).unionByName(added, allowMissingColumns=True)
 
 
 def from_log(df: DataFrame, keys: list[str], ts: str, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """All versions of a change log: runs of equal state collapse, each ends where the next begins."""
-    by_time = Window.partitionBy(*keys).orderBy(ts)
+    """All versions of a change log: runs of equal state collapse, each ends where the next begins.
+
+    Rows of one time are ordered by their hash; all but the last of them hold for no time at all.
+    """
+    by_time = Window.partitionBy(*keys).orderBy(ts, "_row_hash")
     hashed = df.withColumn("_row_hash", row_hash(df, (ts, *exclude)))
     starts = hashed.withColumn("_before", F.lag("_row_hash").over(by_time)).where("_row_hash is distinct from _before").drop("_before")
     return starts.withColumns({"_effective_from": F.col(ts), "_effective_to": F.lead(ts).over(by_time)}).withColumn("_is_current", F.col("_effective_to").isNull())

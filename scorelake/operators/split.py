@@ -33,7 +33,7 @@ def exact_quota(df: DataFrame, key: str, strata: list[str], share: float, seed:
 
     Ranks come from counts per (stratum, slice of the bucket range), so a large stratum is ranked in parallel.
     """
-    slices = 256
+    slices = min(max(256, df.count() // 500_000), 65_536)  # they grow in number with the rows
     rows = df.withColumn("_bucket", bucket(F.col(key), seed)).withColumn("_slice", F.floor(F.col("_bucket") * slices / SPAN).cast("int"))
     per_slice = rows.groupBy(*strata, "_slice").agg(F.count("*").alias("_n"))
     along = Window.partitionBy(*strata).orderBy("_slice")

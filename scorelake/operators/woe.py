@@ -15,18 +15,48 @@ def long_form(df: DataFrame, features: list[str], target: str, kind: str) -> Dat
     return df.select(F.col(target).cast("int").alias("target"), F.inline(F.array(*items))).where("value is not null")
 
 
-def quantile_edges(long: DataFrame, bins: int = 10, exact: bool = True) -> DataFrame:
-    """Per feature, distinct quantile edges; ``exact=False`` for data too large to sort per feature."""
-    shares = [i / bins for i in range(bins + 1)]
-    points = F.percentile("value", F.array(*map(F.lit, shares))) if exact else F.percentile_approx("value", shares, 100_000)
-    edges = long.groupBy("feature").agg(points.alias("points"))
-    return edges.select("feature", F.array_sort(F.array_distinct("points")).alias("edges"))
+RANGES = 64
+
+
+def quantiles(long: DataFrame, shares: list[float]) -> DataFrame:
+    """Per feature, the exact quantiles of ``value`` (between neighbours by their distance), as ``points``.
+
+    Values are counted, and their ranks come in two levels: totals of value ranges, then running
+    counts inside each range, so no task holds or orders all values of a feature.
+    """
+    counted = long.groupBy("feature", "value").agg(F.count("*").alias("_c"))
+    cuts = long.groupBy("feature").agg(F.percentile_approx("value", [i / RANGES for i in range(1, RANGES)], 1000).alias("_cuts"))  # a row a feature
+    dealt = counted.join(F.broadcast(cuts), "feature").withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")
+    along = Window.partitionBy("feature").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy("feature", "_range").agg(F.sum("_c").alias("_n"))
+    totals = totals.select("feature", "_range", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy("feature")).alias("_all"))
+    inside = Window.partitionBy("feature", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = dealt.join(F.broadcast(totals), ["feature", "_range"]).withColumn("_end", F.col("_before") + F.sum("_c").over(inside))
+    found, points = [], []
+    for i, share in enumerate(shares):
+        at = F.lit(share) * (F.col("_all") - 1)
+        holds = lambda rank: (rank >= F.col("_end") - F.col("_c")) & (rank < F.col("_end"))
+        found += [F.max(F.when(holds(F.floor(at)), F.col("value"))).alias(f"_low{i}"), F.max(F.when(holds(F.ceil(at)), F.col("value"))).alias(f"_high{i}")]
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        points.append(F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high))
+    rows = ranked.groupBy("feature").agg(F.first("_all").alias("_all"), *found)
+    return rows.select("feature", F.array(*points).alias("points"))
+
+
+def quantile_edges(long: DataFrame, bins: int = 10) -> DataFrame:
+    """Per feature, distinct quantile edges; a feature of one value, which has no quantile bands, gets bands of one width."""
+    edges = quantiles(long, [i / bins for i in range(bins + 1)]).select("feature", F.array_sort(F.array_distinct("points")).alias("edges"))
+    wide = equal_width_edges(long, bins).withColumnRenamed("edges", "_wide")
+    return edges.join(wide, "feature").select("feature", F.when(F.size("edges") < 2, F.col("_wide")).otherwise(F.col("edges")).alias("edges"))
 
 
 def equal_width_edges(long: DataFrame, bins: int = 10) -> DataFrame:
     """Per feature, ``min(bins, max(distinct, 2))`` bands of one width."""
     shape = long.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count_distinct("value").alias("n"))
     number = F.least(F.lit(bins), F.greatest(F.lit(2), F.col("n"))).cast("int")
+    # A single value stands in the middle of its bands.
+    same = F.col("low") == F.col("high")
+    shape = shape.withColumns({"low": F.when(same, F.col("low") - 0.001 * F.greatest(F.abs("low"), F.lit(1.0))).otherwise(F.col("low")), "high": F.when(same, F.col("high") + 0.001 * F.greatest(F.abs("high"), F.lit(1.0))).otherwise(F.col("high"))})
     return shape.select("feature", F.transform(F.sequence(F.lit(0), number), lambda i: F.col("low") + (F.col("high") - F.col("low")) * i / number).alias("edges"))
 
 
@@ -35,9 +65,21 @@ def band(value: Column, edges: Column) -> Column:
     return F.greatest(F.lit(1), F.size(F.filter(edges, lambda e: e < value)))
 
 
-def continuous_bands(df: DataFrame, features: list[str], target: str, bins: int = 10, exact: bool = True) -> DataFrame:
+def band_label(number: Column, edges: Column) -> Column:
+    """A band's interval as text, open below and closed above; the lowest includes its start."""
+    shown = lambda i: F.format_string("%.3f", F.element_at(edges, i))
+    return F.concat(F.when(number == 1, "[").otherwise("("), shown(number), F.lit(", "), shown(number + 1), F.lit("]"))
+
+
+def label_bands(table: DataFrame, edges: DataFrame) -> DataFrame:
+    """A table of continuous bands with ``bin_label``, and bands numbered without gaps."""
+    labelled = table.join(F.broadcast(edges), "feature").withColumn("bin_label", band_label(F.col("band"), F.col("edges"))).drop("edges")
+    return labelled.withColumn("band", F.dense_rank().over(Window.partitionBy("feature").orderBy("band")))
+
+
+def continuous_bands(df: DataFrame, features: list[str], target: str, bins: int = 10) -> DataFrame:
     long = long_form(df, features, target, "double")
-    edges = quantile_edges(long, bins, exact)  # a row a feature
+    edges = quantile_edges(long, bins)  # a row a feature
     return long.join(F.broadcast(edges), "feature").select("feature", "target", band(F.col("value"), F.col("edges")).alias("band"))
 
 

@@ -22,17 +22,18 @@ def facilities(fact: DataFrame, bridge: DataFrame, facility: DataFrame, applicat
 
 def performance_window(rows: DataFrame, key: str, months: str, arrears: str, hardship: str, snapshot: str, horizon: int = 24) -> DataFrame:
     """Per facility, over the first ``horizon`` months: worst arrears, hardship ever, rows, last snapshot."""
+    # The names of the result.
     return rows.where(F.col(months) <= horizon).groupBy(key).agg(
-        F.max(arrears).alias("max_arrears_days_24mo"), F.max(F.when(F.col(hardship) == "Y", 1).otherwise(0)).alias("hardship_ever_24mo"),
+        F.max(arrears).alias(f"max_arrears_days_{horizon}mo"), F.max(F.when(F.col(hardship) == "Y", 1).otherwise(0)).alias(f"hardship_ever_{horizon}mo"),
         F.count("*").alias("perf_observations"), F.max(snapshot).alias("last_observed_date"),
     )
 
 
-def application_mart(fact: DataFrame, dims: list[tuple[DataFrame, list[str]]], performance: DataFrame, key: str, decision: str, date: str) -> DataFrame:
-    """The joined mart with target_flag, sample_flag and dp3_application."""
+def application_mart(fact: DataFrame, dims: list[tuple[DataFrame, list[str]]], performance: DataFrame, key: str, decision: str, date: str, horizon: int = 24) -> DataFrame:
+    """The joined mart with target_flag, sample_flag and dp3_application; ``key`` is the performance's."""
     joined = star_join(fact, dims).join(performance, key, "left")
     return joined.withColumns({
-        "target_flag": lending.target_flag(F.col(decision) == "DECLINED", F.col("max_arrears_days_24mo"), F.col("hardship_ever_24mo")),
+        "target_flag": lending.target_flag(F.col(decision) == "DECLINED", F.col(f"max_arrears_days_{horizon}mo"), F.col(f"hardship_ever_{horizon}mo")),
         "sample_flag": lending.sample_flag(F.col(decision) == "APPROVED"),
         "dp3_application": lending.month_end(F.col(date)),
     })

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# This text and the column names of the reports.
 UNKNOWN = "NULL (no ground truth)"
 
 

@@ -9,6 +9,7 @@ from ..functions import scorecard
 from ..operators import metrics, model, standardize, woe
 from ..sources.tables import load
 from . import query
+from .folders import written
 from .gold import POPULATION_SQL, populated
 
 CONTINUOUS = ["o_totalprice", "c_acctbal"]
@@ -66,6 +67,15 @@ def woe_continuous(spark, sf_dir):
     return rounded(continuous_table(spark, sf_dir), "feature", "band")
 
 
+@query(CONTINUOUS_SQL + evidence_sql("w", "banded", "band") + """
+select w.feature, cast(dense_rank() over (partition by w.feature order by band) as int) as band, w.good_count, w.bad_count,
+  case band when 1 then '[' else '(' end || printf('%.3f', e[band]) || ', ' || printf('%.3f', e[band + 1]) || ']' as bin_label from w join edges on edges.feature = w.feature""")
+def woe_labels(spark, sf_dir):
+    rows = labelled(spark, sf_dir)
+    edges = woe.quantile_edges(woe.long_form(rows, CONTINUOUS, "bad", "double"))
+    return woe.label_bands(continuous_table(spark, sf_dir), edges).select("feature", "band", "good_count", "bad_count", "bin_label")
+
+
 @query(LABELLED_SQL + CATEGORICAL_SQL + evidence_sql("w", "cb", "level") + f"select feature, level, cast(dense_rank() over (partition by feature order by level) as int) as band, {COLUMNS} from w")
 def woe_categorical(spark, sf_dir):
     return rounded(categorical_table(spark, sf_dir), "feature", "level", "band")
@@ -136,10 +146,34 @@ def weighted_gini(spark, sf_dir):
     return metrics.weighted_gini(scored_orders(spark, sf_dir), "bad", "score", "month")
 
 
-@query(X_SQL + " select o_orderkey, bad, o_totalprice from x")
+OFFERED = ["o_totalprice", "c_acctbal", "order_age"]
+FEATURES_SQL = POPULATION_SQL + """,
+a as (select application_id, _population, case when o_orderstatus <> 'P' then (o_totalprice >= 300000)::int end as bad, o_totalprice, c_acctbal, cast(date '1999-01-01' - application_date as double) as order_age
+      from pop left join customer on c_custkey = o_custkey),
+long as (select 'o_totalprice' as feature, o_totalprice as v, bad from a where _population = 'DEV' and bad is not null union all select 'c_acctbal', c_acctbal, bad from a where _population = 'DEV' and bad is not null and c_acctbal is not null
+         union all select 'order_age', order_age, bad from a where _population = 'DEV' and bad is not null),
+edges as (select feature, list_sort(list_distinct(quantile_cont(v, [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) as e from long group by 1),
+banded as (select l.feature, bad, greatest(1, len(list_filter(e, lambda q: q < v)))::int as band from long l join edges on l.feature = edges.feature),
+"""
+
+
+@query(FEATURES_SQL + evidence_sql("w", "banded", "band") + """,
+kept as (select feature from w group by 1 having sum(iv) >= 0.02)
+select application_id, _population, bad, feature, round(value, 4) as value from (
+  select application_id, _population, bad, 'o_totalprice' as feature, o_totalprice as value from a union all select application_id, _population, bad, 'c_acctbal', c_acctbal from a
+  union all select application_id, _population, bad, 'order_age', order_age from a) where feature in (select feature from kept)""")
 def feature_table(spark, sf_dir):
-    rows = labelled(spark, sf_dir)
-    return woe.feature_table(rows, ["o_orderkey"], woe.select_features(woe.evidence(woe.continuous_bands(rows, ["o_totalprice"], "bad"), "band")).withColumn("status", F.lit("SELECTED")), "bad")
+    """The feature table of all populations, a row a value: only features that their IV on DEV selects."""
+    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    # A stand-in target that the amount tells and the other features don't; rejected applications have none.
+    target = F.when(F.col("o_orderstatus") != "P", (F.col("o_totalprice") >= 300000).cast("int"))
+    rows = populated(spark, sf_dir).withColumnRenamed("amount", "o_totalprice").join(customer, "c_custkey", "left")
+    rows = rows.withColumns({"bad": target, "order_age": F.date_diff(F.lit("1999-01-01").cast("date"), "application_date").cast("double")})
+    dev = rows.where("_population = 'DEV' and bad is not null")
+    table = woe.feature_table(rows, ["application_id", "_population"], woe.select_features(woe.evidence(woe.continuous_bands(dev, OFFERED, "bad"), "band")), "bad")
+    kept = [c for c in table.columns if c in OFFERED]
+    values = F.array(*[F.struct(F.lit(c).alias("feature"), F.round(F.col(c).cast("double"), 4).alias("value")) for c in kept]) if kept else F.expr("cast(array() as array<struct<feature:string,value:double>>)")
+    return table.select("application_id", "_population", "bad", F.inline(values))
 
 
 @query()
@@ -206,8 +240,8 @@ def score_lineage(spark, sf_dir):
 
 
 PSI_SQL = SCORED_SQL + """,
-b as (select min(credit_score) as lo, max(credit_score) as hi from scored where _population = 'DEV'),
-h as (select _population, least(floor((credit_score - lo) / ((hi - lo) / 10)), 9) as bin, count(*) as n from scored, b where credit_score between lo and hi group by all),
+b as (select min(final_p_good) as lo, max(final_p_good) as hi from scored where _population = 'DEV'),
+h as (select _population, least(floor((final_p_good - lo) / ((hi - lo) / 10)), 9) as bin, count(*) as n from scored, b where final_p_good between lo and hi group by all),
 g as (select p._population, i as bin, coalesce(n, 0) as n from (select distinct _population from scored) p cross join range(10) r(i) left join h on h._population = p._population and h.bin = i),
 sh as (select _population, bin, (n + 0.5) / (sum(n) over (partition by _population) + 0.5) as s from g),
 psi as (select a._population, round(sum((a.s - e.s) * ln(a.s / e.s)), 4) as psi from sh a join sh e on a.bin = e.bin and e._population = 'DEV' where a._population <> 'DEV' group by 1),
@@ -216,7 +250,7 @@ drift as (select *, case when psi >= 0.25 then 'critical' when psi >= 0.10 then
 
 
 def drift(spark, sf_dir) -> DataFrame:
-    return metrics.psi(scored(spark, sf_dir), "credit_score", "_population", "DEV")
+    return metrics.psi(scored(spark, sf_dir), "final_p_good", "_population", "DEV")
 
 
 @query(PSI_SQL + "select _population, psi, alert_level from drift")
@@ -248,7 +282,8 @@ def _training(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     customer = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment")
     orders = load(spark, sf_dir, "orders").join(customer, "o_custkey", "left").join(rows, "o_orderkey").withColumn("bad", (F.col("o_orderstatus") == "F").cast("int"))
     columns = ["o_orderkey", "_population", "bad", *NUMERIC, *CATEGORIES]
-    funded = model.prepare(orders.where("o_orderstatus <> 'P'").select(*columns), NUMERIC, CATEGORIES)
+    # Fitting passes over the rows many times: the joins are done once.
+    funded = written(model.prepare(orders.where("o_orderstatus <> 'P'").select(*columns), NUMERIC, CATEGORIES))
     return funded, model.prepare(orders.where("o_orderstatus = 'P'").select(*columns), NUMERIC, CATEGORIES, fill=True)
 
 
@@ -268,6 +303,15 @@ def reject_inference(spark, sf_dir):
     return scorecard.score_columns(model.probability(funded.unionByName(rejected), final), "p_bad").select("o_orderkey", "_population", F.round("p_bad", 6).alias("p_bad"), "credit_score", "risk_grade")
 
 
+@query()
+def logit_final_metrics(spark, sf_dir):
+    """Metrics of the model refitted on parcelled rejects, beside the first one's."""
+    funded, rejected = _training(spark, sf_dir)
+    first, final = model.reject_inference(funded.where("_population = 'DEV'"), rejected, NUMERIC, CATEGORIES, "bad")
+    of = lambda name, fitted: model.passes_gate(metrics.roc_metrics(model.probability(funded, fitted), "bad", "p_bad", ["_population"])).withColumn("model", F.lit(name))
+    return of("first", first).unionByName(of("final", final))
+
+
 @query()
 def wald_table(spark, sf_dir):
     funded, _ = _training(spark, sf_dir)
@@ -280,6 +324,8 @@ def metric_log(spark, sf_dir) -> DataFrame:
     rows = scored(spark, sf_dir).where(F.col("_observed_label").isNotNull()).withColumn("bad", (F.col("_observed_label") == "Bad").cast("int"))
     roc = metrics.roc_metrics(rows, "bad", "p_bad", ["_population"])
     log = metrics.metric_log(roc, "_population", ["auc", "gini", "ks"], "scorecard", "2024-02-01 00:00:00")
+    by_month = metrics.weighted_gini(rows.withColumn("month", F.last_day("application_date")), "bad", "p_bad", "month")
+    log = log.unionByName(metrics.metric_log(by_month.select(F.lit("ALL").alias("_population"), F.col("weighted_gini").alias("weighted_gini_dp3")), "_population", ["weighted_gini_dp3"], "scorecard", "2024-02-01 00:00:00"))
     d = drift(spark, sf_dir).select(
         F.lit("scorecard").alias("model_name"), F.lit("2024-02-01 00:00:00").alias("run_timestamp"), F.col("_population").alias("population"), F.lit("psi_p_good").alias("metric"), F.col("psi").alias("value"), "alert_level"
     )
@@ -293,3 +339,31 @@ def evaluations(spark, sf_dir) -> DataFrame:
     for version, score in ((1, "c_acctbal"), (2, "o_totalprice")):
         parts.append(metrics.roc_metrics(rows, "bad", score).select(F.lit(version).cast("long").alias("challenger_version"), F.col("n").alias("eval_rows"), "auc", "gini", "ks"))
     return parts[0].unionByName(parts[1])
+
+
+EVALUATION_SQL = X_SQL + ROC_SQL.format(by="1", score="o_totalprice") + ", " + "{months}, {segments}" + """,
+s2 as (select c_acctbal as score, sum(bad) as p, count(*) - sum(bad) as q from x where c_acctbal is not null group by 1),
+c2 as (select *, sum(q) over (order by score) as qc, sum(p) over () as pt, sum(q) over () as qt from s2),
+g2 as (select round(2 * (sum(p * (qc - q / 2)) / (max(pt) * max(qt))) - 1, 4) as gini from c2),
+d as (select o_totalprice / 1e6 as a, o_totalprice / 1e6 + c_acctbal / 1e5 as b from x where c_acctbal is not null)
+select 'scorecard' as model_name, 2::bigint as challenger_version, 1::bigint as champion_version, '2024-02-01 00:00:00' as evaluation_timestamp, roc.n as eval_rows, roc.auc, roc.gini, roc.ks,
+  m.w as weighted_gini_by_dp3, k.w as weighted_gini_by_pop, (select round(corr(a, b), 4) from d) as sas_correlation, (select round(avg(a - b), 4) from d) as sas_mean_diff, (select round(max(abs(a - b)), 4) from d) as sas_max_abs_diff,
+  g2.gini as champion_gini, case when roc.gini >= g2.gini then 'passed' else 'failed' end as comparison_result from roc, g2, m, k"""
+
+
+def _weighted_sql(name: str, by: str) -> str:
+    return f"""{name}s as (select {by} as grp, o_totalprice as score, sum(bad) as p, count(*) - sum(bad) as q from x group by all),
+{name}c as (select *, sum(q) over (partition by grp order by score) as qc, sum(p) over (partition by grp) as pt, sum(q) over (partition by grp) as qt from {name}s),
+{name}g as (select grp, sum(p + q) as n, case when max(pt) > 0 and max(qt) > 0 then round(2 * (sum(p * (qc - q / 2)) / (max(pt) * max(qt))) - 1, 4) end as gini from {name}c group by grp),
+{name} as (select round(sum(n * gini) / sum(n), 4) as w from {name}g where gini is not null)"""
+
+
+@query(EVALUATION_SQL.replace("{months}", _weighted_sql("m", "last_day(cast(o_orderdate as date))")).replace("{segments}", _weighted_sql("k", "c_mktsegment")))
+def evaluation_record(spark, sf_dir):
+    rows = labelled(spark, sf_dir).withColumn("month", F.last_day(F.to_date("o_orderdate")))
+    overall = metrics.roc_metrics(rows, "bad", "o_totalprice")
+    a = F.col("o_totalprice") / 1e6
+    agreement = metrics.reconcile(rows.withColumns({"a": a, "b": a + F.col("c_acctbal") / 1e5}), "a", "b")
+    compared = metrics.compare_models(overall, metrics.roc_metrics(rows, "bad", "c_acctbal"))
+    by = lambda key: metrics.weighted_gini(rows, "bad", "o_totalprice", key)
+    return metrics.evaluation_record(overall, by("month"), by("c_mktsegment"), agreement, compared, "scorecard", 2, 1, "2024-02-01 00:00:00")

@@ -76,6 +76,33 @@ def gold_application_mart(spark, sf_dir):
     return gold(spark, sf_dir).select(*GOLD_COLUMNS, *[F.col(c).cast("double").alias(name) for name, c in performance.items()])
 
 
+FACILITY_SQL = """
+with bridge as (select l_orderkey as application_id, min(l_partkey) as facility_key, min(cast(l_shipdate as date)) as funded_date from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus <> 'P' group by 1),
+perf as (select l_partkey as facility_key, max(cast(round(l_discount * 1000) as int)) as arrears, max(case when l_returnflag = 'R' and l_tax >= 0.08 then 1 else 0 end) as hardship, count(*) as n
+         from lineitem join orders on l_orderkey = o_orderkey where (year(l_shipdate) - year(o_orderdate)) * 12 + month(l_shipdate) - month(o_orderdate) <= 24 group by 1)
+select o_orderkey as application_id, funded_date, p_name as facility_id, p_retailprice as loan_amount_funded, p_size as loan_term_months, n as perf_observations,
+  case when o_orderstatus = 'P' then 'Rejected' when arrears >= 90 or hardship = 1 then 'Bad' when arrears = 0 then 'Good' when arrears >= 1 then 'Indeterminate' else 'NotFunded' end as target_flag
+from orders left join bridge on bridge.application_id = o_orderkey left join part on p_partkey = facility_key left join perf on perf.facility_key = bridge.facility_key
+"""
+
+
+@query(FACILITY_SQL)
+def gold_facility_mart(spark, sf_dir):
+    """Applications by way of a bridge to their facility, and the facility's performance."""
+    apps = applications(spark, sf_dir)
+    approved = apps.where("decision = 'APPROVED'").select("application_id", "application_date")
+    lines = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("application_id"), F.col("l_partkey").alias("facility_key"), "l_discount", "l_tax", "l_returnflag", F.to_date("l_shipdate").alias("l_shipdate"))
+    bridge = lines.join(approved, "application_id").groupBy("application_id").agg(F.min("facility_key").alias("facility_key"), F.min("l_shipdate").alias("funded_date"))
+    facility = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("facility_key"), F.col("p_name").alias("facility_id"), F.col("p_retailprice").alias("loan_amount_funded"), F.col("p_size").alias("loan_term_months"))
+    rows = lines.join(apps.select("application_id", "application_date"), "application_id").select(
+        "facility_key", F.round(F.col("l_discount") * 1000).cast("int").alias("arrears"), F.when((F.col("l_returnflag") == "R") & (F.col("l_tax") >= 0.08), "Y").otherwise("N").alias("hardship"),
+        lending.months_between_starts(F.col("l_shipdate"), F.col("application_date")).alias("months"), F.col("l_shipdate").alias("snapshot"),
+    )
+    window = mart.performance_window(rows, "facility_key", "months", "arrears", "hardship", "snapshot")
+    built = mart.application_mart(mart.facilities(apps, bridge, facility, "application_id", "facility_key"), [], window, "facility_key", "decision", "application_date")
+    return built.select("application_id", "funded_date", "facility_id", "loan_amount_funded", "loan_term_months", "perf_observations", "target_flag")
+
+
 @query("""
 with f as (select l_orderkey, max(case when l_returnflag = 'R' then 'Y' else 'N' end) as hardship, max(cast(round(l_discount * 1000) as int)) as days from lineitem group by 1)
 select case when days >= 90 or hardship = 'Y' then 'Bad' when days = 0 then 'Good' when days >= 1 then 'Indeterminate' else 'NotFunded' end as target_flag,

@@ -119,7 +119,7 @@ def silver_current(spark, sf_dir):
 APPLY_SQL = f"""
 with e as (select user_id, ts, event_type, cast(value as decimal(28,4)) as value, {EVENT_HASH} as h from events),
 base as (select * from (select *, row_number() over (partition by user_id order by ts desc) as n from e where ts < timestamp '{CUT}') where n = 1),
-batch as (select * from (select *, row_number() over (partition by user_id order by ts desc) as n from e where ts >= timestamp '{CUT}' and ts < timestamp '{LAST}') where n = 1),
+batch as (select * from (select *, row_number() over (partition by user_id order by ts desc) as n from e where ts >= timestamp '{CUT}') where n = 1),
 out as (
   select b.user_id, b.event_type, b.value, b.h as _row_hash, b.ts as _effective_from,
     case when c.h is not null and (c.h <> b.h or {{deleted}}) then {{end}} end as _effective_to, not (c.h is not null and (c.h <> b.h or {{deleted}})) as _is_current
@@ -133,7 +133,7 @@ def applied(spark, sf_dir, close_at: str, delete_when=None, table_only: bool = F
     rows, order = states(spark, sf_dir), [F.desc("ts")]
     ready = lambda df: scd2.versioned(df, ["user_id"], "ts", order, ntz(NOW)).drop("ts")
     base = ready(rows.where(F.col("ts") < ntz(CUT)))
-    batch = ready(rows.where((F.col("ts") >= ntz(CUT)) & (F.col("ts") < ntz(LAST))))
+    batch = ready(rows.where(F.col("ts") >= ntz(CUT)))
     out = scd2.apply(base, batch, ["user_id"], ntz(NOW), close_at, delete_when)
     return out if table_only else out.withColumn("value", F.col("value").cast("double"))
 
@@ -162,13 +162,21 @@ def scd2_summary(spark, sf_dir):
     return scd2.summary(applied(spark, sf_dir, "business", table_only=True))
 
 
+@query(_apply_sql("c.ts") + """select count(*) filter (b.h is null) as new_rows, count(*) filter (b.h <> c.h) as changed_rows, count(*) filter (b.h = c.h) as unchanged_rows
+from batch c left join base b on b.user_id = c.user_id""")
+def scd2_change_counts(spark, sf_dir):
+    rows, order = states(spark, sf_dir), [F.desc("ts")]
+    ready = lambda df: scd2.versioned(df, ["user_id"], "ts", order, ntz(NOW)).drop("ts")
+    return scd2.change_counts(scd2.judge(ready(rows.where(F.col("ts") < ntz(CUT))), ready(rows.where(F.col("ts") >= ntz(CUT))), ["user_id"]))
+
+
 @query(f"""
-select event_id, user_id, event_type, 'UPSERT' as _operation, value is null as no_value from events where ts >= timestamp '{LAST}'
+select event_id, user_id, event_type, 'UPSERT' as _operation, value is null as no_value from events where ts >= timestamp '{CUT}'
 union all select event_id, user_id, event_type, 'HISTORY', true from events where ts < timestamp '{CUT}'""")
 def history_union(spark, sf_dir):
     rows = events(spark, sf_dir)
     history = rows.where(F.col("ts") < ntz(CUT)).drop("value")
-    both = standardize.union_history(rows.where(F.col("ts") >= ntz(LAST)), history)
+    both = standardize.union_history(rows.where(F.col("ts") >= ntz(CUT)), history)
     return both.select("event_id", "user_id", "event_type", "_operation", F.col("value").isNull().alias("no_value"))
 
 
@@ -181,19 +189,29 @@ def backfill_versions(spark, sf_dir):
 
 
 @query("""
-with s as (select count(*) as n, count(*) filter (l_discount is null) as nulls, count(distinct (l_orderkey, l_linenumber)) as k, min(l_discount) as lo, max(l_discount) as hi, count(*) filter (l_returnflag = 'R') as bad from lineitem)
+with s as (select count(*) as n, count(*) filter (l_discount is null) as nulls, count(distinct (l_orderkey, l_linenumber)) as k, min(l_discount) as lo, max(l_discount) as hi, count(*) filter (l_returnflag = 'R') as bad, count(*) filter (l_returnflag = 'N') as good, avg(l_discount) as av from lineitem)
 select 'row_count' as check_name, '*' as column_name, n >= 1000 as passed, cast(n as double) as value from s
 union all select 'required', 'l_orderkey', true, 1.0 from s union all select 'required', 'l_missing', false, 0.0 from s
-union all select 'not_null', 'l_discount', nulls = 0, cast(nulls as double) from s
+union all select 'not_null', 'l_discount', nulls = 0, cast(nulls as double) from s union all select 'null_pct', 'l_discount', nulls = 0, round(nulls * 100.0 / n, 5) from s
 union all select 'unique', 'l_orderkey,l_linenumber', n = k, cast(n - k as double) from s
 union all select 'range_min', 'l_discount', lo >= 0.0, lo from s union all select 'range_max', 'l_discount', hi <= 0.05, hi from s
-union all select 'bad_share', 'l_returnflag', bad * 100.0 / n between 1 and 50, round(bad * 100.0 / n, 6) from s""")
+union all select 'range_avg', 'l_discount', true, round(av, 5) from s
+union all select 'bad_share', 'l_returnflag', bad * 100.0 / n between 1 and 50, round(bad * 100.0 / n, 5) from s
+union all select 'good_bad_ratio', 'l_returnflag', true, round(good / nullif(bad, 0), 5) from s""")
 def dq_suite(spark, sf_dir):
     lines = load(spark, sf_dir, "lineitem")
     checks = quality.run_checks(
         lines, 1000, ("l_discount", "l_gone"), ("l_orderkey", "l_missing"), ("l_orderkey", "l_linenumber"), {"l_discount": (0.0, 0.05)}, ("l_returnflag", "R", "N")
     )
-    return checks.withColumn("value", F.round("value", 6))
+    return checks.withColumn("value", F.round("value", 5))
+
+
+@query("""
+with s as (select count(*) as n, count(*) filter (l_quantity is null) as nulls, min(l_discount) as lo, max(l_discount) as hi from lineitem),
+c as (select n >= 1 as ok from s union all select nulls = 0 from s union all select nulls = 0 from s union all select lo >= 0.0 from s union all select hi <= 0.05 from s union all select true)
+select count(*) as checks, count(*) filter (not ok) as failed, case when count(*) filter (not ok) = 0 then 'PASS' else 'FAIL' end as result from c""")
+def dq_overall(spark, sf_dir):
+    return quality.overall(quality.run_checks(load(spark, sf_dir, "lineitem"), 1, ("l_quantity",), ranges={"l_discount": (0.0, 0.05)}))
 
 
 @query("""

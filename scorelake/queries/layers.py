@@ -4,27 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources import layers
+from ..sources import ingest, layers
 from ..sources.tables import TableSpec, load
 from . import query
-from .history import CUT, EVENT_HASH, LAST, NOW, events, ntz
-from .streams import shared_folder
+from .history import CUT, EVENT_HASH, NOW, events, ntz
+from .folders import shared_folder
 
 SPEC = TableSpec("EVENTS", "events", "incremental", "scd2", ("user_id",), ("ts",), "ts")
 
 
 def _bronze(spark, sf_dir):
-    """Three loads: up to a cut, up to a later one, and the same again, which finds nothing."""
+    """Three loads: up to a cut, everything, and the same again, which finds nothing."""
     path = f"{shared_folder(spark)}/bronze"
     source = events(spark, sf_dir)
-    for number, until in enumerate((CUT, LAST, LAST)):
-        layers.load_bronze(source.where(F.col("ts") < ntz(until)), path, SPEC, "mart", f"run-{number}", ntz(NOW))
+    for number, rows in enumerate((source.where(F.col("ts") < ntz(CUT)), source, source)):
+        layers.load_bronze(rows, path, SPEC, "mart", f"run-{number}", ntz(NOW))
     return spark.read.parquet(path)
 
 
 @query(f"""
 select case when ts < timestamp '{CUT}' then 'historical' else 'incremental' end as _load_type, case when ts < timestamp '{CUT}' then 'run-0' else 'run-1' end as _ingestion_id, count(*) as n, min(event_id) as low, max(event_id) as high
-from events where ts < timestamp '{LAST}' group by all""")
+from events group by all""")
 def bronze_loads(spark, sf_dir):
     return _bronze(spark, sf_dir).groupBy("_load_type", "_ingestion_id").agg(F.count("*").alias("n"), F.min("event_id").alias("low"), F.max("event_id").alias("high"))
 
@@ -33,7 +33,7 @@ SILVER_HASH = EVENT_HASH.replace("concat_ws(chr(31), ", "concat_ws(chr(31), cast
 SILVER_SQL = f"""
 with e as (select *, {SILVER_HASH} as h from events),
 b as (select * from (select *, row_number() over (partition by user_id order by ts desc) as n from e where ts < timestamp '{CUT}') where n = 1),
-c as (select * from (select *, row_number() over (partition by user_id order by ts desc) as n from e where ts >= timestamp '{CUT}' and ts < timestamp '{LAST}') where n = 1),
+c as (select * from (select *, row_number() over (partition by user_id order by ts desc) as n from e where ts >= timestamp '{CUT}') where n = 1),
 out as (
   select b.user_id, b.event_id, b.h as _row_hash, b.ts as _effective_from, c.ts as _effective_to, c.ts is null as _is_current from b left join c on b.user_id = c.user_id
   union all select user_id, event_id, h, ts, null, true from c)
@@ -54,7 +54,7 @@ def silver_loads(spark, sf_dir):
     return _silver(spark, sf_dir)[1].select("user_id", "event_id", "_row_hash", "_effective_from", "_effective_to", "_is_current")
 
 
-@query(SILVER_SQL + f"select (select count(*) from events where ts < timestamp '{LAST}') as bronze_rows, (select count(*) from out) as silver_rows, '' as missing")
+@query(SILVER_SQL + f"select (select count(*) from events) as bronze_rows, (select count(*) from out) as silver_rows, '' as missing")
 def silver_validation(spark, sf_dir):
     return layers.validate_silver(*_silver(spark, sf_dir))
 
@@ -66,3 +66,19 @@ def silver_strategies(spark, sf_dir):
     full = layers.silver_state(nation, None, TableSpec("NATION", "nation"), None, ntz(NOW))
     more = layers.silver_state(nation.where("n_regionkey = 1"), full, TableSpec("NATION", "nation", "incremental", "append"), None, ntz(NOW))
     return more.select("n_nationkey", "n_name", "_is_current", "_effective_from")
+
+
+@query("select count(*) as rows, '' as missing from events")
+def bronze_check(spark, sf_dir):
+    return ingest.bronze_check(_bronze(spark, sf_dir))
+
+
+@query("select event_type as table_name, max(ts) as mark from events group by 1 union all select 'no_such', null")
+def control_marks(spark, sf_dir):
+    """The last good mark of every table of the control table, and of one that isn't there."""
+    marks = events(spark, sf_dir).groupBy(F.col("event_type").alias("table_name")).agg(F.max("ts").alias("last_processed_watermark"), F.count("*").alias("rows_processed"))
+    runs = marks.select("table_name", F.lit("bronze").alias("layer"), "last_processed_watermark", F.lit("SUCCESS").alias("last_run_status"), ntz(NOW).alias("last_run_timestamp"), "rows_processed", F.lit("run-1").alias("run_id"))
+    control = ingest.next_control(ingest.empty_control(spark), runs)
+    tables = [r.table_name for r in control.select("table_name").collect()] + ["no_such"]  # a row a table of the inventory
+    found = [(t, ingest.last_watermark(control, t, "bronze")) for t in tables]
+    return spark.createDataFrame(found, "table_name string, mark timestamp_ntz")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import reports
+from ..sources import sinks
 from ..sources.tables import load
 from . import query
 from .analytics import LABELLED_SQL, PSI_SQL, SCORED_SQL, evaluations, metric_log, scored
+from .folders import shared_folder, written
 from .history import LOG_SQL, version_log
 
 LOG_METRICS = """,
@@ -21,7 +23,31 @@ m as (select grp as population, 'auc' as metric, round(auc, 4) as value from roc
 
 @query(PSI_SQL + "select 2::bigint as latest_model_version, (select count(*) from orders) as total_scored, '2024-02-01 00:00:00' as last_run, count(*) filter (alert_level = 'critical') as critical_alerts, count(*) filter (alert_level = 'warning') as warning_alerts from drift")
 def report_headline(spark, sf_dir):
-    return reports.headline(scored(spark, sf_dir), metric_log(spark, sf_dir), evaluations(spark, sf_dir))
+    return reports.headline(scored(spark, sf_dir), written(metric_log(spark, sf_dir)), evaluations(spark, sf_dir))
+
+
+WEIGHTED_SQL = """,
+wx as (select last_day(application_date) as grp, p_bad as score, (_observed_label = 'Bad')::int as bad from scored where _observed_label is not null),
+ws as (select grp, score, sum(bad) as p, count(*) - sum(bad) as q from wx group by all),
+wc as (select *, sum(q) over (partition by grp order by score) as qc, sum(p) over (partition by grp) as pt, sum(q) over (partition by grp) as qt from ws),
+wg as (select grp, sum(p + q) as n, case when max(pt) > 0 and max(qt) > 0 then round(2 * (sum(p * (qc - q / 2)) / (max(pt) * max(qt))) - 1, 4) end as gini from wc group by grp),
+wall as (select round(sum(n * gini) / sum(n), 4) as value from wg where gini is not null)
+"""
+
+
+@query(PSI_SQL.rstrip() + LOG_METRICS + WEIGHTED_SQL + """,
+lg as (select population, metric, value, 'none' as alert_level from m where value is not null union all select 'ALL', 'weighted_gini_dp3', value, 'none' from wall union all select _population, 'psi_p_good', psi, alert_level from drift)
+select 'log' as source, run_timestamp, population, metric, value, alert_level from lg, (values ('2024-02-01 00:00:00'), ('2024-03-01 00:00:00')) r(run_timestamp)
+union all select 'baseline', '2024-02-01 00:00:00', population, metric, value, alert_level from lg""")
+def monitoring_log(spark, sf_dir):
+    """Two monitoring runs appended to one log; the baseline is the first run's and stays."""
+    folder = shared_folder(spark)
+    first = written(metric_log(spark, sf_dir))
+    for run in (first, first.withColumn("run_timestamp", F.lit("2024-03-01 00:00:00"))):
+        sinks.append(run, f"{folder}/log")
+        sinks.write_once(run, f"{folder}/baseline")
+    read = lambda name: sinks.read_merged(spark, f"{folder}/{name}").select(F.lit(name).alias("source"), "run_timestamp", "population", "metric", "value", "alert_level")
+    return read("log").unionByName(read("baseline"))
 
 
 @query(SCORED_SQL + LOG_METRICS + "select population, metric, value from m")

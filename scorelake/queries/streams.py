@@ -2,50 +2,44 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import load
 from ..streaming import streams
 from . import query
+from .folders import shared_folder
 from .history import LOG_SQL, SQL_COLUMNS, VERSION_COLUMNS, states
 
 
-def shared_folder(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-stream-")
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
-def _files(df: DataFrame, folder: str, ts: str, parts: int) -> DataFrame:
-    """The table as files in order of time, one micro-batch each, and a stream over them."""
+def _arrivals(df: DataFrame, folder: str, ts: str, parts: int) -> Iterator[DataFrame]:
+    """Write the table in ``parts`` slices of time, each by many tasks, and give a stream over the folder after each."""
     spark = df.sparkSession
     cuts = df.agg(F.percentile_approx(F.unix_micros(F.col(ts).cast("timestamp")), [i / parts for i in range(1, parts)])).first()[0]
     number = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.unix_micros(F.col(ts).cast("timestamp"))))
-    dealt = df.withColumn("_part", number)
     for i in range(parts):
-        dealt.where(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(folder)
-    return streams.file_stream(spark, folder, df.schema, 1)
+        df.where(number == i).write.mode("append").parquet(folder)
+        yield streams.file_stream(spark, folder, df.schema)
 
 
 @query("select event_id, user_id, event_type from events")
 def stream_ingest(spark, sf_dir):
     folder = shared_folder(spark)
     source = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    stream = _files(source, f"{folder}/in", "ts", 3)
-    for _ in range(2):  # the second run finds nothing new
-        streams.ingest_available(stream, f"{folder}/out", f"{folder}/checkpoint", lambda df: df.drop("ts"))
+    for stream in _arrivals(source, f"{folder}/in", "ts", 3):
+        for _ in range(2):  # the second run finds nothing new
+            streams.ingest_available(stream, f"{folder}/out", f"{folder}/checkpoint", lambda df: df.drop("ts"))
     return spark.read.parquet(f"{folder}/out")
 
 
 @query(LOG_SQL + f"select {SQL_COLUMNS} from log")
 def stream_scd2(spark, sf_dir):
     folder = shared_folder(spark)
-    stream = _files(states(spark, sf_dir), f"{folder}/in", "ts", 4)
-    last = streams.scd2_available(stream, f"{folder}/state", f"{folder}/checkpoint", ["user_id"], "ts")
-    return spark.read.parquet(last).select(*[F.col(c).cast("double").alias(c) if c == "value" else c for c in VERSION_COLUMNS])
+    for stream in _arrivals(states(spark, sf_dir), f"{folder}/in", "ts", 4):
+        streams.scd2_available(stream, f"{folder}/state", f"{folder}/checkpoint", ["user_id"], "ts")
+    return streams.scd2_table(spark, f"{folder}/state").select(*[F.col(c).cast("double").alias(c) if c == "value" else c for c in VERSION_COLUMNS])
 
 
 @query("select cast(ts as date) as day, event_type, count(*) as n, round(sum(value), 4) as total from events where cast(ts as date) < (select max(cast(ts as date)) - 2 from events) group by all")
@@ -53,7 +47,7 @@ def stream_profile(spark, sf_dir):
     """Days that the watermark has closed; late rows within it are counted."""
     folder = shared_folder(spark)
     rows = load(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "value")
-    stream = _files(rows, f"{folder}/in", "ts", 3)
     last_day = rows.agg(F.max(F.to_date("ts"))).first()[0]
-    streams.ingest_available(streams.daily_profile(stream, "ts"), f"{folder}/out", f"{folder}/checkpoint")
+    for stream in _arrivals(rows, f"{folder}/in", "ts", 3):
+        streams.ingest_available(streams.daily_profile(stream, "ts"), f"{folder}/out", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/out").where(F.col("day") < F.date_sub(F.lit(last_day), 2)).select("day", "event_type", "n", F.round("total", 4).alias("total"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .sinks import upsert
 
+# The names of the audit and control columns.
 AUDIT = ["_ingested_at", "_source_system", "_source_table", "_load_type", "_ingestion_id"]
 CONTROL = (
     "table_name string, layer string, last_processed_watermark timestamp_ntz, last_run_status string, last_run_timestamp timestamp_ntz, rows_processed long, run_id string"

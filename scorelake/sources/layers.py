@@ -47,11 +47,12 @@ def silver_state(bronze: DataFrame, current: DataFrame | None, spec: TableSpec,
     spec.validate(clean.columns)
     text = [c for c in (*spec.keys, *spec.order_by) if dict(clean.dtypes)[c] == "string"]
     clean = standardize.trim_columns(clean, text) if text else clean
+    # A total order, so that reruns keep the same row of a key.
+    order = [*[F.desc_nulls_last(c) for c in spec.order_by], *[F.col(c) for c in sorted(clean.columns)]]
     if spec.load_type != "incremental":
-        return scd2.backfill_versions(clean.dropDuplicates(list(spec.keys)) if spec.keys else clean.dropDuplicates(), now)
+        return scd2.backfill_versions(scd2.latest_per_key(clean, list(spec.keys), order) if spec.keys else clean.dropDuplicates(), now)
     if spec.strategy == "scd2":
-        order = [F.desc_nulls_last(c) for c in spec.order_by]
-        batch = scd2.versioned(clean, list(spec.keys), from_col or spec.order_by[0], [*order, *[F.col(c) for c in sorted(clean.columns)]], now)
+        batch = scd2.versioned(clean, list(spec.keys), from_col or spec.order_by[0], order, now)
         return scd2.apply(current, batch, list(spec.keys), now)
     return clean if current is None else current.unionByName(clean, allowMissingColumns=True)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..operators.joins import join_keyed
+
 
 def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace data and schema."""
@@ -27,6 +29,6 @@ def read_merged(spark, path: str) -> DataFrame:
 def upsert(current: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """The next state of a keyed table: changes replace rows of the same key, other rows stay.
 
-    Write it under a new path; plain files have no row updates.
+    Null keys are keys like others.  Write it under a new path; plain files have no row updates.
     """
-    return current.join(changes, keys, "left_anti").unionByName(changes, allowMissingColumns=True)
+    return join_keyed(current, changes.select(*keys), keys, "left_anti").unionByName(changes, allowMissingColumns=True)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import scd2
+from ..operators.joins import join_keyed
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -21,42 +22,47 @@ def ingest_available(stream: DataFrame, target: str, checkpoint: str, transform:
     query.awaitTermination()
 
 
-def scd2_available(stream: DataFrame, state: str, checkpoint: str, keys: list[str], from_col: str) -> str | None:
-    """Apply every micro-batch to the versioned table under ``state``; returns the path of the last one.
+def scd2_available(stream: DataFrame, state: str, checkpoint: str, keys: list[str], from_col: str) -> None:
+    """Apply every micro-batch that is there to the versioned table under ``state``; read it by ``scd2_table``.
 
-    Batch n reads ``batch=n-1`` (the newest lower one) and overwrites ``batch=n``, so a batch that
-    runs again gives the same table.  Batches must come in the order of ``from_col`` per key.
+    Batch n reads the current versions that batch n-1 left and overwrites ``batch=n``: the versions
+    that it closed and the current ones.  Closed versions of earlier batches are neither read nor
+    written again, and a batch that runs again gives the same files.  Batches must come in the
+    order of ``from_col`` per key.
     """
-    last: list[str] = []
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        if not last and number > 0:
-            last.append(f"{state}/batch={number - 1}")
-        current = spark.read.parquet(last[-1]) if last else None
+        current = spark.read.parquet(f"{state}/batch={number - 1}").where("_open = 1").drop("_open") if number else None
         # The log of a batch becomes versions first, so that changes inside it aren't lost.
         versions = scd2.from_log(batch, keys, from_col)
         table = merge_log(current, versions, keys) if current is not None else versions
-        table.write.mode("overwrite").parquet(f"{state}/batch={number}")
-        last.append(f"{state}/batch={number}")
+        table.withColumn("_open", F.col("_is_current").cast("int")).write.mode("overwrite").partitionBy("_open").parquet(f"{state}/batch={number}")
 
     query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-    return last[-1] if last else None
+
+
+def scd2_table(spark: SparkSession, state: str) -> DataFrame:
+    """All versions: what each batch closed, and what the last one left current."""
+    every = spark.read.parquet(state)
+    last = every.agg(F.max("batch")).first()[0]
+    return every.where((F.col("_open") == 0) | (F.col("batch") == last)).drop("_open", "batch")
 
 
 def merge_log(current: DataFrame, versions: DataFrame, keys: list[str]) -> DataFrame:
     """Add later versions to a versioned table: the first one ends the current one unless it is the same state."""
-    first = scd2.latest_per_key(versions, keys, [F.col("_effective_from")])
+    first = scd2.latest_per_key(versions, keys, [F.col("_effective_from"), F.col("_effective_to").asc_nulls_last(), F.col("_row_hash")])
     heads = first.select(*keys, F.col("_row_hash").alias("_first_hash"), F.col("_effective_from").alias("_first_from"), F.col("_effective_to").alias("_first_to"))
-    joined = current.join(heads, keys, "left")
+    joined = join_keyed(current, heads, keys, "left")
     same = F.col("_is_current") & (F.col("_row_hash") == F.col("_first_hash"))
     ends = F.col("_is_current") & F.col("_first_hash").isNotNull()
     kept = joined.withColumn("_effective_to", F.when(same, F.col("_first_to")).when(ends, F.col("_first_from")).otherwise(F.col("_effective_to")))
     kept = kept.withColumn("_is_current", F.col("_effective_to").isNull()).select(*current.columns)
     active = current.where("_is_current").select(*keys, F.col("_row_hash").alias("_old_hash"))
-    continued = first.join(active, keys).where("_row_hash = _old_hash").select(*keys, "_effective_from")
-    return kept.unionByName(versions.join(continued, [*keys, "_effective_from"], "left_anti").select(*current.columns))
+    place = [*keys, "_effective_from", "_row_hash"]
+    continued = join_keyed(first, active, keys).where("_row_hash = _old_hash").select(*place)
+    return kept.unionByName(join_keyed(versions, continued, place, "left_anti").select(*current.columns))
 
 
 def daily_profile(stream: DataFrame, ts: str, late: str = "2 days") -> DataFrame:

@@ -109,3 +109,18 @@ def test_feature_table_has_all_populations_and_selected_features(spark, tmp_path
     want = sorted((i, {"F": 1, "O": 0, "P": None}[s], amount) for i, _, s, amount, *_ in orders)
     assert sorted((r.application_id, r.bad, r.o_totalprice) for r in rows) == want
     assert all((r._population == "TTD") == (r.bad is None) for r in rows)
+
+
+def test_quantiles_equal_a_full_sort_and_one_value_gets_a_band(spark):
+    rng = np.random.default_rng(1)
+    columns = {"a": rng.normal(size=900), "b": rng.integers(0, 7, 900).astype(float), "c": np.full(900, 3.0)}
+    df = spark.createDataFrame([tuple(float(v[i]) for v in columns.values()) + (i % 2,) for i in range(900)], "a double, b double, c double, y int")
+    long = woe.long_form(df, list(columns), "y", "double")
+    shares = [0.0, 0.03, 0.5, 0.77, 1.0]
+    for r in woe.quantiles(long, shares).collect():
+        assert r.points == pytest.approx(np.quantile(columns[r.feature], shares).tolist())
+    edges = {r.feature: r.edges for r in woe.quantile_edges(long).collect()}
+    assert len(edges["c"]) == 3 and edges["c"][0] < 3.0 < edges["c"][2] and len(edges["a"]) == 11
+    table = woe.label_bands(woe.evidence(woe.continuous_bands(df, ["b", "c"], "y"), "band"), woe.quantile_edges(long))
+    got = {(r.feature, r.band): r.bin_label for r in table.collect()}
+    assert got["c", 1] == "[2.997, 3.000]" and got["b", 1].startswith("[0.000") and sorted(b for f, b in got if f == "b") == list(range(1, sum(f == "b" for f, _ in got) + 1))
