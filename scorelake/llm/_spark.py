@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; a temporary one only where the session names none."""
+    """The shared checkpoint folder; a temporary one only where the session names none and runs on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
         root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
