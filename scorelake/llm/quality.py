@@ -34,7 +34,7 @@ MAX_TRAIN = 1_500
 EPOCHS = 4
 RATE = 0.5
 CHAR_GRAMS = (3, 5)
-CHUNK_BYTES = 512 << 10
+CHUNK_BYTES = 256 << 10
 REPEATED = np.uint64(0x5EED)
 
 
