@@ -106,3 +106,19 @@ def test_every_stage_and_the_run(spark, folder):
     key = lambda rows: sorted((p.doc_id, p.piece, p.start, p.length, p.ids_crc32) for p in rows)
     assert key(run) == key(pieces)
     assert quality.MAX_TRAIN > 0
+
+
+def test_odd_rows_and_empty_tables(spark, folder, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, node string"
+    odd = [(None, "no id, but words", "en", "s", 16, "x", "y"), (None, None, None, None, None, None, None), (3, "", "en", "s", 0, "x", "y"), (4, "same text here twice", "en", "s", 20, "x", "y")]
+    for rows in (odd + odd[-1:], []):
+        docs = spark.createDataFrame(rows, schema)
+        for name, stage in corpus_pipeline.STAGES:
+            docs = materialise(stage(spark, docs, folder), "test-stage")
+            if name != "best_fit_packing":
+                assert docs.columns == corpus_pipeline.COLUMNS
+        got = docs.collect()
+        if rows:
+            assert {None, 4} <= {r.doc_id for r in got} and sum(r.doc_id == 4 for r in got) == 1
+        else:
+            assert got == []
