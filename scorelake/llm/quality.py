@@ -158,11 +158,15 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((model.weight, model.bias))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "score double"])
 
+    # A text that is kept isn't sent twice.
+    sent = [*names, *([] if "text" in names else ["text"])]
+    text_at = sent.index("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model(*shared.value)
         for batch in batches:
-            scores = [own.score(data, bounds) for _, _, data, bounds in chunks(batch.column(len(names)), CHUNK_BYTES)]
+            scores = [own.score(data, bounds) for _, _, data, bounds in chunks(batch.column(text_at), CHUNK_BYTES)]
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(scores, pa.float64())], names=[*names, "score"])
 
-    return docs.select(*[F.col(f"`{n}`") for n in names], F.col("text").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{n}`") for n in sent]).mapInArrow(run, schema)
