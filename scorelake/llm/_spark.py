@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; a temporary one only where the session names none and runs on one machine."""
@@ -23,11 +28,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Plans made inside send Python batches of at most ``size`` bytes, or one longer row; the session's smaller bound stays.
+
+    By rows alone, 10,000 long texts would be one batch, held by the JVM and by each worker of the stage.
+    """
+    before = spark.conf.get(ARROW_BYTES, None)
+    if before is None or spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before) > size:
+        spark.conf.set(ARROW_BYTES, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(ARROW_BYTES)
+        else:
+            spark.conf.set(ARROW_BYTES, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    with bounded_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
