@@ -34,6 +34,17 @@ select page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lamb
   case when page_id = lead then 'response' else 'revisit' end as record_type, case when page_id <> lead then lead end as refers_to from r
 """
 
+# CRC-32 goes byte by byte with a table made from its polynomial (0xEDB88320).
+OP5 = """
+with recursive bits(b, k, v) as (select range, 0, range from range(256) union all select b, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
+steps as (select list(v order by b) as t from bits where k = 8),
+c as (select doc_id, strlen(coalesce(text, '')) + 1 as size, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint),
+        lambda a, x: xor(a >> 8, t[1 + xor(a & 255, x)]), 4294967295), 4294967295) as text_crc32 from documents, steps),
+p as (select *, row_number() over o as nth, sum(size) over (o rows unbounded preceding) as upto, sum(size) over () as total from c window o as (order by doc_id nulls first, text_crc32, size)),
+s as (select *, cast(least(15, (2 * upto - size) * 16 // (2 * total)) as int) as shard from p)
+select doc_id, cast(size as bigint) as size, text_crc32, 'bytes' as law, shard, nth - min(nth) over (partition by shard) as slot, cast(null as int) as grown_shard from s
+"""
+
 OP7 = r"""
 with p as (select doc_id, text, regexp_extract(coalesce(text, ''), '^[\n\r]*') as head, regexp_extract_all(coalesce(text, ''), '[^\n\r]+[\n\r]*') as ps from documents),
 l as (select doc_id, unnest(ps) as piece, generate_subscripts(ps, 1) as i from p),

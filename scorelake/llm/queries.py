@@ -61,6 +61,7 @@ ORACLE_SQL = {
     "op2_ngram_jaccard_join": oracles.OP2,
     "op3_substring_dedup": oracles.OP3,
     "op4_warc": oracles.OP4,
+    "op5_sharding": oracles.OP5,
     "op7_line_dedup": oracles.OP7,
     "op8_benchmark_decontamination": oracles.OP8,
 }
