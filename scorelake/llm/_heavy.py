@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import drop_scratch, materialise
+from ._spark import drop_scratch, map_arrow, materialise
 from ._text import Words, word_chunks
 
 FOLD_AT = 1_000_000
@@ -65,7 +65,7 @@ def heavy_values(docs: DataFrame, separators: np.ndarray, lower: bool, values_of
             values, n = [None, *counter.values[keep].view(np.int64).tolist()], [documents, *counter.counts[keep].tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.int64()), pa.array(n, pa.int64())], names=["value", "n"])
 
-    counted = materialise(docs.select("text").mapInArrow(count, "value long, n long").groupBy("value").agg(F.sum("n").alias("n")), "heavy-values")
+    counted = materialise(map_arrow(docs.select("text"), count, "value long, n long").groupBy("value").agg(F.sum("n").alias("n")), "heavy-values")
     documents = counted.where("value is null").select("n").first()
     rows = counted.where(F.col("value").isNotNull() & (F.col("n") >= share / 2 * (documents["n"] if documents else 0))).toPandas()
     drop_scratch(docs.sparkSession, counted)

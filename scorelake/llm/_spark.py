@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -46,6 +47,22 @@ def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[No
             spark.conf.set(ARROW_BYTES, before)
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` whose workers, which Spark keeps for later stages, hand Arrow's unused memory back after each batch."""
+
+    def frugal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = pa.default_memory_pool()
+        try:
+            for batch in run(batches):
+                yield batch
+                del batch
+                pool.release_unused()
+        finally:
+            pool.release_unused()
+
+    return df.mapInArrow(frugal, schema)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives executor loss."""
     spark = df.sparkSession

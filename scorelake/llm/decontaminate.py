@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import fresh, materialise
+from ._spark import fresh, map_arrow, materialise
 from ._text import NON_ALNUM, Words, chunks, segment
 
 WINDOW = 10
@@ -283,7 +283,7 @@ def _pass(docs: DataFrame, items: list[tuple[str, bytes]], window: int, shard_by
         if rows:
             yield from flush(shard, rows)
 
-    return docs.mapInArrow(search, schema)
+    return map_arrow(docs, search, schema)
 
 
 def find_contamination(
@@ -336,7 +336,7 @@ def _merge_spans(df: DataFrame, found: str, remove: bool) -> DataFrame:
             target = pa.schema([*(f for f in batch.schema if f.name != found), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])))])
             yield pa.RecordBatch.from_pylist(rows, schema=target)
 
-    return df.mapInArrow(merge, schema)
+    return map_arrow(df, merge, schema)
 
 
 def digest_columns(found: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import map_arrow
 from ._ranges import NO_ID, cut_points, range_number
 
 LANES = 256
@@ -106,7 +107,7 @@ def fingerprint_pairs(docs: DataFrame, rows_per_range: int = 20_000) -> DataFram
     )
     n = max(1, tops[-1][0] + 1 if tops else 1)
     ordered = rows.select("doc_id", "text", "home.at", "home.guest", "id", "hash").repartitionById(n, F.col("at")).sortWithinPartitions("at", "guest", F.desc("id"), F.desc("hash"), "text")
-    return ordered.select("doc_id", "text", "at", "guest").mapInArrow(_compare, SCHEMA)
+    return map_arrow(ordered.select("doc_id", "text", "at", "guest"), _compare, SCHEMA)
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

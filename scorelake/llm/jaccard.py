@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._heavy import FOLD_AT, heavy_values
-from ._spark import drop_scratch, materialise
+from ._spark import drop_scratch, map_arrow, materialise
 from ._text import SPACE, mix, shingle_set, word_chunks
 from .components import connected_components
 
@@ -111,7 +111,7 @@ def signatures(docs: DataFrame, shingle: int, num: int, den: int, common: tuple[
                 names=["doc_id", "digest", "node", "n", "prefix", "end"],
             )
 
-    return docs.select("doc_id", "text", "digest").mapInArrow(run, "doc_id long, digest long, node long, n int, prefix array<long>, end long")
+    return map_arrow(docs.select("doc_id", "text", "digest"), run, "doc_id long, digest long, node long, n int, prefix array<long>, end long")
 
 
 MOST_FILTER_BITS = 1 << 27
@@ -143,7 +143,7 @@ def _only(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(_asked(bits, batch.column(at).to_numpy()))
 
-    return rows.mapInArrow(run, rows.schema)
+    return map_arrow(rows, run, rows.schema)
 
 
 def shingle_sets(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -164,7 +164,7 @@ def shingle_sets(rows: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
                 columns = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(sets).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), columns], names=["node", "columns"])
 
-    return rows.select("text", "digest").mapInArrow(run, "node long, columns array<long>")
+    return map_arrow(rows.select("text", "digest"), run, "node long, columns array<long>")
 
 
 def _multiply(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -203,7 +203,7 @@ def _multiply(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
         keep = pa.array(alive)
         return pa.RecordBatch.from_arrays([block.column(0).filter(keep), block.column(1).filter(keep)], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return map_arrow(both, run, "a long, b long")
 
 
 def _needed(x: str, y: str, num: int, den: int) -> str:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import fresh, materialise
+from ._spark import fresh, map_arrow, materialise
 from ._text import NEWLINE, SPACE, Words, grams, mix, word_chunks
 
 MIN_LINES = 2
@@ -102,7 +102,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int = L
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     # The number of a row tells rows of one id apart.
     keyed = docs.select(*[F.col(f"`{f.name}`") for f in fields], key.alias(doc_id), F.xxhash64("doc_id", "text").alias(row))
-    places = materialise(keyed.select(doc_id, row, "text").mapInArrow(_positions(min_lines, long_words), POSITIONS), "lines-positions")
+    places = materialise(map_arrow(keyed.select(doc_id, row, "text"), _positions(min_lines, long_words), POSITIONS), "lines-positions")
     # Fingerprints that stand once end here: each task sends one row for each of its fingerprints.
     again = places.groupBy("fingerprint").agg(F.count("*").alias("_n")).where("_n > 1").select("fingerprint")
     met = places.join(again, "fingerprint", "left_semi")
@@ -139,7 +139,7 @@ def _cut(joined: DataFrame, fields: list) -> DataFrame:
             columns[text_at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int32()), pa.array(n_removed, pa.int32())], names=[*names, *RESULT])
 
-    return joined.mapInArrow(cut, schema)
+    return map_arrow(joined, cut, schema)
 
 
 def _without(words: Words, doc: int, numbers: np.ndarray) -> str:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import materialise
+from ._spark import map_arrow, materialise
 
 CAPACITY = 1024
 END_TOKEN = 2
@@ -104,7 +104,7 @@ def tokenise(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None)
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(counts: dict[int, int], capacity: int, max_docs: int, max_attention: int, rule: str = "norm", weights: tuple[float, float, float] = (1.0, 0.05, 0.25)) -> list[tuple[int, int, int, int, int]]:

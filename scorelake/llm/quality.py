@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._spark import map_arrow
 from ._text import SPACE, chunks, mix, segment
 
 BUCKETS = 1 << 18
@@ -135,7 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, buckets:
             columns = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.binary()))], names=["quality", "ids", "times"])
 
-    sample = training_rows(docs, labels, max_train).mapInArrow(count, "quality int, ids binary, times binary")
+    sample = map_arrow(training_rows(docs, labels, max_train), count, "quality int, ids binary, times binary")
     # A bounded table; the order of its rows is made to depend on them alone.
     found = sample.toPandas()
     rows = []
@@ -169,4 +170,4 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(scores, pa.float64())], names=[*names, "score"])
 
-    return docs.select(*[F.col(f"`{n}`") for n in sent]).mapInArrow(run, schema)
+    return map_arrow(docs.select(*[F.col(f"`{n}`") for n in sent]), run, schema)

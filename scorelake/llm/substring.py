@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._heavy import FOLD_AT, heavy_values
+from ._spark import map_arrow
 from ._text import SPACE, grams, mix, sliding_min, word_chunks
 
 WINDOW = 35
@@ -121,8 +122,8 @@ def duplicate_factors(docs: DataFrame, window: int = WINDOW, seed: int = SEED, s
             yield from _hot_rows(*(np.concatenate(c) for c in zip(*hot_held)))
 
     docs = docs.select(_key().alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
-    stretches = docs.mapInArrow(emit, STRETCH + FOUND)
-    return stretches.repartition("route").sortWithinPartitions("route").mapInArrow(_factor_blocks(index_windows), FACTOR)
+    stretches = map_arrow(docs, emit, STRETCH + FOUND)
+    return map_arrow(stretches.repartition("route").sortWithinPartitions("route"), _factor_blocks(index_windows), FACTOR)
 
 
 def _hot_rows(whole: np.ndarray, block: np.ndarray, at: np.ndarray, doc_id: np.ndarray, digest: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -312,7 +313,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, shar
                     kept.append(b" ".join([raw[a:b] for a, b in zip((words.start[lo:hi][stay] - base).tolist(), (words.end[lo:hi][stay] - base).tolist())]).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
 
-    return joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
+    return map_arrow(joined, cut, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def digest_columns(found: DataFrame) -> DataFrame:
