@@ -10,7 +10,9 @@ windows' union is the whole of it.  Lines of at least ``long_words`` words are f
 their own and repeat alone.  The first place (by document, then line) stays, all later copies go.
 
 A common line never meets its copies pairwise: positions are grouped by fingerprint and match with
-partial sums of the first place.  Only hashes move until the lines are cut.
+partial sums of the first place.  Fingerprints of more than ``hot_share`` of all positions are dealt
+by match as well, and matches that are as common get their first place by a broadcast table, which
+has at most 1 / ``hot_share`` rows.  Only hashes move until the lines are cut.
 
 Nulls stay null and texts without repeats stay as they are, however long; rows of equal id and
 text are one document and are cut alike, an id that is null counts as the smallest; a deleted line
@@ -32,6 +34,7 @@ from ._text import NEWLINE, SPACE, Words, grams, mix, word_chunks
 
 MIN_LINES = 2
 LONG_WORDS = 50
+HOT_SHARE = 1e-4
 RESULT = ("n_lines", "n_removed")
 
 
@@ -95,7 +98,32 @@ def _positions(min_lines: int, long_words: int):
     return run
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int = LONG_WORDS) -> DataFrame:
+def _later(places: DataFrame, hot_share: float) -> DataFrame:
+    """The positions whose match stands at an earlier place too."""
+    match, place = ["fingerprint", "match", "n"], F.struct("doc_id", "row", "first")
+    most = places.count() * hot_share
+    # Fingerprints that stand once end here: each task sends one row for each of its fingerprints.
+    again = materialise(places.groupBy("fingerprint").agg(F.count("*").alias("_n")).where("_n > 1"), "lines-repeated")
+    # Counts over ``most`` sum to no more than all positions, so neither broadcast table has more than 1 / hot_share rows.
+    hot = again.where(F.col("_n") > most).select("fingerprint")
+
+    def leads(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*match).agg(F.min(place).alias("_lead"), F.count("*").alias("_n")).where("_n > 1")
+
+    rare = places.join(again.where(F.col("_n") <= most), "fingerprint", "left_semi")
+    common = places.join(F.broadcast(hot), "fingerprint", "left_semi")
+    common_leads = leads(common)
+    top = F.broadcast(common_leads.where(F.col("_n") > most))
+    pairs = [
+        rare.join(leads(rare), match),
+        common.join(top, match),
+        common.join(top, match, "left_anti").join(common_leads.where(F.col("_n") <= most), match),
+    ]
+    found = [p.where(place > F.col("_lead")).select("doc_id", "row", "first", "n") for p in pairs]
+    return found[0].union(found[1]).union(found[2])
+
+
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int = LONG_WORDS, hot_share: float = HOT_SHARE) -> DataFrame:
     """``docs`` with later repeats of ``min_lines`` lines, or of a line of ``long_words`` words, cut from ``text``, and n_lines and n_removed."""
     fields = [f for f in docs.schema.fields if f.name not in RESULT]
     doc_id, row, repeats = (fresh(docs.columns, n) for n in ("_doc", "_row", "_repeats"))
@@ -103,15 +131,8 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_words: int = L
     # The number of a row tells rows of one id apart.
     keyed = docs.select(*[F.col(f"`{f.name}`") for f in fields], key.alias(doc_id), F.xxhash64("doc_id", "text").alias(row))
     places = materialise(map_arrow(keyed.select(doc_id, row, "text"), _positions(min_lines, long_words), POSITIONS), "lines-positions")
-    # Fingerprints that stand once end here: each task sends one row for each of its fingerprints.
-    again = places.groupBy("fingerprint").agg(F.count("*").alias("_n")).where("_n > 1").select("fingerprint")
-    met = places.join(again, "fingerprint", "left_semi")
-    place = F.struct("doc_id", "row", "first")
-    leads = met.groupBy("fingerprint", "match", "n").agg(F.min(place).alias("_lead"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    later = (
-        met.join(leads, ["fingerprint", "match", "n"]).where(place > F.col("_lead"))
-        .groupBy(F.col("doc_id").alias(doc_id), F.col("row").alias(row)).agg(F.collect_set(F.struct("first", "n")).alias(repeats))
-    )
+    found = _later(places, hot_share)
+    later = found.groupBy(F.col("doc_id").alias(doc_id), F.col("row").alias(row)).agg(F.collect_set(F.struct("first", "n")).alias(repeats))
     return _cut(keyed.join(later, [doc_id, row], "left").select(*[F.col(f"`{f.name}`") for f in fields], F.col(repeats)), fields)
 
 

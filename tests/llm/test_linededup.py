@@ -39,6 +39,15 @@ def test_equals_brute_force(frame):
             assert plain(got) == sorted(brute(rows, k, long_words), key=repr)
 
 
+def test_hot_lines_and_hot_matches_equal_brute_force(frame):
+    rnd = random.Random(4)
+    line = lambda: rnd.choice(["hot", "hot", "warm one", *"abcdefgh"])
+    rows = [(i, "\n".join(line() for _ in range(rnd.randint(0, 12)))) for i in range(120)] + [(200 + i, "hot\nhot\nend") for i in range(40)]
+    want = sorted(brute(rows, 2, 2), key=repr)
+    for hot_share in (1e-4, 0.02, 0.1, 1.0):  # all, some and no lines are hot
+        assert plain(linededup.dedup_lines(frame(rows), 2, 2, hot_share).collect()) == want
+
+
 def plain(got):
     return sorted(((r.doc_id, None if r.text is None else [x for x in r.text.split("\n") if x.strip()], r.n_lines, r.n_removed) for r in got), key=repr)
 
