@@ -110,7 +110,8 @@ def _later(places: DataFrame, hot_share: float) -> DataFrame:
     def leads(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*match).agg(F.min(place).alias("_lead"), F.count("*").alias("_n")).where("_n > 1")
 
-    rare = places.join(again.where(F.col("_n") <= most), "fingerprint", "left_semi")
+    # Hot rows leave before the shuffle by fingerprint.
+    rare = places.join(F.broadcast(hot), "fingerprint", "left_anti").join(again.where(F.col("_n") <= most), "fingerprint", "left_semi")
     common = places.join(F.broadcast(hot), "fingerprint", "left_semi")
     common_leads = leads(common)
     top = F.broadcast(common_leads.where(F.col("_n") > most))
