@@ -71,3 +71,21 @@ its as (select doc_id, count(*) as n, string_agg(id, ',' order by id) as ids fro
 select d.doc_id, len(ws) as n_words, coalesce(hit.n, 0) as n_hit, coalesce(its.n, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(hit.n, 0) > 0 as contaminated
 from d left join hit on hit.doc_id = d.doc_id left join its on its.doc_id = d.doc_id
 """
+
+# Each order is walked step by step over the documents' failures, and the sums over all orders are taken from these steps.
+OP13 = rf"""
+with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, {SPACED} as ws from documents),
+m as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by 1),
+f as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic, (case when len(ws) < 100 then 'A' else '' end) || (case when 100 * len(list_distinct(ws)) < 80 * len(ws) then 'B' else '' end)
+        || (case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) then 'C' else '' end) || (case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end)
+        || (case when d.doc_id > min(d.doc_id) over (partition by t) then 'E' else '' end) as fails from d left join m on m.doc_id = d.doc_id),
+g as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by all),
+l as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+o as (select a.x || b.x || c.x || d.x || e.x as filter_order from l a, l b, l c, l d, l e where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s as (select filter_order, step::int as step, filter_order[step] as own, filter_order[1 : step - 1] as before from o, range(1, 6) r(step)),
+w as (select g.*, filter_order, step, own, contains(fails, own) as hit, len(list_intersect(string_split(before, ''), string_split(fails, ''))) > 0 and before <> '' and fails <> '' as gone from g, s),
+r as (select part, filter_order, step, own, sum(n) filter (not gone and not hit) as kept, sum(n) filter (hit and not gone) as removed, sum(n) filter (hit and gone) as redundant, sum(n) filter (fails = own) as unique_fails,
+        sum(good) filter (hit and not gone) as good_lost, sum(toxic) filter (hit and not gone) as toxic_lost from w group by all)
+select part, filter_order, step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant, coalesce(unique_fails, 0)::bigint as unique_fails,
+  coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost, coalesce(sum(removed) over (partition by part, own), 0)::bigint as shapley from r
+"""
