@@ -72,6 +72,19 @@ select d.doc_id, len(ws) as n_words, coalesce(hit.n, 0) as n_hit, coalesce(its.n
 from d left join hit on hit.doc_id = d.doc_id left join its on its.doc_id = d.doc_id
 """
 
+OP12 = rf"""
+with d as (select doc_id, row_number() over () as row, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+n as (select row, doc_id, len(ws) as n from d where len(ws) > 0),
+s as (select count(*) as docs, sum(n)::bigint as words from n),
+tf as (select row, term, count(*) as tf from (select row, unnest(ws) as term from d) group by all),
+w as (select term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::bigint as w from (select term, count(*) as df from tf group by 1), s),
+q as (select item, item_id, term, count(*) as c from (select row_number() over () as item, item_id, unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as term from benchmark) group by all),
+x as (select item, item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words))))::bigint as score
+      from q join w using (term) join tf using (term) join n using (row), s group by item, item_id, row, doc_id),
+r as (select *, row_number() over (partition by item order by score desc, doc_id nulls last)::int as rank from x where score > 0)
+select item_id, rank, doc_id, score from r where rank <= 20
+"""
+
 # Each order is walked step by step over the documents' failures, and the sums over all orders are taken from these steps.
 OP13 = rf"""
 with d as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t, {SPACED} as ws from documents),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, filteraudit, fingerprint, jaccard, linededup, oracles, packing, quality, secrets, sharding, substring, warc
+from . import decontaminate, filteraudit, fingerprint, jaccard, linededup, neardup, oracles, packing, quality, search, secrets, sharding, substring, warc
 from ._spark import load, materialise, scratch_path
 
 
@@ -56,6 +56,14 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_columns(secrets.scan_secrets(load(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.lexical_search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -68,5 +76,6 @@ ORACLE_SQL = {
     "op5_sharding": oracles.OP5,
     "op7_line_dedup": oracles.OP7,
     "op8_benchmark_decontamination": oracles.OP8,
+    "op12_lexical_search": oracles.OP12,
     "op13_filter_audit": oracles.OP13,
 }
