@@ -179,9 +179,9 @@ def part_links(group: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, n
     norms = np.linalg.norm(x, axis=1)
     signs = np.stack(group["signs"].to_numpy())  # of this table and the earlier ones
     here = signs.shape[1] - 1
-    one = side.max(initial=0) == 0
+    one = group["low"][0].as_py() == group["high"][0].as_py()  # else rows of a single part meet nothing here
     left, right = (np.arange(len(nodes)),) * 2 if one else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-    firsts, seconds = [], []
+    firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for at in range(0, len(left), 256):
         rows = left[at : at + 256]
         cosine = (x[rows] @ x[right].T) / (norms[rows][:, None] * norms[right][None, :])
