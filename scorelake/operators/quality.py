@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 RESULT = ["check_name", "column_name", "passed", "value"]
 
@@ -26,8 +28,36 @@ def run_checks(
     any null fails; an all-null column passes its range; ``target`` is (column, bad, good).  Null
     percentages, averages and the good:bad ratio come as rows of their own.
     """
-    ranges = ranges or {}
-    not_null = tuple(c for c in not_null if c in df.columns)
+    aggregates, checks = _suite(df.columns, min_rows, not_null, required, keys, ranges or {}, target, bad_share)
+    return long_form(df.agg(*aggregates), checks)
+
+
+def checked_write(
+    df: DataFrame, write: Callable[[DataFrame], None], min_rows: int = 1, not_null: tuple[str, ...] = (), required: tuple[str, ...] = (),
+    ranges: dict[str, tuple[float, float]] | None = None, target: tuple[str, str, str] | None = None, bad_share: tuple[float, float] = (1.0, 50.0), more: dict[str, Column] | None = None,
+) -> tuple[DataFrame, dict]:
+    """Write ``df`` by ``write``, and the suite of what was written, from the pass that writes it.
+
+    The aggregates (and those of ``more``) are observed as the last step before the write, in the
+    tasks whose output is committed, so they are of the very rows in the files, also if the source
+    changes meanwhile or tasks run again.  (checks, values of all aggregates).  Key uniqueness needs a
+    shuffle and isn't among the checks.
+    """
+    aggregates, checks = _suite(df.columns, min_rows, not_null, required, (), ranges or {}, target, bad_share)
+    aggregates += [c.alias(n) for n, c in (more or {}).items()]
+    seen = Observation()
+    write(df.observe(seen, *aggregates))
+    kinds = StructType([StructField(f.name, f.dataType) for f in df.agg(*aggregates).schema])  # analysed, never run
+    found = seen.get
+    values = {n: found.get(n) for n in kinds.names}
+    return long_form(df.sparkSession.createDataFrame([tuple(values.values())], kinds), checks), values
+
+
+def _suite(
+    columns: list[str], min_rows: int, not_null: tuple[str, ...], required: tuple[str, ...], keys: tuple[str, ...], ranges: dict[str, tuple[float, float]], target: tuple[str, str, str] | None, bad_share: tuple[float, float]
+) -> tuple[list[Column], list[tuple[str, str, Column, Column]]]:
+    """The aggregates of a suite, and its checks over their names."""
+    not_null = tuple(c for c in not_null if c in columns)
     aggregates = [F.count("*").alias("rows")]
     aggregates += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in not_null]
     for c in ranges:
@@ -37,7 +67,7 @@ def run_checks(
     if target:
         aggregates += [F.count_if(F.col(target[0]) == target[1]).alias("bad"), F.count_if(F.col(target[0]) == target[2]).alias("good")]
     checks = [("row_count", "*", F.col("rows") >= min_rows, F.col("rows"))]
-    checks += [("required", c, F.lit(c in df.columns), F.lit(float(c in df.columns))) for c in required]
+    checks += [("required", c, F.lit(c in columns), F.lit(float(c in columns))) for c in required]
     for c in not_null:
         nulls = F.col(f"nulls_{c}")
         checks += [("not_null", c, nulls == 0, nulls), ("null_pct", c, nulls == 0, nulls * 100.0 / F.nullif(F.col("rows"), F.lit(0)))]
@@ -51,7 +81,7 @@ def run_checks(
         share = F.col("bad") * 100.0 / F.nullif(F.col("rows"), F.lit(0))
         checks.append(("bad_share", target[0], share.between(*bad_share), share))
         checks.append(("good_bad_ratio", target[0], F.lit(True), F.col("good") / F.nullif(F.col("bad"), F.lit(0))))
-    return long_form(df.agg(*aggregates), checks)
+    return aggregates, checks
 
 
 def overall(checks: DataFrame) -> DataFrame:

@@ -77,15 +77,24 @@ def judge(current: DataFrame, batch: DataFrame, keys: list[str], delete_when: Co
 
 def change_counts(judged: DataFrame) -> DataFrame:
     """What a run did: rows that were new, changed (closed and added again) and unchanged."""
-    count = lambda kind: F.count_if(F.col("_change") == kind)
-    return judged.agg(count("NEW").alias("new_rows"), count("CHANGED").alias("changed_rows"), count("UNCHANGED").alias("unchanged_rows"))
+    return judged.agg(*[_count_change(kind) for kind in ("NEW", "CHANGED", "UNCHANGED")])
+
+
+def all_change_counts(judged: DataFrame) -> DataFrame:
+    """``change_counts``, and the rows that were late, deleted a version, or deleted nothing; they sum to ``batch_rows``."""
+    return judged.agg(*[_count_change(kind) for kind in ("NEW", "CHANGED", "UNCHANGED", "LATE", "DELETED", "NONE")], F.count("*").alias("batch_rows"))
+
+
+def _count_change(kind: str) -> Column:
+    return F.count_if(F.col("_change") == kind).alias(f"{kind.lower()}_rows")
 
 
 def apply(current: DataFrame | None, batch: DataFrame, keys: list[str], now: Column, close_at: str = "business", delete_when: Column | None = None) -> DataFrame:
     """The table after a versioned batch: changed versions closed, new and changed rows added.
 
     Rows of ``batch`` that ``delete_when`` holds for close the current version and add nothing.
-    Unchanged rows, and rows that start before the current version (late ones), change nothing;
+    Unchanged rows, and rows that start before the current version (late ones, which
+    ``all_change_counts`` reports and ``splice`` puts in their place), change nothing;
     applying a batch twice is applying it once.  Null keys are keys like others.
     """
     if current is None:
@@ -112,6 +121,36 @@ def from_log(df: DataFrame, keys: list[str], ts: str, exclude: tuple[str, ...] =
     return starts.withColumns({"_effective_from": F.col(ts), "_effective_to": F.lead(ts).over(by_time)}).withColumn("_is_current", F.col("_effective_to").isNull())
 
 
+def splice(known: DataFrame | None, log: DataFrame, keys: list[str], ts: str, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """A spliced log after more of it, in any order: every arrival order gives what ``from_log`` gives of all rows.
+
+    The result holds all observations once.  One that repeats the state before it is no version
+    (``_repeats``), but it is kept: a late row before it can make it the start of one.  Only keys of
+    ``log`` are built again; of rows that are equal in key, time and state one stays, so splicing a
+    log twice is splicing it once.  ``spliced_versions`` gives the versions.
+    """
+    new = log.withColumn("_row_hash", row_hash(log, (ts, *exclude)))
+    if known is not None:
+        touched = log.select(*keys).distinct()
+        untouched = join_keyed(known, touched, keys, "left_anti")
+        again = join_keyed(known, touched, keys, "left_semi").drop("_is_current", "_effective_from", "_effective_to", "_repeats")
+        new = again.unionByName(new, allowMissingColumns=True)
+    point = [*keys, ts, "_row_hash"]
+    new = latest_per_key(new, point, [F.col(c) for c in new.columns if c not in point]) if exclude else new.dropDuplicates(point)
+    by_time, back = Window.partitionBy(*keys).orderBy(ts, "_row_hash"), Window.partitionBy(*keys).orderBy(F.desc(ts), F.desc("_row_hash"))
+    marked = new.withColumn("_repeats", F.col("_row_hash").eqNullSafe(F.lag("_row_hash").over(by_time)))
+    # Going back in time, the last version's start so far is where this one ends.
+    end = F.last(F.when(~F.col("_repeats"), F.struct(F.col(ts).alias("at"))), ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
+    marked = marked.withColumns({"_effective_from": F.when(~F.col("_repeats"), F.col(ts)), "_effective_to": F.when(~F.col("_repeats"), end["at"])})
+    marked = marked.withColumn("_is_current", ~F.col("_repeats") & F.col("_effective_to").isNull())
+    return untouched.unionByName(marked, allowMissingColumns=True) if known is not None else marked
+
+
+def spliced_versions(spliced: DataFrame) -> DataFrame:
+    """The versions among a spliced log's observations."""
+    return spliced.where(~F.col("_repeats")).drop("_repeats")
+
+
 def as_of(df: DataFrame, at: Column) -> DataFrame:
     return df.where((F.col("_effective_from") <= at) & (F.col("_effective_to").isNull() | (F.col("_effective_to") > at)))
 

@@ -287,7 +287,62 @@ def _training(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return funded, model.prepare(orders.where("o_orderstatus = 'P'").select(*columns), NUMERIC, CATEGORIES, fill=True)
 
 
-@query()
+NEWTON_STEPS = 8
+TRAINING_SQL = POPULATION_SQL + """,
+t as (select application_id as o_orderkey, _population, (o_orderstatus = 'F')::int::double as bad, o_orderstatus = 'P' as rejected, o_totalprice::double as a, c_acctbal as b, c_mktsegment as s from pop left join customer on o_custkey = c_custkey),
+d as (select * from t where rejected or (a is not null and b is not null and s is not null)),
+lev as (select s, row_number() over (order by s) - 1 as code from (select distinct s from d where _population = 'DEV')),
+raw as (select o_orderkey, _population, bad, rejected, coalesce(a, 0) as a, coalesce(b, 0) as b, coalesce(code, (select count(*) from lev))::double as c from d left join lev on d.s = lev.s),
+m as (select avg(a) as ma, stddev_samp(a) as sa, avg(b) as mb, stddev_samp(b) as sb, avg(c) as mc, stddev_samp(c) as sc from raw where _population = 'DEV'),
+z as materialized (select o_orderkey, _population, bad, rejected, (a - ma) / sa as x1, (b - mb) / sb as x2, (c - mc) / sc as x3 from raw, m),
+"""
+# Indices of the information matrix's upper triangle.
+TRIANGLE = [(i, j) for i in range(4) for j in range(i, 4)]
+MARGIN_SQL = "b0 + b1 * x1 + b2 * x2 + b3 * x3"
+
+
+def _information_sql(extra: str = "") -> str:
+    names = ["1", "x1", "x2", "x3"]
+    return ", ".join(f"sum(v * {names[i]} * {names[j]}){f' + {extra}' if extra and i == j and i else ''} as h{i}{j}" for i, j in TRIANGLE)
+
+
+# Factors of the matrix h = l l', one after the other.
+CHOLESKY_SQL = """sqrt(h00) as l00, h01 / l00 as l10, h02 / l00 as l20, h03 / l00 as l30, sqrt(h11 - l10 * l10) as l11, (h12 - l20 * l10) / l11 as l21, (h13 - l30 * l10) / l11 as l31,
+  sqrt(h22 - l20 * l20 - l21 * l21) as l22, (h23 - l30 * l20 - l31 * l21) / l22 as l32, sqrt(h33 - l30 * l30 - l31 * l31 - l32 * l32) as l33"""
+
+
+def _newton_sql(name: str, rows: str) -> str:
+    """CTEs that end in ``name`` (b0 to b3): Newton steps over ``rows`` (x1 to x3, y, w), each solved by Cholesky factors."""
+    parts = [f"{name}0 as (select 0::double as b0, 0::double as b1, 0::double as b2, 0::double as b3)"]
+    for i in range(NEWTON_STEPS):
+        here = f"{name}{i}"
+        parts.append(f"{here}p as (select r.*, 1 / (1 + exp(-({MARGIN_SQL}))) as p from {rows} r, {here})")
+        parts.append(f"{here}v as (select *, w * p * (1 - p) as v, w * (y - p) as q from {here}p)")
+        parts.append(f"{here}s as (select sum(q) as g0, sum(q * x1) as e1, sum(q * x2) as e2, sum(q * x3) as e3, {_information_sql('1')} from {here}v)")
+        parts.append(f"""{here}f as (select *, e1 - b1 as g1, e2 - b2 as g2, e3 - b3 as g3, {CHOLESKY_SQL}, g0 / l00 as y0, (g1 - l10 * y0) / l11 as y1, (g2 - l20 * y0 - l21 * y1) / l22 as y2, (g3 - l30 * y0 - l31 * y1 - l32 * y2) / l33 as y3,
+  y3 / l33 as d3, (y2 - l32 * d3) / l22 as d2, (y1 - l21 * d2 - l31 * d3) / l11 as d1, (y0 - l10 * d1 - l20 * d2 - l30 * d3) / l00 as d0 from {here}s, {here})""")
+        parts.append(f"{name}{i + 1} as materialized (select b0 + d0 as b0, b1 + d1 as b1, b2 + d2 as b2, b3 + d3 as b3 from {here}f)")
+    return ",\n".join([*parts, f"{name} as (select * from {name}{NEWTON_STEPS})"])
+
+
+FIRST_SQL = TRAINING_SQL + "dev as materialized (select x1, x2, x3, bad as y, 1.0 as w from z where _population = 'DEV'),\n" + _newton_sql("first", "dev")
+FINAL_SQL = FIRST_SQL + f""",
+rej as materialized (select x1, x2, x3, 1 / (1 + exp(-({MARGIN_SQL}))) as p from z, first where rejected),
+aug as materialized (select * from dev union all select x1, x2, x3, 0.0, 1 - p from rej union all select x1, x2, x3, 1.0, p from rej),
+""" + _newton_sql("final", "aug")
+
+
+def _metrics_sql(model: str, name: str) -> str:
+    """CTE ``<name>out``: metrics of a model on the funded populations, as ``passes_gate`` gives them."""
+    rows = f"{name}x as (select _population as grp, bad, 1 / (1 + exp(-({MARGIN_SQL}))) as score from z, {model} where not rejected)"
+    steps = ROC_SQL.format(by="grp", score="score").replace(", s as", f"{name}s as").replace("from x group", f"from {name}x group")
+    for cte in ("c", "roc"):
+        steps = steps.replace(f"\n{cte} as (", f"\n{name}{cte} as (")
+    steps = steps.replace("from s)", f"from {name}s)").replace("from c group", f"from {name}c group")
+    return f"{rows},\n{steps},\n{name}out as (select grp as _population, n, auc, gini, ks, coalesce(auc >= 0.55, false) as passes from {name}roc)"
+
+
+@query(FIRST_SQL + ",\n" + _metrics_sql("first", "m1") + "\nselect * from m1out")
 def logit_fit(spark, sf_dir):
     """Metrics of the first model on DEV, HOL and OOT, with the hold-out gate."""
     funded, _ = _training(spark, sf_dir)
@@ -295,7 +350,11 @@ def logit_fit(spark, sf_dir):
     return model.passes_gate(metrics.roc_metrics(model.probability(funded, fitted), "bad", "p_bad", ["_population"]))
 
 
-@query()
+@query(FINAL_SQL + f""",
+p as (select o_orderkey, _population, 1 / (1 + exp(-({MARGIN_SQL}))) as p_bad from z, final),
+q as (select *, cast(least(greatest(round_even(600 - 20 / ln(2) * ln(50) + 20 / ln(2) * ln((1 - p_bad) / greatest(p_bad, 1e-10)), 0), 0), 999) as int) as credit_score from p)
+select o_orderkey, _population, round(p_bad, 6) as p_bad, credit_score, case when credit_score >= 750 then 'A1' when credit_score >= 700 then 'A2' when credit_score >= 650 then 'B1' when credit_score >= 600 then 'B2'
+       when credit_score >= 550 then 'C1' when credit_score >= 500 then 'C2' else 'D' end as risk_grade from q""")
 def reject_inference(spark, sf_dir):
     """Probabilities of every application by the model refitted on parcelled rejects."""
     funded, rejected = _training(spark, sf_dir)
@@ -303,7 +362,7 @@ def reject_inference(spark, sf_dir):
     return scorecard.score_columns(model.probability(funded.unionByName(rejected), final), "p_bad").select("o_orderkey", "_population", F.round("p_bad", 6).alias("p_bad"), "credit_score", "risk_grade")
 
 
-@query()
+@query(FINAL_SQL + ",\n" + _metrics_sql("first", "m1") + ",\n" + _metrics_sql("final", "m2") + "\nselect *, 'first' as model from m1out union all select *, 'final' from m2out")
 def logit_final_metrics(spark, sf_dir):
     """Metrics of the model refitted on parcelled rejects, beside the first one's."""
     funded, rejected = _training(spark, sf_dir)
@@ -312,11 +371,25 @@ def logit_final_metrics(spark, sf_dir):
     return of("first", first).unionByName(of("final", final))
 
 
-@query()
+# Standard errors are square roots of the inverse's diagonal, that is of the squared columns of l's inverse; erf comes by its series of positive terms.
+WALD_SQL = FIRST_SQL + f""",
+pv as (select x1, x2, x3, p * (1 - p) as v from (select dev.*, 1 / (1 + exp(-({MARGIN_SQL}))) as p from dev, first)),
+hs as (select {_information_sql()} from pv),
+ls as (select *, {CHOLESKY_SQL}, 1 / l00 as i00, 1 / l11 as i11, 1 / l22 as i22, 1 / l33 as i33, -l10 * i00 / l11 as i10, -(l20 * i00 + l21 * i10) / l22 as i20, -l21 * i11 / l22 as i21,
+  -(l30 * i00 + l31 * i10 + l32 * i20) / l33 as i30, -(l31 * i11 + l32 * i21) / l33 as i31, -l32 * i22 / l33 as i32 from hs),
+w as (select unnest([{{'feature': 'intercept', 'b': b0, 'e': sqrt(i00 * i00 + i10 * i10 + i20 * i20 + i30 * i30)}}, {{'feature': 'o_totalprice', 'b': b1, 'e': sqrt(i11 * i11 + i21 * i21 + i31 * i31)}},
+  {{'feature': 'c_acctbal', 'b': b2, 'e': sqrt(i22 * i22 + i32 * i32)}}, {{'feature': 'c_mktsegment', 'b': b3, 'e': i33}}], recursive := true) from ls, first)
+select feature, round(b, 6) as coefficient, round(e, 6) as std_err, round(b / e, 4) as z,
+  round(greatest(0, 1 - list_sum(list_transform(range(0, 300), lambda n: exp((2 * n + 1) * ln(abs(b / e) / sqrt(2)) - b * b / (e * e) / 2 - lgamma(n + 1.5))))), 4) as p_value,
+  case when feature <> 'intercept' then round(exp(b), 4) end as odds_ratio from w"""
+
+
+@query(WALD_SQL)
 def wald_table(spark, sf_dir):
     funded, _ = _training(spark, sf_dir)
     dev = funded.where("_population = 'DEV'")
-    return model.wald_table(dev, model.fit_logit(dev, NUMERIC, CATEGORIES, "bad"), [*NUMERIC, *CATEGORIES])
+    table = model.wald_table(dev, model.fit_logit(dev, NUMERIC, CATEGORIES, "bad"), [*NUMERIC, *CATEGORIES])
+    return table.select("feature", F.round("coefficient", 6).alias("coefficient"), F.round("std_err", 6).alias("std_err"), F.round("z", 4).alias("z"), F.round("p_value", 4).alias("p_value"), F.round("odds_ratio", 4).alias("odds_ratio"))
 
 
 def metric_log(spark, sf_dir) -> DataFrame:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality, scd2, standardize
-from ..sources import ingest
+from ..sources import generations, ingest
 from ..sources.tables import current_view, load
 from . import query
+from .folders import shared_folder
 
 CUT, LAST = "2024-01-01 12:00:00", "2024-01-20 00:00:00"
 NOW = "2024-02-01 00:00:00"
@@ -170,6 +171,51 @@ def scd2_change_counts(spark, sf_dir):
     return scd2.change_counts(scd2.judge(ready(rows.where(F.col("ts") < ntz(CUT))), ready(rows.where(F.col("ts") >= ntz(CUT))), ["user_id"]))
 
 
+ALL_COUNTS_SQL = _apply_sql("c.ts") + """select count(*) filter (b.h is null and c.event_type <> 'error') as new_rows, count(*) filter (b.h <> c.h and c.ts >= b.ts and c.event_type <> 'error') as changed_rows,
+  count(*) filter (b.h = c.h and c.ts >= b.ts and c.event_type <> 'error') as unchanged_rows, count(*) filter (c.ts < b.ts) as late_rows, count(*) filter (c.ts >= b.ts and c.event_type = 'error') as deleted_rows,
+  count(*) filter (b.h is null and c.event_type = 'error') as none_rows, count(*) as batch_rows from batch c left join base b on b.user_id = c.user_id"""
+
+
+@query(ALL_COUNTS_SQL.replace(f"where ts < timestamp '{CUT}'", "where event_id % 2 = 0").replace(f"where ts >= timestamp '{CUT}'", "where event_id % 2 = 1").replace("(select user_id, ts, event_type,", "(select event_id, user_id, ts, event_type,"))
+def scd2_all_change_counts(spark, sf_dir):
+    """Events of odd ids as a batch onto those of even ids, so that about half of it is late."""
+    rows = events(spark, sf_dir)
+    ready = lambda df: scd2.versioned(df.drop("event_id"), ["user_id"], "ts", [F.desc("ts")], ntz(NOW)).drop("ts")
+    odd = F.col("event_id") % 2 == 1
+    return scd2.all_change_counts(scd2.judge(ready(rows.where(~odd)), ready(rows.where(odd)), ["user_id"], F.col("event_type") == "error"))
+
+
+def in_any_order(spark, sf_dir, path: str, keep: tuple[str, ...] = ()) -> list[set[int]]:
+    """Splice four slices of the events into a table in buckets, so that most rows come late; the buckets that each slice touched."""
+    slice_of = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    rows = events(spark, sf_dir)
+    into = lambda old, log: scd2.splice(old, log, ["user_id"], "ts")
+    return [generations.merge(spark, path, rows.where(slice_of == i).select("user_id", "ts", "event_type", "value", *keep), ["user_id"], into, buckets=16) for i in (2, 0, 3, 1)]
+
+
+@query(LOG_SQL + f"select {SQL_COLUMNS} from log")
+def scd2_late(spark, sf_dir):
+    path = f"{shared_folder(spark)}/spliced"
+    in_any_order(spark, sf_dir, path)
+    versions = scd2.spliced_versions(generations.read(spark, path))
+    return versions.select(*[F.col(c).cast("double").alias(c) if c == "value" else c for c in VERSION_COLUMNS])
+
+
+@query(f"""
+select o_orderkey, case when o_orderkey % 97 = 0 then 'X' else o_orderstatus end as o_orderstatus, round(case when o_orderkey % 97 = 0 then o_totalprice * 2 else o_totalprice end, 2) as o_totalprice from orders
+union all select -o_orderkey, o_orderstatus, round(o_totalprice, 2) from orders where o_orderkey % 89 = 0 and o_orderkey > 0""")
+def upsert_buckets(spark, sf_dir):
+    """Some orders replaced and some added; only the buckets of their keys are written again."""
+    path = f"{shared_folder(spark)}/orders"
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"))
+    changed = orders.where("o_orderkey % 97 = 0").withColumns({"o_orderstatus": F.lit("X"), "o_totalprice": F.round(F.col("o_totalprice") * 2, 2)})
+    added = orders.where("o_orderkey % 89 = 0 and o_orderkey > 0").withColumn("o_orderkey", -F.col("o_orderkey"))
+    for rows in (orders, changed, added):
+        generations.merge(spark, path, rows, ["o_orderkey"], lambda old, new: generations.replace_keys(old, new, ["o_orderkey"]))
+    generations.vacuum(spark, path)
+    return generations.read(spark, path)
+
+
 @query(f"""
 select event_id, user_id, event_type, 'UPSERT' as _operation, value is null as no_value from events where ts >= timestamp '{CUT}'
 union all select event_id, user_id, event_type, 'HISTORY', true from events where ts < timestamp '{CUT}'""")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
-from ..sources import ingest, layers
+from ..sources import control, ingest, layers
 from ..sources.tables import TableSpec, load
 from . import query
 from .history import CUT, EVENT_HASH, NOW, events, ntz
@@ -29,6 +31,32 @@ def bronze_loads(spark, sf_dir):
     return _bronze(spark, sf_dir).groupBy("_load_type", "_ingestion_id").agg(F.count("*").alias("n"), F.min("event_id").alias("low"), F.max("event_id").alias("high"))
 
 
+@query(f"""
+select case when ts < timestamp '{CUT}' then 'run-0' else 'run-1' end as _ingestion_id, case when ts < timestamp '{CUT}' then 'historical' else 'incremental' end as _load_type, count(*) as n, min(event_id) as low, max(event_id) as high,
+  (select max(ts) from events) as mark, 0::bigint as rows_processed, 'run-3' as last_run from events group by all""")
+def bronze_marked(spark, sf_dir):
+    """Loads by the control table's mark: up to a cut, the rest, a batch that fails its checks, and one that finds nothing new."""
+    folder = shared_folder(spark)
+    source = events(spark, sf_dir)
+    later = source.withColumns({"ts": F.col("ts") + F.expr("interval 100 days"), "user_id": F.lit(None).cast("long")})
+    for number, rows in enumerate((source.where(F.col("ts") < ntz(CUT)), source, later, source)):
+        layers.load_bronze_marked(rows, f"{folder}/bronze", f"{folder}/control", SPEC, "mart", f"run-{number}", ntz(NOW), {"not_null": ("user_id",)})
+    state = control.read(spark, f"{folder}/control").select(F.col("last_processed_watermark").alias("mark"), "rows_processed", F.col("run_id").alias("last_run"))
+    loads = layers.read_bronze(spark, f"{folder}/bronze").groupBy("_ingestion_id", "_load_type").agg(F.count("*").alias("n"), F.min("event_id").alias("low"), F.max("event_id").alias("high"))
+    return loads.crossJoin(F.broadcast(state))  # one row, the only table's
+
+
+@query("select event_type as table_name, max(ts) as last_processed_watermark, count(*) as rows_processed from events group by 1")
+def control_commits(spark, sf_dir):
+    """A run for each event type, all at once; each commits its row under a version of its own."""
+    path = f"{shared_folder(spark)}/control"
+    marks = events(spark, sf_dir).groupBy(F.col("event_type").alias("table_name")).agg(F.max("ts").alias("mark"), F.count("*").alias("n")).collect()  # the inventory
+    run = lambda r: spark.createDataFrame([(r["table_name"], "bronze", r["mark"], "SUCCESS", r["mark"], r["n"], "run-1")], ingest.CONTROL)
+    with ThreadPoolExecutor(len(marks) or 1) as pool:
+        list(pool.map(lambda r: control.commit(spark, path, run(r), attempts=50, base_delay=0.02), marks))
+    return control.read(spark, path).select("table_name", "last_processed_watermark", "rows_processed")
+
+
 SILVER_HASH = EVENT_HASH.replace("concat_ws(chr(31), ", "concat_ws(chr(31), cast(event_id as varchar), ")
 SILVER_SQL = f"""
 with e as (select *, {SILVER_HASH} as h from events),

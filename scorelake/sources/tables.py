@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,44 @@ def read_jdbc(
     return reader.load()
 
 
+def slice_predicates(column: str, cuts: list, heavy: list, nulls: bool = True) -> list[str]:
+    """WHERE clauses that give every row to exactly one slice: between cuts, each heavy value alone, nulls alone."""
+    at = [_sql_value(c) for c in cuts]
+    alone = [_sql_value(v) for v in heavy]
+    ranges = [(f"{column} >= {low}" if low else "", f"{column} < {high}" if high else "") for low, high in zip([None, *at], [*at, None])]
+    others = [f"{column} <> {v}" for v in alone]
+    clauses = [" AND ".join([*(p for p in pair if p), *others]) or f"{column} IS NOT NULL" for pair in ranges]
+    return [*clauses, *[f"{column} = {v}" for v in alone], *([f"{column} IS NULL"] if nulls else [])]
+
+
+def _sql_value(value) -> str:
+    """A literal that every driver takes: times as JDBC escapes."""
+    if isinstance(value, datetime):
+        return f"{{ts '{value:%Y-%m-%d %H:%M:%S.%f}'}}"
+    if isinstance(value, date):
+        return f"{{d '{value:%Y-%m-%d}'}}"
+    return repr(float(value)) if isinstance(value, float) else str(value)
+
+
+def read_jdbc_slices(spark: SparkSession, url: str, table: str, properties: dict[str, str], column: str, slices: int, sample_where: str | None = None) -> DataFrame:
+    """A database table in about equal slices of ``column`` (number, date or time), a connection and a partition each.
+
+    Equal ranges of a skewed column aren't equal slices, so cuts are quantiles of the column, which
+    the database sends alone, or of the part of it that ``sample_where`` keeps (a clause by which the
+    database samples).  A value that fills a slice gets one of its own, and so do nulls.  Filters on
+    the result are pushed to the database beside the slice's own.
+    """
+    source = f"(SELECT {column} AS slice_key FROM {table}{f' WHERE {sample_where}' if sample_where else ''}) slices"
+    keys = read_jdbc(spark, url, source, properties).select(F.col("slice_key").alias("k")).where("k is not null")
+    steps = [i / slices for i in range(1, slices)]
+    found = keys.agg(F.percentile_approx("k", steps, 100 * slices).alias("cuts")).first()["cuts"] if steps else []
+    found = found or []
+    # A value that is several quantiles holds more than a slice.
+    heavy = sorted({c for c in found if found.count(c) > 1})
+    cuts = sorted(set(found) - set(heavy))
+    return spark.read.jdbc(url, table, predicates=slice_predicates(column, cuts, heavy), properties=properties)
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """One row of the table inventory; keys and order columns may be several, comma-separated."""

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import scd2
 from ..operators.joins import join_keyed
+from ..sources import generations
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -28,7 +29,8 @@ def scd2_available(stream: DataFrame, state: str, checkpoint: str, keys: list[st
     Batch n reads the current versions that batch n-1 left and overwrites ``batch=n``: the versions
     that it closed and the current ones.  Closed versions of earlier batches are neither read nor
     written again, and a batch that runs again gives the same files.  Batches must come in the
-    order of ``from_col`` per key.
+    order of ``from_col`` per key: a row before its key's current version is an error, as it would
+    give wrong intervals (``scd2_any_order`` takes rows in any order).
     """
 
     def step(batch: DataFrame, number: int) -> None:
@@ -36,6 +38,10 @@ def scd2_available(stream: DataFrame, state: str, checkpoint: str, keys: list[st
         current = spark.read.parquet(f"{state}/batch={number - 1}").where("_open = 1").drop("_open") if number else None
         # The log of a batch becomes versions first, so that changes inside it aren't lost.
         versions = scd2.from_log(batch, keys, from_col)
+        if current is not None:
+            late = scd2.judge(current, versions, keys).where("_change = 'LATE'").select(*keys, from_col).first()
+            if late:
+                raise ValueError(f"batch {number}: a row comes after a later one of its key: {late.asDict()}")
         table = merge_log(current, versions, keys) if current is not None else versions
         table.withColumn("_open", F.col("_is_current").cast("int")).write.mode("overwrite").partitionBy("_open").parquet(f"{state}/batch={number}")
 
@@ -43,6 +49,25 @@ def scd2_available(stream: DataFrame, state: str, checkpoint: str, keys: list[st
     query.awaitTermination()
 
 
+def scd2_any_order(stream: DataFrame, state: str, checkpoint: str, keys: list[str], from_col: str, buckets: int = generations.BUCKETS) -> None:
+    """Splice every micro-batch that is there into the table under ``state``, rows in any order; read it by ``spliced_table``.
+
+    Batch n is generation n of a table in buckets of keys: it reads and writes the buckets that its
+    keys fall into, and a batch that runs again gives the same files.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        generations.merge(batch.sparkSession, state, batch, keys, lambda old, log: scd2.splice(old, log, keys, from_col), number, buckets)
+
+    query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def spliced_table(spark: SparkSession, state: str) -> DataFrame:
+    """All versions of a table that ``scd2_any_order`` keeps."""
+    return scd2.spliced_versions(generations.read(spark, state))
+
+
 def scd2_table(spark: SparkSession, state: str) -> DataFrame:
     """All versions: what each batch closed, and what the last one left current."""
     every = spark.read.parquet(state)
