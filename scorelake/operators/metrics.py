@@ -2,50 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+from .ranges import ROWS_PER_RANGE, running_sums
+
 PSI_WARNING, PSI_CRITICAL = 0.10, 0.25
-CUTS, ROWS_PER_CUT = 64, 500_000
+
+
+def score_points(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
+    """Rows of label 1 (``_p``) and 0 (``_n``) per group and score ``_s``, written once: what every metric of these groups, or coarser ones, needs."""
+    rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    return written(rows.groupBy(*(by or []), F.col(score).cast("double").alias("_s")).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n")))
+
+
+def point_metrics(points: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``roc_metrics`` from points of these groups or finer ones."""
+    by, number = by or [], points.count()
+    if set(points.columns) != {*by, "_s", "_p", "_n"}:
+        points = points.groupBy(*by, "_s").agg(F.sum("_p").alias("_p"), F.sum("_n").alias("_n"))
+        points = points if number <= ROWS_PER_RANGE else written(points)
+    running = running_sums(points, by, ["_s"], ["_p", "_n"], number)
+    area = F.sum(F.col("_p") * (F.col("_upto__n") - F.col("_n") / 2)) / (F.first("_all__p") * F.first("_all__n"))
+    gap = F.max(F.col("_upto__n") / F.nullif("_all__n", F.lit(0)) - F.col("_upto__p") / F.nullif("_all__p", F.lit(0)))
+    both = (F.first("_all__p") > 0) & (F.first("_all__n") > 0)
+    out = running.groupBy(*by).agg(F.sum(F.col("_p") + F.col("_n")).alias("n"), F.when(both, area).alias("_auc"), F.when(both, F.greatest(gap, F.lit(0.0))).alias("_ks"))
+    return out.select(*by, "n", F.round("_auc", 4).alias("auc"), F.round(2 * F.col("_auc") - 1, 4).alias("gini"), F.round("_ks", 4).alias("ks"))
 
 
 def roc_metrics(df: DataFrame, label: str, score: str, by: list[str] | None = None) -> DataFrame:
     """n, auc, gini and ks per group, 4 decimals; null where one class is missing.
 
     ``label`` is 1 for the class that high scores should find.  Rows are first summed per score;
-    running counts are then built in two levels (totals of score ranges, then inside each range),
-    so no task orders all scores.
+    running counts are then built in two levels, so no task orders all scores.
     """
-    by = by or []
-    rows = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
-    number = min(max(CUTS, rows.count() // ROWS_PER_CUT), 4096)  # ranges grow in number with the rows
-    cuts = rows.agg(F.percentile_approx(score, [i / number for i in range(1, number)], 10 * number)).first()[0] or []
-    points = rows.groupBy(*by, F.col(score).cast("double").alias("_s")).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n"))
-    points = points.withColumn("_part", F.size(F.filter(F.array(*[F.lit(float(c)) for c in sorted(set(cuts))]).cast("array<double>"), lambda c: c < F.col("_s"))))
-    totals = points.groupBy(*by, "_part").agg(F.sum("_p").alias("_pt"), F.sum("_n").alias("_nt"))
-    group = by or [F.lit(0)]
-    along = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group)
-    totals = totals.select(
-        *by, "_part", F.coalesce(F.sum("_pt").over(along), F.lit(0)).alias("_pb"), F.coalesce(F.sum("_nt").over(along), F.lit(0)).alias("_nb"), F.sum("_pt").over(whole).alias("_all_p"), F.sum("_nt").over(whole).alias("_all_n")
-    )
-    same = [points[c].eqNullSafe(totals[c]) for c in (*by, "_part")]
-    inside = Window.partitionBy(*by, "_part").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = (
-        points.join(totals, same).select(points["*"], "_pb", "_nb", "_all_p", "_all_n")
-        .withColumns({"_pc": F.col("_pb") + F.sum("_p").over(inside), "_nc": F.col("_nb") + F.sum("_n").over(inside)})
-    )
-    area = F.sum(F.col("_p") * (F.col("_nc") - F.col("_n") / 2)) / (F.first("_all_p") * F.first("_all_n"))
-    gap = F.max(F.col("_nc") / F.col("_all_n") - F.col("_pc") / F.col("_all_p"))
-    both = (F.first("_all_p") > 0) & (F.first("_all_n") > 0)
-    running = running.withColumns({"_all_p": F.nullif("_all_p", F.lit(0)), "_all_n": F.nullif("_all_n", F.lit(0))})
-    out = running.groupBy(*by).agg(F.sum(F.col("_p") + F.col("_n")).alias("n"), F.when(both, area).alias("_auc"), F.when(both, F.greatest(gap, F.lit(0.0))).alias("_ks"))
-    return out.select(*by, "n", F.round("_auc", 4).alias("auc"), F.round(2 * F.col("_auc") - 1, 4).alias("gini"), F.round("_ks", 4).alias("ks"))
+    return point_metrics(score_points(df, label, score, by), by)
 
 
 def weighted_gini(df: DataFrame, label: str, score: str, by: str) -> DataFrame:
     """One row: the groups' ginis weighted by size; null keys and one-class groups don't count."""
-    groups = roc_metrics(df.where(F.col(by).isNotNull()), label, score, [by]).where("gini is not null")
+    return mean_gini(roc_metrics(df.where(F.col(by).isNotNull()), label, score, [by]))
+
+
+def mean_gini(groups: DataFrame) -> DataFrame:
+    """One row from the metrics of groups: their ginis weighted by size, and the number of groups that have one."""
+    groups = groups.where("gini is not null")
     return groups.agg(F.round(F.sum(F.col("n") * F.col("gini")) / F.sum("n"), 4).alias("weighted_gini"), F.count("*").alias("groups"))
 
 

@@ -11,8 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.scratch import written
 from .joins import join_keyed
 
+#: Rows of a key that one window may order, and bytes of a table in which none is counted.
+HOT_ROWS, SMALL_BYTES = 5_000_000, 1 << 30
 VERSION = ["_row_hash", "_is_current", "_effective_from", "_effective_to"]
 SEPARATOR, MISSING = "\x1f", "\x00"
 
@@ -110,15 +113,56 @@ def apply(current: DataFrame | None, batch: DataFrame, keys: list[str], now: Col
     return closed.unionByName(kept).unionByName(added, allowMissingColumns=True)
 
 
-def from_log(df: DataFrame, keys: list[str], ts: str, exclude: tuple[str, ...] = ()) -> DataFrame:
+def from_log(df: DataFrame, keys: list[str], ts: str, exclude: tuple[str, ...] = (), rows_per_range: int | None = None) -> DataFrame:
     """All versions of a change log: runs of equal state collapse, each ends where the next begins.
 
     Rows of one time are ordered by their hash; all but the last of them hold for no time at all.
     """
-    by_time = Window.partitionBy(*keys).orderBy(ts, "_row_hash")
     hashed = df.withColumn("_row_hash", row_hash(df, (ts, *exclude)))
-    starts = hashed.withColumn("_before", F.lag("_row_hash").over(by_time)).where("_row_hash is distinct from _before").drop("_before")
-    return starts.withColumns({"_effective_from": F.col(ts), "_effective_to": F.lead(ts).over(by_time)}).withColumn("_is_current", F.col("_effective_to").isNull())
+    starts = chain(hashed, keys, ts, rows_per_range).where(~F.col("_repeats")).drop("_repeats")
+    return starts.withColumns({"_effective_from": F.col(ts), "_is_current": F.col("_effective_to").isNull()}).select(*hashed.columns, "_effective_from", "_effective_to", "_is_current")
+
+
+def chain(hashed: DataFrame, keys: list[str], ts: str, rows_per_range: int | None = None) -> DataFrame:
+    """Hashed rows with ``_repeats`` (the state before is the same) and, for the others, ``_effective_to``: when the next one starts.
+
+    One window a key, if no key has more than HOT_ROWS rows (a table that is small by Catalyst's
+    estimate isn't counted).  With hotter keys, or with ``rows_per_range``, rows are dealt in order of
+    key and time to ranges of about that many rows, and written so; a key can span many ranges then.
+    What a range needs of others is one row each: the last row before it, and the first start after it.
+    """
+    if rows_per_range is None and not _estimate(hashed) <= SMALL_BYTES:
+        largest = hashed.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        rows_per_range = HOT_ROWS if largest > HOT_ROWS else None
+    if rows_per_range is None:
+        by_time, back = Window.partitionBy(*keys).orderBy(ts, "_row_hash"), Window.partitionBy(*keys).orderBy(F.desc(ts), F.desc("_row_hash"))
+        marked = hashed.withColumn("_repeats", F.col("_row_hash").eqNullSafe(F.lag("_row_hash").over(by_time)))
+        # Going back in time, the last start so far is where a version ends.
+        end = F.last(F.when(~F.col("_repeats"), F.struct(F.col(ts).alias("at"))), ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
+        return marked.withColumn("_effective_to", F.when(~F.col("_repeats"), end["at"]))
+    number = max(1, -(-hashed.count() // rows_per_range))
+    dealt = written(hashed.repartitionByRange(number, *keys, ts, "_row_hash").withColumn("_range", F.spark_partition_id()))
+    place, key = F.struct(*keys, ts, "_row_hash"), F.struct(*keys)
+    # Ranges follow each other, so these windows see one row a range.
+    last = dealt.groupBy("_range").agg(F.max(place).alias("_last"))
+    last = last.select("_range", F.lag("_last").over(Window.orderBy("_range")).alias("_last"))
+    in_range = Window.partitionBy("_range", *keys).orderBy(ts, "_row_hash")
+    before = F.when(F.row_number().over(in_range) > 1, F.lag("_row_hash").over(in_range)).when(F.struct(*[F.col("_last")[k] for k in keys]).eqNullSafe(key), F.col("_last")["_row_hash"])
+    marked = dealt.join(F.broadcast(last), "_range").withColumn("_repeats", F.col("_row_hash").eqNullSafe(before)).drop("_last")
+    first = marked.where(~F.col("_repeats")).groupBy("_range").agg(F.min(place).alias("_first"))
+    first = last.select("_range").join(first, "_range", "left")
+    after = F.first("_first", ignorenulls=True).over(Window.orderBy("_range").rowsBetween(1, Window.unboundedFollowing))
+    first = first.select("_range", after.alias("_first"))
+    back = Window.partitionBy("_range", *keys).orderBy(F.desc(ts), F.desc("_row_hash")).rowsBetween(Window.unboundedPreceding, -1)
+    end = F.last(F.when(~F.col("_repeats"), F.struct(F.col(ts).alias("at"))), ignorenulls=True).over(back)
+    later = F.when(F.struct(*[F.col("_first")[k] for k in keys]).eqNullSafe(key), F.col("_first")[ts])
+    marked = marked.join(F.broadcast(first), "_range").withColumn("_end", end)
+    return marked.withColumn("_effective_to", F.when(~F.col("_repeats"), F.when(F.col("_end").isNotNull(), F.col("_end")["at"]).otherwise(later))).drop("_range", "_first", "_end")
+
+
+def _estimate(df: DataFrame) -> int:
+    """Bytes by Catalyst's statistics; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def splice(known: DataFrame | None, log: DataFrame, keys: list[str], ts: str, exclude: tuple[str, ...] = ()) -> DataFrame:
@@ -137,12 +181,7 @@ def splice(known: DataFrame | None, log: DataFrame, keys: list[str], ts: str, ex
         new = again.unionByName(new, allowMissingColumns=True)
     point = [*keys, ts, "_row_hash"]
     new = latest_per_key(new, point, [F.col(c) for c in new.columns if c not in point]) if exclude else new.dropDuplicates(point)
-    by_time, back = Window.partitionBy(*keys).orderBy(ts, "_row_hash"), Window.partitionBy(*keys).orderBy(F.desc(ts), F.desc("_row_hash"))
-    marked = new.withColumn("_repeats", F.col("_row_hash").eqNullSafe(F.lag("_row_hash").over(by_time)))
-    # Going back in time, the last version's start so far is where this one ends.
-    end = F.last(F.when(~F.col("_repeats"), F.struct(F.col(ts).alias("at"))), ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
-    marked = marked.withColumns({"_effective_from": F.when(~F.col("_repeats"), F.col(ts)), "_effective_to": F.when(~F.col("_repeats"), end["at"])})
-    marked = marked.withColumn("_is_current", ~F.col("_repeats") & F.col("_effective_to").isNull())
+    marked = chain(new, keys, ts).withColumns({"_effective_from": F.when(~F.col("_repeats"), F.col(ts)), "_is_current": ~F.col("_repeats") & F.col("_effective_to").isNull()})
     return untouched.unionByName(marked, allowMissingColumns=True) if known is not None else marked
 
 

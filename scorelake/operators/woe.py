@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import written
+from .ranges import running_sums
+
 OTHER = "Other"
 EXCLUDE_BELOW, WEAK_BELOW = 0.02, 0.10
 
@@ -15,49 +18,54 @@ def long_form(df: DataFrame, features: list[str], target: str, kind: str) -> Dat
     return df.select(F.col(target).cast("int").alias("target"), F.inline(F.array(*items))).where("value is not null")
 
 
-RANGES = 64
+def count_values(long: DataFrame) -> DataFrame:
+    """(feature, value, n, good, bad): rows of each value, all, of target 0 and of 1; written once, for everything that bands need."""
+    return written(long.groupBy("feature", "value").agg(F.count("*").alias("n"), F.count_if(F.col("target") == 0).alias("good"), F.count_if(F.col("target") == 1).alias("bad")))
 
 
 def quantiles(long: DataFrame, shares: list[float]) -> DataFrame:
-    """Per feature, the exact quantiles of ``value`` (between neighbours by their distance), as ``points``.
-
-    Values are counted, and their ranks come in two levels: totals of value ranges, then running
-    counts inside each range, so no task holds or orders all values of a feature.
-    """
-    counted = long.groupBy("feature", "value").agg(F.count("*").alias("_c"))
-    cuts = long.groupBy("feature").agg(F.percentile_approx("value", [i / RANGES for i in range(1, RANGES)], 1000).alias("_cuts"))  # a row a feature
-    dealt = counted.join(F.broadcast(cuts), "feature").withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("value")))).drop("_cuts")
-    along = Window.partitionBy("feature").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    totals = dealt.groupBy("feature", "_range").agg(F.sum("_c").alias("_n"))
-    totals = totals.select("feature", "_range", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy("feature")).alias("_all"))
-    inside = Window.partitionBy("feature", "_range").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = dealt.join(F.broadcast(totals), ["feature", "_range"]).withColumn("_end", F.col("_before") + F.sum("_c").over(inside))
+    """Per feature, the exact quantiles of ``value`` (between neighbours by their distance), as ``points``."""
+    return counted_quantiles(count_values(long), shares)
+
+
+def counted_quantiles(counted: DataFrame, shares: list[float]) -> DataFrame:
+    """``quantiles`` from the counts of values; their ranks come in two levels, so no task orders all values of a feature."""
+    ranked = running_sums(counted, ["feature"], ["value"], ["n"])
     found, points = [], []
     for i, share in enumerate(shares):
-        at = F.lit(share) * (F.col("_all") - 1)
-        holds = lambda rank: (rank >= F.col("_end") - F.col("_c")) & (rank < F.col("_end"))
+        at = F.lit(share) * (F.col("_all_n") - 1)
+        holds = lambda rank: (rank >= F.col("_upto_n") - F.col("n")) & (rank < F.col("_upto_n"))
         found += [F.max(F.when(holds(F.floor(at)), F.col("value"))).alias(f"_low{i}"), F.max(F.when(holds(F.ceil(at)), F.col("value"))).alias(f"_high{i}")]
         low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
         points.append(F.when(low == high, low).otherwise((F.ceil(at) - at) * low + (at - F.floor(at)) * high))
-    rows = ranked.groupBy("feature").agg(F.first("_all").alias("_all"), *found)
+    rows = ranked.groupBy("feature").agg(F.first("_all_n").alias("_all_n"), *found)
     return rows.select("feature", F.array(*points).alias("points"))
 
 
 def quantile_edges(long: DataFrame, bins: int = 10) -> DataFrame:
     """Per feature, distinct quantile edges; a feature of one value, which has no quantile bands, gets bands of one width."""
-    edges = quantiles(long, [i / bins for i in range(bins + 1)]).select("feature", F.array_sort(F.array_distinct("points")).alias("edges"))
-    wide = equal_width_edges(long, bins).withColumnRenamed("edges", "_wide")
-    return edges.join(wide, "feature").select("feature", F.when(F.size("edges") < 2, F.col("_wide")).otherwise(F.col("edges")).alias("edges"))
+    return counted_edges(count_values(long), bins)
+
+
+def counted_edges(counted: DataFrame, bins: int = 10) -> DataFrame:
+    edges = counted_quantiles(counted, [i / bins for i in range(bins + 1)]).select("feature", F.array_sort(F.array_distinct("points")).alias("edges"))
+    # With fewer than two edges all of the feature's values are one.
+    one = F.struct(F.col("edges")[0].alias("low"), F.col("edges")[0].alias("high"), F.lit(1).alias("n"))
+    return edges.select("feature", F.when(F.size("edges") < 2, width_edges(one["low"], one["high"], one["n"], bins)).otherwise(F.col("edges")).alias("edges"))
 
 
 def equal_width_edges(long: DataFrame, bins: int = 10) -> DataFrame:
     """Per feature, ``min(bins, max(distinct, 2))`` bands of one width."""
     shape = long.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.count_distinct("value").alias("n"))
-    number = F.least(F.lit(bins), F.greatest(F.lit(2), F.col("n"))).cast("int")
+    return shape.select("feature", width_edges(F.col("low"), F.col("high"), F.col("n"), bins).alias("edges"))
+
+
+def width_edges(low: Column, high: Column, distinct: Column, bins: int) -> Column:
+    number = F.least(F.lit(bins), F.greatest(F.lit(2), distinct)).cast("int")
     # A single value stands in the middle of its bands.
-    same = F.col("low") == F.col("high")
-    shape = shape.withColumns({"low": F.when(same, F.col("low") - 0.001 * F.greatest(F.abs("low"), F.lit(1.0))).otherwise(F.col("low")), "high": F.when(same, F.col("high") + 0.001 * F.greatest(F.abs("high"), F.lit(1.0))).otherwise(F.col("high"))})
-    return shape.select("feature", F.transform(F.sequence(F.lit(0), number), lambda i: F.col("low") + (F.col("high") - F.col("low")) * i / number).alias("edges"))
+    wider = lambda end, sign: F.when(low == high, end + sign * 0.001 * F.greatest(F.abs(end), F.lit(1.0))).otherwise(end)
+    start, stop = wider(low, -1), wider(high, 1)
+    return F.transform(F.sequence(F.lit(0), number), lambda i: start + (stop - start) * i / number)
 
 
 def band(value: Column, edges: Column) -> Column:
@@ -83,17 +91,36 @@ def continuous_bands(df: DataFrame, features: list[str], target: str, bins: int
     return long.join(F.broadcast(edges), "feature").select("feature", "target", band(F.col("value"), F.col("edges")).alias("band"))
 
 
+def continuous_evidence(df: DataFrame, features: list[str], target: str, bins: int = 10) -> DataFrame:
+    """``evidence`` of quantile bands; rows are read once, and counted by value."""
+    counted = count_values(long_form(df, features, target, "double"))
+    banded = counted.join(F.broadcast(counted_edges(counted, bins)), "feature")  # a row a feature
+    return counted_evidence(banded.groupBy("feature", band(F.col("value"), F.col("edges")).alias("band")).agg(F.sum("good").alias("good_count"), F.sum("bad").alias("bad_count")))
+
+
 def group_rare(long: DataFrame, min_share: float = 0.05) -> DataFrame:
     """Levels with less than ``min_share`` of their feature's rows become ``Other``."""
     levels = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
+    # What stays as it is are fewer than 1 / min_share levels a feature, so rows meet a small table, whatever their values.
+    kept = levels.withColumn("all", F.sum("n").over(Window.partitionBy("feature"))).where(F.col("n") / F.col("all") >= min_share).select("feature", "value", F.lit(True).alias("kept"))
+    return long.join(F.broadcast(kept), ["feature", "value"], "left").select("feature", "target", F.when(F.col("kept"), F.col("value")).otherwise(F.lit(OTHER)).alias("level"))
+
+
+def categorical_evidence(long: DataFrame, min_share: float = 0.05) -> DataFrame:
+    """``evidence`` of levels, rare ones grouped; rows are only counted, by feature and level."""
+    levels = long.groupBy("feature", "value").agg(F.count("*").alias("n"), F.count_if(F.col("target") == 0).alias("good"), F.count_if(F.col("target") == 1).alias("bad"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy("feature"))
-    named = levels.select("feature", "value", F.when(share < min_share, OTHER).otherwise(F.col("value")).alias("level"))
-    return long.join(named, ["feature", "value"]).select("feature", "target", "level")
+    named = levels.withColumn("level", F.when(share < min_share, OTHER).otherwise(F.col("value")))
+    return counted_evidence(named.groupBy("feature", "level").agg(F.sum("good").alias("good_count"), F.sum("bad").alias("bad_count")))
 
 
 def evidence(groups: DataFrame, by: str) -> DataFrame:
     """Counts, smoothed distributions, WoE and IV per (feature, group); target 1 is bad."""
-    counted = groups.groupBy("feature", by).agg(F.count_if(F.col("target") == 0).alias("good_count"), F.count_if(F.col("target") == 1).alias("bad_count"))
+    return counted_evidence(groups.groupBy("feature", by).agg(F.count_if(F.col("target") == 0).alias("good_count"), F.count_if(F.col("target") == 1).alias("bad_count")))
+
+
+def counted_evidence(counted: DataFrame) -> DataFrame:
+    """``evidence`` of groups that are counted already; a feature has a few."""
     all_of = Window.partitionBy("feature")
     good = (F.col("good_count") + 0.5) / (F.sum("good_count").over(all_of) + 0.5)
     bad = (F.col("bad_count") + 0.5) / (F.sum("bad_count").over(all_of) + 0.5)

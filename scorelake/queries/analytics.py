@@ -52,14 +52,14 @@ def rounded(table: DataFrame, *first: str) -> DataFrame:
 
 
 def continuous_table(spark, sf_dir) -> DataFrame:
-    return woe.evidence(woe.continuous_bands(labelled(spark, sf_dir), CONTINUOUS, "bad"), "band")
+    return woe.continuous_evidence(labelled(spark, sf_dir), CONTINUOUS, "bad")
 
 
 def categorical_table(spark, sf_dir) -> DataFrame:
     orders = labelled(spark, sf_dir)
     lines = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_discount").cast("decimal(4,2)").cast("string").alias("discount"))
     long = woe.long_form(orders, ["c_mktsegment", "o_orderpriority"], "bad", "string").unionByName(woe.long_form(lines.join(orders.select("o_orderkey", "bad"), "o_orderkey"), ["discount"], "bad", "string"))
-    return woe.number_bands(woe.evidence(woe.group_rare(long), "level"), "level")
+    return woe.number_bands(woe.categorical_evidence(long), "level")
 
 
 @query(CONTINUOUS_SQL + evidence_sql("w", "banded", "band") + f"select feature, band, {COLUMNS} from w")
@@ -96,7 +96,7 @@ def woe_transform(spark, sf_dir):
     rows = labelled(spark, sf_dir)
     long = woe.long_form(rows, ["o_totalprice"], "bad", "double")
     edges = woe.quantile_edges(long).first()["edges"]
-    table = woe.evidence(woe.continuous_bands(rows, ["o_totalprice"], "bad"), "band")
+    table = woe.continuous_evidence(rows, ["o_totalprice"], "bad")
     return woe.transform(rows, "o_totalprice", edges, table, "woe").select("o_orderkey", F.round("woe", 6).alias("woe"))
 
 
@@ -170,7 +170,7 @@ def feature_table(spark, sf_dir):
     rows = populated(spark, sf_dir).withColumnRenamed("amount", "o_totalprice").join(customer, "c_custkey", "left")
     rows = rows.withColumns({"bad": target, "order_age": F.date_diff(F.lit("1999-01-01").cast("date"), "application_date").cast("double")})
     dev = rows.where("_population = 'DEV' and bad is not null")
-    table = woe.feature_table(rows, ["application_id", "_population"], woe.select_features(woe.evidence(woe.continuous_bands(dev, OFFERED, "bad"), "band")), "bad")
+    table = woe.feature_table(rows, ["application_id", "_population"], woe.select_features(woe.continuous_evidence(dev, OFFERED, "bad")), "bad")
     kept = [c for c in table.columns if c in OFFERED]
     values = F.array(*[F.struct(F.lit(c).alias("feature"), F.round(F.col(c).cast("double"), 4).alias("value")) for c in kept]) if kept else F.expr("cast(array() as array<struct<feature:string,value:double>>)")
     return table.select("application_id", "_population", "bad", F.inline(values))
@@ -183,8 +183,8 @@ def feature_table_populations(spark, sf_dir):
     target = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0)
     rows = populated(spark, sf_dir).withColumnsRenamed({"amount": "o_totalprice", "priority": "o_orderpriority"}).join(customer, "c_custkey", "left").withColumn("bad", target)
     dev = rows.where("_population = 'DEV' and bad is not null")
-    continuous = woe.evidence(woe.continuous_bands(dev, CONTINUOUS, "bad"), "band").select("feature", "iv")
-    categorical = woe.evidence(woe.group_rare(woe.long_form(dev, ["c_mktsegment", "o_orderpriority"], "bad", "string")), "level").select("feature", "iv")
+    continuous = woe.continuous_evidence(dev, CONTINUOUS, "bad").select("feature", "iv")
+    categorical = woe.categorical_evidence(woe.long_form(dev, ["c_mktsegment", "o_orderpriority"], "bad", "string")).select("feature", "iv")
     return woe.feature_table(rows, ["application_id", "_population"], woe.select_features(continuous.unionByName(categorical)), "bad")
 
 
@@ -392,14 +392,15 @@ def wald_table(spark, sf_dir):
     return table.select("feature", F.round("coefficient", 6).alias("coefficient"), F.round("std_err", 6).alias("std_err"), F.round("z", 4).alias("z"), F.round("p_value", 4).alias("p_value"), F.round("odds_ratio", 4).alias("odds_ratio"))
 
 
-def metric_log(spark, sf_dir) -> DataFrame:
-    """Metrics of the stand-in score by population and its drift, as one run's log."""
-    rows = scored(spark, sf_dir).where(F.col("_observed_label").isNotNull()).withColumn("bad", (F.col("_observed_label") == "Bad").cast("int"))
-    roc = metrics.roc_metrics(rows, "bad", "p_bad", ["_population"])
-    log = metrics.metric_log(roc, "_population", ["auc", "gini", "ks"], "scorecard", "2024-02-01 00:00:00")
-    by_month = metrics.weighted_gini(rows.withColumn("month", F.last_day("application_date")), "bad", "p_bad", "month")
+def metric_log(spark, sf_dir, rows: DataFrame | None = None) -> DataFrame:
+    """Metrics of the stand-in score by population and its drift, as one run's log; ``rows``: the scored table, if it is there."""
+    rows = rows if rows is not None else written(scored(spark, sf_dir))
+    labelled_rows = rows.where(F.col("_observed_label").isNotNull()).withColumns({"bad": (F.col("_observed_label") == "Bad").cast("int"), "month": F.last_day("application_date")})
+    points = metrics.score_points(labelled_rows, "bad", "p_bad", ["_population", "month"])
+    log = metrics.metric_log(metrics.point_metrics(points, ["_population"]), "_population", ["auc", "gini", "ks"], "scorecard", "2024-02-01 00:00:00")
+    by_month = metrics.mean_gini(metrics.point_metrics(points.where("month is not null"), ["month"]))
     log = log.unionByName(metrics.metric_log(by_month.select(F.lit("ALL").alias("_population"), F.col("weighted_gini").alias("weighted_gini_dp3")), "_population", ["weighted_gini_dp3"], "scorecard", "2024-02-01 00:00:00"))
-    d = drift(spark, sf_dir).select(
+    d = metrics.psi(rows, "final_p_good", "_population", "DEV").select(
         F.lit("scorecard").alias("model_name"), F.lit("2024-02-01 00:00:00").alias("run_timestamp"), F.col("_population").alias("population"), F.lit("psi_p_good").alias("metric"), F.col("psi").alias("value"), "alert_level"
     )
     return log.unionByName(d)
@@ -407,7 +408,7 @@ def metric_log(spark, sf_dir) -> DataFrame:
 
 def evaluations(spark, sf_dir) -> DataFrame:
     """One evaluation row a model version: two stand-in scores."""
-    rows = labelled(spark, sf_dir)
+    rows = written(labelled(spark, sf_dir).select("bad", "c_acctbal", "o_totalprice"))
     parts = []
     for version, score in ((1, "c_acctbal"), (2, "o_totalprice")):
         parts.append(metrics.roc_metrics(rows, "bad", score).select(F.lit(version).cast("long").alias("challenger_version"), F.col("n").alias("eval_rows"), "auc", "gini", "ks"))

@@ -10,6 +10,7 @@ from ..operators import split, standardize
 from ..plans import mart, reports
 from ..sources.tables import load
 from . import query
+from .folders import shared_folder
 
 DECISION = "case o_orderstatus when 'P' then 'DECLINED' else 'APPROVED' end"
 
@@ -33,12 +34,15 @@ def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart.performance_window(rows, "application_id", "months", "arrears", "hardship", "snapshot")
 
 
-def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dimensions(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, list[str]]]:
     customer = load(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
     nation = load(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("nation"), F.col("n_regionkey").alias("r_regionkey"))
     region = load(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("region"))
-    dims = [(customer, ["c_custkey"]), (nation, ["n_nationkey"]), (region, ["r_regionkey"])]
-    return mart.application_mart(applications(spark, sf_dir), dims, performance(spark, sf_dir), "application_id", "decision", "application_date")
+    return [(customer, ["c_custkey"]), (nation, ["n_nationkey"]), (region, ["r_regionkey"])]
+
+
+def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mart.application_mart(applications(spark, sf_dir), dimensions(spark, sf_dir), performance(spark, sf_dir), "application_id", "decision", "application_date")
 
 
 GOLD_SQL = """
@@ -86,9 +90,8 @@ from orders left join bridge on bridge.application_id = o_orderkey left join par
 """
 
 
-@query(FACILITY_SQL)
-def gold_facility_mart(spark, sf_dir):
-    """Applications by way of a bridge to their facility, and the facility's performance."""
+def facility_leg(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Bridge (an application's facility), facility dimension, and the facilities' performance."""
     apps = applications(spark, sf_dir)
     approved = apps.where("decision = 'APPROVED'").select("application_id", "application_date")
     lines = load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("application_id"), F.col("l_partkey").alias("facility_key"), "l_discount", "l_tax", "l_returnflag", F.to_date("l_shipdate").alias("l_shipdate"))
@@ -98,11 +101,43 @@ def gold_facility_mart(spark, sf_dir):
         "facility_key", F.round(F.col("l_discount") * 1000).cast("int").alias("arrears"), F.when((F.col("l_returnflag") == "R") & (F.col("l_tax") >= 0.08), "Y").otherwise("N").alias("hardship"),
         lending.months_between_starts(F.col("l_shipdate"), F.col("application_date")).alias("months"), F.col("l_shipdate").alias("snapshot"),
     )
-    window = mart.performance_window(rows, "facility_key", "months", "arrears", "hardship", "snapshot")
-    built = mart.application_mart(mart.facilities(apps, bridge, facility, "application_id", "facility_key"), [], window, "facility_key", "decision", "application_date")
+    return bridge, facility, mart.performance_window(rows, "facility_key", "months", "arrears", "hardship", "snapshot")
+
+
+@query(FACILITY_SQL)
+def gold_facility_mart(spark, sf_dir):
+    """Applications by way of a bridge to their facility, and the facility's performance."""
+    bridge, facility, window = facility_leg(spark, sf_dir)
+    built = mart.application_mart(mart.facilities(applications(spark, sf_dir), bridge, facility, "application_id", "facility_key"), [], window, "facility_key", "decision", "application_date")
     return built.select("application_id", "funded_date", "facility_id", "loan_amount_funded", "loan_term_months", "perf_observations", "target_flag")
 
 
+def full(spark, sf_dir) -> DataFrame:
+    return mart.full_mart(applications(spark, sf_dir), dimensions(spark, sf_dir), *facility_leg(spark, sf_dir), "application_id", "facility_key", "decision", "application_date")
+
+
+FULL_SQL = FACILITY_SQL.replace("select o_orderkey as application_id, funded_date", """select o_orderkey as application_id, cast(o_orderdate as date) as application_date, c_mktsegment as segment, n_name as nation, r_name as region, c_acctbal as balance,
+  case when o_orderstatus <> 'P' then 'Funded' else 'NotFunded' end as sample_flag, last_day(cast(o_orderdate as date)) as dp3_application, arrears as max_arrears_days_24mo, hardship as hardship_ever_24mo, funded_date""").replace(
+    "from orders left join bridge", "from orders left join customer on o_custkey = c_custkey left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey left join bridge"
+)
+FULL_COLUMNS = [
+    "application_id", "application_date", "segment", "nation", "region", "balance", "sample_flag", "dp3_application", "max_arrears_days_24mo", "hardship_ever_24mo", "funded_date", "facility_id",
+    "loan_amount_funded", "loan_term_months", "perf_observations", "target_flag",
+]
+
+
+@query(FULL_SQL)
+def gold_full_mart(spark, sf_dir):
+    """Dimensions and facility leg in one table."""
+    return full(spark, sf_dir).select(*FULL_COLUMNS)
+
+
+@query("select count(*) as source_rows, count(*) as target_rows, true as matches from orders")
+def gold_mart_grain(spark, sf_dir):
+    """The mart as written has the fact's rows."""
+    return mart.write_mart(full(spark, sf_dir), applications(spark, sf_dir), f"{shared_folder(spark)}/mart")
+
+
 @query("""
 with f as (select l_orderkey, max(case when l_returnflag = 'R' then 'Y' else 'N' end) as hardship, max(cast(round(l_discount * 1000) as int)) as days from lineitem group by 1)
 select case when days >= 90 or hardship = 'Y' then 'Bad' when days = 0 then 'Good' when days >= 1 then 'Indeterminate' else 'NotFunded' end as target_flag,
@@ -211,6 +246,23 @@ def stratified_quota(spark, sf_dir):
     return split.exact_quota(orders, "o_orderkey", ["o_orderstatus"], 0.7).withColumnRenamed("_chosen", "chosen")
 
 
+BUCKET_SQL = "('0x' || substr(md5('42|' || cast(o_orderkey as varchar)), 1, 7))::bigint"
+
+
+@query(f"select o_orderkey, o_orderstatus from orders where {BUCKET_SQL} < case o_orderstatus when 'F' then floor(0.5 * 268435456) when 'O' then floor(0.25 * 268435456) when 'P' then floor(0.9 * 268435456) else 0 end")
+def sample_levels(spark, sf_dir):
+    """A rate for each of three levels."""
+    return split.sample_levels(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", "o_orderstatus", {"F": 0.5, "O": 0.25, "P": 0.9})
+
+
+@query(f"""
+select o_orderkey, o_orderstatus from (select o_orderkey, o_orderstatus, row_number() over (partition by o_orderstatus order by {BUCKET_SQL}, o_orderkey) as nth from orders)
+where nth <= case o_orderstatus when 'F' then 300 when 'O' then 77 when 'P' then 100000000 else 0 end""")
+def sample_quota(spark, sf_dir):
+    """300 and 77 rows of two levels, and all of a third."""
+    return split.sample_quota(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), "o_orderkey", "o_orderstatus", {"F": 300, "O": 77, "P": 100_000_000})
+
+
 @query("""
 with b as (select last_day(cast(o_orderdate as date)) as d from orders)
 select strftime(d, '%Y%m') as snapshot_key, d as snapshot_date, cast(year(d) as int) as year, cast(quarter(d) as int) as quarter, cast(month(d) as int) as month,

@@ -23,7 +23,8 @@ m as (select grp as population, 'auc' as metric, round(auc, 4) as value from roc
 
 @query(PSI_SQL + "select 2::bigint as latest_model_version, (select count(*) from orders) as total_scored, '2024-02-01 00:00:00' as last_run, count(*) filter (alert_level = 'critical') as critical_alerts, count(*) filter (alert_level = 'warning') as warning_alerts from drift")
 def report_headline(spark, sf_dir):
-    return reports.headline(scored(spark, sf_dir), written(metric_log(spark, sf_dir)), evaluations(spark, sf_dir))
+    rows = written(scored(spark, sf_dir))
+    return reports.headline(rows, written(metric_log(spark, sf_dir, rows)), evaluations(spark, sf_dir))
 
 
 WEIGHTED_SQL = """,
