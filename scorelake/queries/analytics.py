@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import scorecard
 from ..operators import metrics, model, standardize, woe
+from ..operators import sketches as sketch
 from ..sources.tables import load
 from . import query
-from .folders import written
+from .folders import shared_folder, written
 from .gold import POPULATION_SQL, populated
 
 CONTINUOUS = ["o_totalprice", "c_acctbal"]
@@ -406,6 +407,55 @@ def metric_log(spark, sf_dir, rows: DataFrame | None = None) -> DataFrame:
     return log.unionByName(d)
 
 
+def _daily(spark, folder: str, sketches: DataFrame) -> DataFrame:
+    """Sketches written a day at a time, as daily runs do, and read together (a few of the days, then all that is left)."""
+    days = [r[0] for r in sketches.select("day").distinct().orderBy("day").collect()]  # the calendar
+    for day in days[:3]:
+        sketch.write_day(sketches, folder, day)
+    sketches.where(~F.col("day").isin(days[:3])).write.mode("append").partitionBy("day").parquet(folder)
+    return sketch.read_days(spark, folder)
+
+
+@query(SCORED_SQL + """,
+x as (select _population as grp, p_bad as score, (_observed_label = 'Bad')::int as bad from scored where _observed_label is not null and application_date between date '1995-01-01' and date '1998-12-31')"""
++ ROC_SQL.format(by="grp", score="score") + "select grp as _population, n, true as auc_close, true as ks_close from roc")
+def monitor_window(spark, sf_dir):
+    """Four years' metrics from daily sketches, and whether they are within 0.02 of the exact ones."""
+    rows = written(scored(spark, sf_dir).where(F.col("_observed_label").isNotNull()).select("_population", "application_date", "p_bad", (F.col("_observed_label") == "Bad").cast("int").alias("bad")))
+    months = rows.withColumn("application_date", F.trunc("application_date", "month"))
+    daily = _daily(spark, f"{shared_folder(spark)}/sketches", sketch.score_sketches(months, "application_date", ["_population", "bad"], "p_bad"))
+    found = sketch.window_roc(sketch.merged(daily, ["_population", "bad"], "1995-01-01", "1998-12-31"), "bad", ["_population"])
+    exact = metrics.roc_metrics(rows.where(F.col("application_date").between(F.lit("1995-01-01").cast("date"), F.lit("1998-12-31").cast("date"))), "bad", "p_bad", ["_population"])
+    exact = exact.select("_population", F.col("auc").alias("exact_auc"), F.col("ks").alias("exact_ks"))
+    close = lambda a, b: F.coalesce(F.abs(F.col(a) - F.col(b)) <= 0.02, F.lit(False))
+    return found.join(exact, "_population").select("_population", "n", close("auc", "exact_auc").alias("auc_close"), close("ks", "exact_ks").alias("ks_close"))
+
+
+@query(PSI_SQL + "select _population, true as psi_close from drift")
+def monitor_drift(spark, sf_dir):
+    """PSI from daily sketches, and whether it is within 0.01 of the exact one."""
+    rows = written(scored(spark, sf_dir).select("_population", "application_date", "final_p_good"))
+    months = rows.withColumn("application_date", F.trunc("application_date", "month"))
+    daily = _daily(spark, f"{shared_folder(spark)}/sketches", sketch.score_sketches(months, "application_date", ["_population"], "final_p_good"))
+    found = sketch.window_psi(sketch.merged(daily, ["_population"], "1900-01-01", "2100-01-01"), "_population", "DEV")
+    exact = metrics.psi(rows, "final_p_good", "_population", "DEV").select("_population", F.col("psi").alias("exact"))
+    return found.join(exact, "_population").select("_population", (F.abs(F.col("psi") - F.col("exact")) <= 0.01).alias("psi_close"))
+
+
+@query("""
+select 'user_id' as column_name, count(*) as rows, count(distinct user_id) as distinct_values, true as close from events where cast(ts as date) between date '2024-01-05' and date '2024-01-20'
+union all select 'value', count(*), count(distinct value), true from events where cast(ts as date) between date '2024-01-05' and date '2024-01-20'""")
+def distinct_days(spark, sf_dir):
+    """Distinct values of a window from daily sketches, and whether they are within 5 % of the exact numbers."""
+    events = load(spark, sf_dir, "events").select("ts", "user_id", "value")
+    daily = _daily(spark, f"{shared_folder(spark)}/sketches", sketch.distinct_sketches(events, "ts", ["user_id", "value"]))
+    found = sketch.distinct_between(daily, "2024-01-05", "2024-01-20")
+    window = events.where(F.to_date("ts").between(F.lit("2024-01-05").cast("date"), F.lit("2024-01-20").cast("date")))
+    exact = window.agg(F.count_distinct("user_id").alias("user_id"), F.count_distinct("value").alias("value"))
+    exact = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_values")) for c in ("user_id", "value")])))
+    return found.join(exact, "column_name").select("column_name", "rows", "distinct_values", (F.abs(F.col("estimate") - F.col("distinct_values")) <= 0.05 * F.col("distinct_values")).alias("close"))
+
+
 def evaluations(spark, sf_dir) -> DataFrame:
     """One evaluation row a model version: two stand-in scores."""
     rows = written(labelled(spark, sf_dir).select("bad", "c_acctbal", "o_totalprice"))

@@ -97,3 +97,47 @@ def daily_profile(stream: DataFrame, ts: str, late: str = "2 days") -> DataFrame
         .agg(F.count("*").alias("n"), F.sum("value").alias("total"))
         .select(F.to_date("w.start").alias("day"), "event_type", "n", "total")
     )
+
+
+def profile_with_late(stream: DataFrame, state: str, checkpoint: str, ts: str, late: str = "2 days") -> None:
+    """``daily_profile`` of every micro-batch that is there, with the rows that come behind the watermark kept aside.
+
+    The watermark of a batch is the latest time of all batches before it, less ``late``, and a day is
+    closed once it has ended by the watermark; a watermarked aggregate drops rows of closed days
+    without a trace.  Batch n overwrites its own folders: ``open``, the sums of days still open
+    (those of batch n-1 and its own rows); ``closed``, the days that it closes; and ``late``, its rows of closed
+    days.  So a batch that runs again gives the same files, only open days are read and written again,
+    and closed days, late rows and open days always add up to the input.  Rows without a time are late.
+    """
+
+    def step(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        before = spark.read.parquet(f"{state}/open/batch={number - 1}") if number else None
+        # A row of its own holds the latest time, so that it outlives the days that close.
+        last = before.where("day is null").first()["latest"] if number else None
+        mark = F.lit(last).cast("timestamp") - F.expr(f"interval {late}") if last is not None else F.lit(None).cast("timestamp")
+        over = lambda day: F.coalesce(F.date_add(day, 1).cast("timestamp") <= mark, F.lit(False))
+        rows = batch.withColumn("_late", over(F.to_date(ts)) | F.col(ts).isNull())
+        rows.where("_late").drop("_late").write.mode("overwrite").parquet(f"{state}/late/batch={number}")
+        own = rows.where("not _late").groupBy(F.to_date(ts).alias("day"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.max(ts).alias("latest"))
+        sums = own if before is None else own.unionByName(before.where("day is not null"))
+        sums = sums.groupBy("day", "event_type").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("latest").alias("latest"))
+        staged = f"{state}/sums/batch={number}"
+        sums.write.mode("overwrite").parquet(staged)
+        sums = spark.read.parquet(staged)  # a row a day and type
+        newest = sums.agg(F.max("latest")).first()[0]
+        newest = max((t for t in (newest, last) if t is not None), default=None)
+        closing = F.coalesce(F.date_add("day", 1).cast("timestamp") <= F.lit(newest).cast("timestamp") - F.expr(f"interval {late}"), F.lit(False))
+        sums.where(closing).drop("latest").write.mode("overwrite").parquet(f"{state}/closed/batch={number}")
+        note = spark.createDataFrame([(None, None, None, None, newest)], sums.schema)
+        sums.where(~closing).unionByName(note).write.mode("overwrite").parquet(f"{state}/open/batch={number}")
+
+    query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def profile_parts(spark: SparkSession, state: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(closed days, late rows, open days) of a table that ``profile_with_late`` keeps."""
+    opened = spark.read.parquet(f"{state}/open")
+    last = opened.agg(F.max("batch")).first()[0]
+    return spark.read.parquet(f"{state}/closed").drop("batch"), spark.read.parquet(f"{state}/late").drop("batch"), opened.where((F.col("batch") == last) & F.col("day").isNotNull()).drop("batch", "latest")
