@@ -2,17 +2,19 @@
 
 A document is its sequence of lines; blank ones are skipped.  Of each window of ``min_lines``
 consecutive lines the line with the smallest hash is selected, so two copies of a window always
-select the same line of it, and a line is a fingerprint if some window selects it.  Positions of
-fingerprints that stand more than once are joined with the first position whose match, extended
-to both sides from the fingerprint over the window's lines, is the same; all other lines of such
-windows are later repeats.  A longer repeat holds a selected line in each of its windows, so the
-windows' union is the whole of it.  Lines of at least ``long_words`` words are fingerprints of
+select the same line of it, and a line is a fingerprint if some window selects it.  A fingerprint is one
+row, however many windows select it (about two rows for every ``min_lines`` + 1 lines), and those
+that stand once go no further.  Positions of the
+others are joined by fingerprint, and matches are extended to both sides: each window that selected the line
+tells how far to the left and right of it the lines agree, and the first position with the same
+lines around the fingerprint stays; the lines of the windows at all others are later repeats.  A longer
+repeat holds a selected line in each of its windows, so the windows' union is the whole of it.  Lines of at least ``long_words`` words are fingerprints of
 their own and repeat alone.  The first place (by document, then line) stays, all later copies go.
 
 A common line never meets its copies pairwise: positions are grouped by fingerprint and match with
 partial sums of the first place.  Fingerprints of more than ``hot_share`` of all positions are dealt
 by match as well, and matches that are as common get their first place by a broadcast table, which
-has at most 1 / ``hot_share`` rows.  Only hashes move until the lines are cut.
+has at most ``min_lines`` / ``hot_share`` rows.  Only hashes move until the lines are cut.
 
 Nulls stay null and texts without repeats stay as they are, however long; rows of equal id and
 text are one document and are cut alike, an id that is null counts as the smallest; a deleted line
@@ -64,11 +66,11 @@ def selected(h: np.ndarray, width: int) -> np.ndarray:
     return np.arange(len(h) - width + 1) + np.lib.stride_tricks.sliding_window_view(h, width).argmin(axis=1)
 
 
-POSITIONS = "fingerprint long, match long, doc_id long, row long, first int, n int"
+POSITIONS = "fingerprint long, doc_id long, row long, matches array<struct<first:int,match:long,n:int>>"
 
 
 def _positions(min_lines: int, long_words: int):
-    """Of each window the fingerprint that it selects and the match around it; long lines match alone."""
+    """Each selected line with the matches around it, one a window that selects it; long lines match alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,37 +84,40 @@ def _positions(min_lines: int, long_words: int):
                     alone = np.flatnonzero(n_words >= long_words)
                     if not len(place) + len(alone):
                         continue
-                    # How far the match reaches to the left of the fingerprint is part of it.
+                    # Places never go back from one window to the next, so windows of one place are neighbours.
+                    opens = np.flatnonzero(np.diff(place, prepend=-1))
                     first = np.arange(len(place))
+                    # How far the match reaches to the left of the fingerprint is part of it.
                     match = mix(grams(h, min_lines) + (place - first).astype(np.uint64))
+                    width = np.concatenate([np.diff(opens, append=len(place)), np.ones(len(alone), np.int64)])
                     size = np.full(len(place) + len(alone), min_lines)
                     size[len(place) :] = 1
-                    out.append((np.concatenate([h[place], h[alone]]), np.concatenate([match, h[alone]]), np.full(len(size), doc_ids[at + d]), np.full(len(size), rows[at + d]), np.concatenate([first, alone]), size))
+                    out.append((h[np.concatenate([place[opens], alone])], np.full(len(width), doc_ids[at + d]), np.full(len(width), rows[at + d]), width, np.concatenate([first, alone]), np.concatenate([match, h[alone]]), size))
             if out:
-                fingerprint, match, doc, row, first, size = (np.concatenate(c) for c in zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(fingerprint.view(np.int64)), pa.array(match.view(np.int64)), pa.array(doc.astype(np.int64)), pa.array(row), pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32))],
-                    names=[p.split()[0] for p in POSITIONS.split(", ")],
-                )
+                fingerprint, doc, row, width, first, match, size = (np.concatenate(c) for c in zip(*out))
+                matches = pa.StructArray.from_arrays([pa.array(first.astype(np.int32)), pa.array(match.view(np.int64)), pa.array(size.astype(np.int32))], names=["first", "match", "n"])
+                matches = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]).astype(np.int32)), matches)
+                yield pa.RecordBatch.from_arrays([pa.array(fingerprint.view(np.int64)), pa.array(doc.astype(np.int64)), pa.array(row), matches], names=["fingerprint", "doc_id", "row", "matches"])
 
     return run
 
 
 def _later(places: DataFrame, hot_share: float) -> DataFrame:
-    """The positions whose match stands at an earlier place too."""
+    """The windows whose match stands at an earlier place too."""
     match, place = ["fingerprint", "match", "n"], F.struct("doc_id", "row", "first")
     most = places.count() * hot_share
     # Fingerprints that stand once end here: each task sends one row for each of its fingerprints.
     again = materialise(places.groupBy("fingerprint").agg(F.count("*").alias("_n")).where("_n > 1"), "lines-repeated")
-    # Counts over ``most`` sum to no more than all positions, so neither broadcast table has more than 1 / hot_share rows.
+    # Counts over ``most`` sum to no more than all positions or windows, so both broadcast tables are bounded by the share.
     hot = again.where(F.col("_n") > most).select("fingerprint")
+    extended = lambda rows: rows.select("fingerprint", "doc_id", "row", F.inline("matches"))
 
     def leads(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*match).agg(F.min(place).alias("_lead"), F.count("*").alias("_n")).where("_n > 1")
 
     # Hot rows leave before the shuffle by fingerprint.
-    rare = places.join(F.broadcast(hot), "fingerprint", "left_anti").join(again.where(F.col("_n") <= most), "fingerprint", "left_semi")
-    common = places.join(F.broadcast(hot), "fingerprint", "left_semi")
+    rare = extended(places.join(F.broadcast(hot), "fingerprint", "left_anti").join(again.where(F.col("_n") <= most), "fingerprint", "left_semi"))
+    common = extended(places.join(F.broadcast(hot), "fingerprint", "left_semi"))
     common_leads = leads(common)
     top = F.broadcast(common_leads.where(F.col("_n") > most))
     pairs = [

@@ -82,3 +82,13 @@ def test_copies_keep_one_and_columns_stay(frame):
     assert {r.text for r in got.where("doc_id = 3").collect()} == {""}
     assert got.where("doc_id = 9").first().text == "z"
     assert linededup.dedup_lines(frame([])).collect() == []
+
+
+def test_a_selected_line_is_one_row(frame):
+    """Winnowing thins out: n distinct lines give fewer rows than windows, about 2 n / (width + 1)."""
+    text = "\n".join(f"line {i}" for i in range(3000))
+    for width in (2, 3, 8):
+        places = frame([(1, text)], 1).select("doc_id", F.lit(0).cast("long").alias("row"), "text").mapInArrow(linededup._positions(width, 50), linededup.POSITIONS).collect()
+        assert sum(len(r.matches) for r in places) == 3000 - width + 1
+        assert 0.85 < len(places) * (width + 1) / (2 * 3000) < 1.15
+        assert len(places) < 3000 - width

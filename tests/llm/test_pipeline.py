@@ -122,3 +122,16 @@ def test_odd_rows_and_empty_tables(spark, folder, tmp_path):
             assert {None, 4} <= {r.doc_id for r in got} and sum(r.doc_id == 4 for r in got) == 1
         else:
             assert got == []
+
+
+def test_near_duplicates_are_told_by_row(spark):
+    """A near copy goes though another row has its id; of rows equal in id and text one stays."""
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(60)]
+    a, other = " ".join(words), " ".join(f"x{i}" for i in range(40))
+    rows = [(1, a), (5, a + " end"), (5, other), (7, "unlike any"), (7, "unlike any"), (None, None), (None, "no id here at all")]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(1, a), (5, other), (7, "unlike any"), (None, None), (None, "no id here at all")], key=repr)
