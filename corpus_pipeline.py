@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorelake.llm import decontaminate, jaccard, linededup, packing, quality
-from scorelake.llm._spark import load, materialise
+from scorelake.llm._spark import drop_scratch, load, materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_QUALITY = 0.5
@@ -35,11 +35,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by five-word shingles (Jaccard 0.8 or more), the one with the smallest id stays."""
-    docs = docs.select(*COLUMNS)
-    kept = jaccard.jaccard_components(docs).where("doc_id <=> component_id").select("doc_id").distinct()
-    joined = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-    return joined.withColumn("_digest", F.xxhash64("text")).dropDuplicates(["doc_id", "_digest"]).select(*COLUMNS)
+    """Of each group of documents linked by five-word shingles (Jaccard 0.8 or more), the first stays.
+
+    A document is a row's id and text together: rows that share an id but not a text are judged apart,
+    and of rows equal in both one stays.  The first has the smallest id, then the smallest hash.
+    """
+    # Numbers that follow (id, hash), so that the smallest of a component is its first document.
+    distinct = docs.select(*COLUMNS).withColumn("_digest", F.xxhash64("text")).dropDuplicates(["doc_id", "_digest"])
+    ordered = distinct.repartitionByRange("doc_id", "_digest").sortWithinPartitions("doc_id", "_digest").withColumn("_row", F.monotonically_increasing_id())
+    numbered = materialise(ordered, "pipeline-numbered")
+    found = jaccard.jaccard_components(numbered.select(F.col("_row").alias("doc_id"), "text"))
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_row"))
+    return numbered.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,6 +75,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        kept = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if i:  # what the stage read is in no plan any more
+            drop_scratch(spark, docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
