@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
@@ -179,14 +180,23 @@ def test_secrets_in_wrapped_base64(width, pack, breaks):
         code = base64.b64encode(pack(("," * shift + noise() + " token = 'abcdefgh12' " + noise()).encode())).decode()
         code = breaks.join(code[i : i + width] for i in range(0, len(code), width))
         _, added = secrets.find_secrets(f"see {code}\n\nThe end")
-        assert (4, 0, 4 + len(code)) in added
+        if pack is bytes:  # mapped to the signs that hold the find, line breaks between them included
+            signs = [i for i, c in enumerate(code) if not c.isspace()]
+            inside = base64.b64decode("".join(code.split()))
+            at, to = inside.index(b"token"), inside.index(b"12'") + 2
+            assert (4 + signs[at * 4 // 3], 0, 5 + signs[-(-to * 4 // 3) - 1]) in added
+        else:
+            assert (4, 0, 4 + len(code)) in added
 
 
 @pytest.mark.parametrize("char", [b"\0", "\u00a0".encode(), "\u200b".encode(), "\u3000".encode(), b"\xff", b"\xc3"])
 def test_secrets_beside_any_bytes(char):
     for pack in (bytes, gzip.compress, zlib.compress, bz2.compress):
-        code = base64.b64encode(pack(b"some " + char + b" text, token: abcdefgh12 " + char + b" end")).decode()
-        assert (2, 0, 2 + len(code)) in secrets.find_secrets(f"\u00e9 {code} x")[1]
+        raw = b"some " + char + b" text, token: abcdefgh12 " + char + b" end"
+        code = base64.b64encode(pack(raw)).decode()
+        at = raw.index(b"token")
+        exact = (2 + at * 4 // 3, 0, 2 - (-(at + 17) * 4 // 3))
+        assert (exact if pack is bytes else (2, 0, 2 + len(code))) in secrets.find_secrets(f"\u00e9 {code} x")[1]
 
 
 @pytest.mark.parametrize("packs", [[p, *q] for p in (gzip.compress, zlib.compress, bz2.compress) for q in ([], [gzip.compress], [bz2.compress], [zlib.compress, gzip.compress])])
@@ -206,7 +216,62 @@ def test_secrets_in_streams_above_a_layer(packs, lead):
 
 def test_secrets_before_a_stray_character():
     code = base64.b64encode(b"token: abcdefgh12!").decode()
-    assert secrets.find_secrets(f"{code}x") == ([], [(0, 0, len(code) + 1)])
+    assert secrets.find_secrets(f"{code}x") == ([], [(0, 0, -(-17 * 4 // 3))])
+
+
+DEFLATE = lambda raw: (lambda c: c.compress(raw) + c.flush())(zlib.compressobj(9, zlib.DEFLATED, -15))
+SECRET = "password=hunter2secret99"
+
+
+def b64(raw):
+    return base64.b64encode(raw if isinstance(raw, bytes) else raw.encode()).decode()
+
+
+@pytest.mark.parametrize("prefix", ["see data/", "a/", "ab/", "abc/", "abcd/", "https://e.org/a/", "a-", "x_y-", "key+"])
+@pytest.mark.parametrize("alphabet", [None, b"-_"])
+def test_secrets_after_what_shifts_their_base64(prefix, alphabet):
+    for tail in ("", " ???>>>~~~ end"):  # signs of either alphabet
+        code = base64.b64encode((SECRET + tail).encode(), altchars=alphabet).decode() if alphabet else b64(SECRET + tail)
+        base, added = secrets.find_secrets(f"{prefix}{code} x")
+        assert base == [] and (len(prefix), 0, len(prefix) + 32) in added
+        for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress, DEFLATE):
+            code = b64(pack((SECRET + tail).encode()))
+            added = secrets.find_secrets(f"{prefix}{code} x")[1]
+            assert any(kind == 0 and start < len(prefix) + len(code) <= end for start, kind, end in added), pack
+
+
+def test_two_secrets_in_one_stretch_are_two_spans():
+    text = f"{SECRET} and token: abcdefgh12345"
+    assert secrets.find_secrets(b64(text))[1] == [(0, 0, 32), (38, 0, 66)]
+
+
+@pytest.mark.parametrize(
+    "code", ["".join(f"\\U{ord(c):08x}" for c in SECRET), "".join(f"\\u{{{ord(c):x}}}" for c in SECRET), "".join(f"%u{ord(c):04X}" for c in SECRET), "password+%3D+hunter2secret99", b64(SECRET.encode("utf-16-le")), b64(SECRET.encode("utf-16-be")), b64(SECRET.encode("utf-16"))]
+)
+def test_secrets_in_further_forms(code):
+    base, added = secrets.find_secrets(f"é {code} x")
+    assert base == [] and added and all(2 <= start and end <= 2 + len(code) for start, _, end in added)
+
+
+def test_planted_secrets_are_found_whatever_encodes_them():
+    """Random nestings of encodings around a secret, with prefixes: all found, inside the planted place."""
+    rnd = random.Random(11)
+    text_forms = [lambda t: urllib.parse.quote(t, safe=""), lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: "".join(f"%u{ord(c):04x}" for c in t), lambda t: "".join(f"\\x{ord(c):02x}" for c in t)]
+    byte_forms = [bytes, gzip.compress, zlib.compress, bz2.compress, lzma.compress, DEFLATE]
+    for n in range(150):
+        planted = rnd.choice([SECRET, "AKIA" + "Q7" * 8, "0123456789abcdef" * 2, "api_key: Zx81mmpqRT"])
+        code = f"{rnd.choice(['', 'so ', 'é, '])}{planted}{rnd.choice(['', ' end', chr(10)])}"
+        for _ in range(rnd.randint(1, 3)):
+            if rnd.random() < 0.4 and len(code) < 400 and all(ord(c) < 128 for c in code):
+                code = rnd.choice(text_forms)(code)
+            else:
+                packed = rnd.choice(byte_forms)(code.encode())
+                # Stretches of fewer than 16 signs aren't taken for base64.
+                code = rnd.choice(["", "", "data/", "a-"]) + b64(packed if len(packed) >= 12 else code)
+        lead = rnd.choice(["", "see ", "日本 "])
+        added = secrets.find_secrets(f"{lead}{code} done")[1]
+        if planted not in code:
+            assert any(len(lead) <= start and end <= len(lead) + len(code) for start, _, end in added), (n, planted, code[:200])
 
 
 def test_secrets_in_a_megabyte_stream():
