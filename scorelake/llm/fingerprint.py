@@ -1,8 +1,7 @@
 """Document fingerprints: a homomorphic multiset hash over paragraphs.
 
-A paragraph is a line that holds more than white space, trimmed; a line's sentences are paragraphs
-too, so that texts without line breaks have parts.  Each is hashed to a wide vector of +1 and -1
-lanes, and a document's fingerprint is the sum of the vectors modulo 2**32: independent of their
+A paragraph is a sentence of a line, trimmed, or the whole line if it has one: texts without line breaks
+have parts that way.  Each is hashed to a wide vector of +1 and -1 lanes, and a document's fingerprint is the sum of the vectors modulo 2**32: independent of their
 order, and updated by adding or subtracting single paragraphs.  The text as a whole adds nothing,
 so two texts with the same paragraphs in another order are equal on purpose.
 

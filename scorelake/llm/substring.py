@@ -17,7 +17,8 @@ Only hashes move: per stretch one row with 6 bytes a window.  They are folded wi
 read in order and indexed a few at a time, so a task holds ``index_windows`` windows or one block.
 Blocks that are common (in at least ``hot_share`` of all documents; a list that the share bounds)
 are split by window: of each window a task sends one row, and refers its other places to that one
-itself, so that a passage in a third of all documents sends one row a task and window.
+itself, so that a passage in a third of all documents sends one row a task and window.  There every
+factor is a single window (neighbours merge when spans do), not the longest match.
 
 Windows are judged on the input.  Nulls and texts shorter than a window are kept whole; very long
 texts are used whole; repeated rows are copies of each other, and rows equal in id and text share
