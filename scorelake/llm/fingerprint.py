@@ -1,12 +1,14 @@
 """Document fingerprints: a homomorphic multiset hash over paragraphs.
 
 A paragraph is a sentence of a line, trimmed, or the whole line if it has one: texts without line breaks
-have parts that way.  Each is hashed to a wide vector of +1 and -1 lanes, and a document's fingerprint is the sum of the vectors modulo 2**32: independent of their
-order, and updated by adding or subtracting single paragraphs.  The text as a whole adds nothing,
-so two texts with the same paragraphs in another order are equal on purpose.
+have parts that way.  Below it stand its pairs of neighbouring words (its word, where it has one), so that
+a text of one or two sentences has parts that outlive an edit too.  Each part is hashed to a wide vector of
++1 and -1 lanes, and a document's fingerprint is the sum of the vectors modulo 2**32: independent of their
+order, and updated by adding or subtracting single parts.  The text as a whole adds nothing, so two texts
+with the same paragraphs in another order are equal on purpose.
 
 The sums are also a linear sketch: the cosine of two fingerprints (lanes read as signed numbers)
-estimates that of their paragraph multisets, with a standard error of about 1/sqrt(lanes).
+estimates that of their multisets of parts, with a standard error of about 1/sqrt(lanes).
 
 Null counts as the empty text, whose fingerprint is zero; repeated rows have equal fingerprints.
 Texts are used whole, and lanes hold the sums of two thousand million parts.  Columns other than
@@ -18,7 +20,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import batched, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,25 +35,37 @@ LANES = 256
 PART = re.compile(r"[^.!?\r\n]+[.!?]*")
 
 
-def paragraphs(text: str) -> list[bytes]:
-    return [p for m in PART.finditer(text) if (p := m[0].strip().encode("utf-8", "surrogatepass"))]
+def paragraphs(text: str) -> Iterator[bytes]:
+    """The text's sentences, each followed by its pairs of words."""
+    for m in PART.finditer(text):
+        if sentence := m[0].strip().encode("utf-8", "surrogatepass"):
+            yield sentence
+            words = sentence.split()
+            if len(words) < 2:
+                yield from words
+            for one, two in pairwise(words):
+                yield b"%b %b" % (one, two)
+
+
+def digest(part: bytes) -> bytes:
+    """The lanes of one part as bits."""
+    return hashlib.blake2b(part, digest_size=LANES // 8).digest()
 
 
 def vector(part: bytes) -> np.ndarray:
-    """+1 / -1 lanes of one paragraph."""
-    bits = np.unpackbits(np.frombuffer(hashlib.blake2b(part, digest_size=LANES // 8).digest(), np.uint8))
+    """+1 / -1 lanes of one part."""
+    bits = np.unpackbits(np.frombuffer(digest(part), np.uint8))
     return bits.astype(np.int32) * np.int32(2) - np.int32(1)
 
 
-def multiset_sum(parts: list[bytes]) -> np.ndarray:
-    """Sum of the paragraphs' vectors, modulo 2**32."""
-    if not parts:
-        return np.zeros(LANES, np.int32)
-    ones = np.zeros(LANES, np.int64)
-    for at in range(0, len(parts), 4096):
-        digests = b"".join([hashlib.blake2b(p, digest_size=LANES // 8).digest() for p in parts[at : at + 4096]])
-        ones += np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, LANES // 8), axis=1).sum(axis=0, dtype=np.int64)
-    return (2 * ones - len(parts)).astype(np.int32)
+def multiset_sum(parts: Iterable[bytes]) -> np.ndarray:
+    """Sum of the parts' vectors, modulo 2**32."""
+    ones, n = np.zeros(LANES, np.int64), 0
+    for some in batched(parts, 4096):
+        digests = b"".join([digest(p) for p in some])
+        ones += np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, LANES // 8), axis=1).sum(axis=0, dtype=np.uint16)
+        n += len(some)
+    return (2 * ones - n).astype(np.int32)
 
 
 def insert(fingerprint: np.ndarray, part: bytes) -> np.ndarray:
@@ -70,7 +85,7 @@ def decode(text: str) -> np.ndarray:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """1 for equal fingerprints; else the estimated cosine of the paragraph multisets, in [0, 1)."""
+    """1 for equal fingerprints; else the estimated cosine of the multisets of parts, in [0, 1)."""
     if np.array_equal(a, b):
         return 1.0
     x, y = a.astype(np.float64), b.astype(np.float64)
@@ -84,6 +99,15 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def untouched(text: str) -> int:
+    """Where the last sentence ends that ``edited`` surely leaves as it is: the parts before this place are in both texts."""
+    kept, place = len(text) - len(text) // 2, 0
+    for m in PART.finditer(text, 0, kept):
+        if m.end() < kept:
+            place = m.end()
+    return place
+
+
 def fingerprint_pairs(docs: DataFrame, rows_per_range: int = 20_000) -> DataFrame:
     """Per document: its fingerprint, its edited text's, and how alike they and the next document's are.
 
@@ -117,9 +141,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out: list[tuple] = []
 
     def finish(one: tuple, following: str, other: np.ndarray) -> tuple:
-        doc_id, text, own = one
+        doc_id, text, own, place, start = one
         new = edited(text, following)
-        changed = multiset_sum(paragraphs(new))
+        changed = start + multiset_sum(paragraphs(new[place:]))
         return doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), encode(own), encode(changed), likeness(own, changed), likeness(own, other)
 
     names = [part.split()[0] for part in SCHEMA.split(", ")]
@@ -133,10 +157,12 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at, guest, text = ats[i].as_py(), guests[i].as_py(), texts[i].as_py()
             if guest and (held is None or held_at != at):
                 continue  # a second guest of the range
-            own = multiset_sum(paragraphs(text))
+            place = untouched(text)
+            start = multiset_sum(paragraphs(text[:place]))
+            own = start + multiset_sum(paragraphs(text[place:]))
             if held is not None and held_at == at:
                 out.append(finish(held, text, own))
-            held, held_at = (None, None) if guest else ((ids[i].as_py(), text, own), at)
+            held, held_at = (None, None) if guest else ((ids[i].as_py(), text, own, place, start), at)
             if len(out) >= 2000:
                 yield pack(out)
                 out = []

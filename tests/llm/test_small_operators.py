@@ -390,6 +390,54 @@ def test_fingerprints_of_many_parts_and_of_one_id(frame):
     assert nine.edited_sha256 in follow
 
 
+def parts_by_hand(text):
+    """Sentences and pairs of words, told character by character."""
+    found, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] not in ".!?\r\n":
+            end += 1
+        stop = end
+        while end > at and stop < len(text) and text[stop] in ".!?":
+            stop += 1
+        sentence = text[at:stop].strip().encode()
+        if end > at and sentence:
+            words = sentence.split()
+            found += [sentence] + ([words[i] + b" " + words[i + 1] for i in range(len(words) - 1)] or words)
+        at = max(stop, at + 1)
+    return found
+
+
+def test_likeness_of_short_long_and_repeated_texts_equals_brute_force(frame):
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("abcdefg") for _ in range(rnd.randrange(1, 9)))
+    some = lambda n: "".join(word() + rnd.choice([" ", " ", " ", "  ", ". ", "? ", "\n", "..", "!\r\n", ".\n\n"]) for _ in range(n))
+    texts = [some(rnd.randrange(0, 30)) for _ in range(60)] + [None, "", "...", "a", "é. ü", " . x", some(60_000), "one " * 90_000]
+    data = [(i, t) for i, t in enumerate(texts + texts[:9])]
+    got = {r.doc_id: r for r in fingerprint.fingerprint_pairs(frame(data), 9).collect()}
+    for doc_id, text in data:
+        text, following = text or "", data[doc_id - 1][1] or ""
+        half = len(text) // 2
+        prints = [fingerprint.multiset_sum(parts_by_hand(t)) for t in (text, text[: len(text) - half] + following[:half], following)]
+        r = got[doc_id]
+        assert (r.fingerprint, r.edited_fingerprint) == tuple(fingerprint.encode(p) for p in prints[:2])
+        for found, other in ((r.near_edited, prints[1]), (r.near_next, prints[2])):
+            if (prints[0] == other).all():
+                assert found == 1
+            else:
+                x, y = [float(v) for v in prints[0]], [float(v) for v in other]
+                size = (sum(v * v for v in x) * sum(v * v for v in y)) ** 0.5
+                assert found == pytest.approx(max(0, sum(a * b for a, b in zip(x, y)) / size) if size else 0, abs=1e-8)
+
+
+def test_short_texts_outlive_an_edit(frame):
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(5))
+    data = [(i, " ".join(word() for _ in range(8)) + ".") for i in range(200)]
+    got = fingerprint.fingerprint_pairs(frame(data)).collect()
+    assert sum(r.near_edited > r.near_next for r in got) >= 196 and np.mean([r.near_edited for r in got]) > 0.3
+
+
 def test_likeness_estimates_the_cosine_of_multisets():
     rng, seen = random.Random(2), []
     for _ in range(60):
