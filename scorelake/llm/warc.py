@@ -14,7 +14,7 @@ that the manifest lists, so a lost executor or a rerun leaves no half of an arch
 
 Of pages with equal payloads of at least ``min_revisit_bytes`` bytes, the one with the largest
 page_id is stored and the others are revisit records that refer to it.  Payloads are deduplicated
-by digest in a narrow table; the pages themselves are shuffled once.
+by digest in a narrow table, which is written once; the pages themselves are shuffled once.
 
 A null payload counts as empty, a null url leaves the field out; null ids come first and refer
 to a page with an id where there is one; rows that repeat the stored page's id and payload are
@@ -38,9 +38,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._ranges import MOST_RANGES, NO_ID, cut_points, range_number
+from ._spark import drop_scratch, materialise
 
 ROLL_BYTES = 16 << 20
 ROWS_PER_RANGE = 20_000
+#: A payload with more than this share of all pages that have copies is joined by broadcast; fewer than 1,000 can be.
+HOT_SHARE = 0.001
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.UUID("5f0c0a0e-58d8-5b0b-9a6e-3c1d0f6f2b11")
@@ -75,18 +78,30 @@ def _record(page_id: int | None, url: str | None, payload: bytes, digest: str, l
     return _member([*fields, ("Content-Type", "application/http;msgtype=response")], block)
 
 
+def _meet(rows: DataFrame, leads: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``leads``, a row a key, whose ``_n`` says how many rows have the key.
+
+    The rows of a hot key would meet in one task, so they don't move: the keys above HOT_SHARE of all are broadcast.
+    """
+    least = HOT_SHARE * (leads.agg(F.sum("_n")).first()[0] or 0)
+    hot, others = leads.where(F.col("_n") > least).drop("_n"), leads.where(F.col("_n") <= least).drop("_n")
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(others, key, how)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def write_warc(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, roll_bytes: int = ROLL_BYTES, rows_per_range: int = ROWS_PER_RANGE, date: str = DATE) -> DataFrame:
     """Write the archives under ``folder``; the manifest (name, records, bytes, sha256) is returned."""
     spark = pages.sparkSession
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
-    narrow = pages.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("size")).where(f"size >= {min_revisit_bytes}")
-    leads = narrow.groupBy("digest").agg(F.max("page_id").alias("lead"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    revisits = narrow.join(leads, "digest").where("not (page_id <=> lead)").select("page_id", "digest", "lead").distinct()
+    digests = materialise(pages.select("page_id", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("size")), "warc-digests")
+    narrow = digests.where(F.col("size") >= min_revisit_bytes)
+    leads = materialise(narrow.groupBy("digest").agg(F.max("page_id").alias("lead"), F.count("*").alias("_n")).where("_n > 1"), "warc-leads")
+    revisits = _meet(narrow, leads, "digest").where("not (page_id <=> lead)").select("page_id", "digest", "lead").distinct()
 
     # The first 60 bits of a digest stand in its order.
     place = [F.coalesce("page_id", F.lit(NO_ID)), F.conv(F.substring("digest", 1, 15), 16, 10).cast("long")]
-    cuts = cut_points(pages.select("page_id", F.sha1("payload").alias("digest")).select(place[0].alias("id"), place[1].alias("hash")), rows_per_range)
+    cuts = cut_points(digests.select(place[0].alias("id"), place[1].alias("hash")), rows_per_range)
 
     # A page's revisit marks come before the page in the sort.
     marks = revisits.select("page_id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "digest", "lead", F.lit(0).alias("kind"))
@@ -95,6 +110,8 @@ def write_warc(pages: DataFrame, folder: str, min_revisit_bytes: int = 0, roll_b
     ordered = dealt.repartitionById(len(cuts[0]) + 1, F.col("range")).sortWithinPartitions("range", "page_id", "digest", "kind", "url")
     pending = ordered.mapInArrow(_writer(folder, roll_bytes, date), MANIFEST)
     pending.write.mode("overwrite").parquet(f"{folder}/_pending")
+    for table in (digests, leads):
+        drop_scratch(spark, table)
     chosen = spark.read.schema(MANIFEST).parquet(f"{folder}/_pending")
     chosen.repartition(max(1, min(200, chosen.count()))).mapInArrow(_renamer(folder), MANIFEST).drop("temporary").write.mode("overwrite").parquet(f"{folder}/manifest")
     file_system, path = pyarrow.fs.FileSystem.from_uri(f"{folder}/_temporary")
@@ -228,7 +245,12 @@ def _row(fields: dict[str, str], block: bytes, with_payload: bool) -> tuple | No
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type and refers_to, the page that a revisit's target stands for."""
-    targets = records.where("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
-    wanted = records.where("record_type = 'revisit'").select("refers_to_id").distinct()
-    targets = targets.join(wanted, "refers_to_id").dropDuplicates(["refers_to_id"])
-    return records.join(targets, "refers_to_id", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    revisits = records.where("record_type = 'revisit'")
+    wanted = revisits.groupBy("refers_to_id").agg(F.count("*").alias("_n"))
+    # A record id stands for one page id, and repeated rows of a page share it.
+    stored = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(F.max("page_id").alias("refers_to"))
+    targets = materialise(stored.join(wanted, "refers_to_id"), "warc-targets")
+    # Responses refer to nothing and stay out of the join.
+    own = records.where("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("long"))
+    resolved = _meet(revisits, targets, "refers_to_id", "left").unionByName(own)
+    return resolved.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
