@@ -185,11 +185,15 @@ def semi_key_restrict(spark, sf_dir):
     return orders.join(keys, "o_orderkey", "left_semi").select("o_orderkey", "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"))
 
 
-@query("select n_nationkey as nation_key, n_name as nation_name, n_regionkey as region_id from nation")
+@query("select c_custkey as cust_key, c_name as customer_name, c_nationkey as nation_id, c_acctbal as acct_bal from customer")
 def standardize_names(spark, sf_dir):
-    messy = load(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("Nation  Key"), F.col("n_name").alias("_NATION-name_"), F.col("n_regionkey").alias("region.id"))
-    clean, renames = standardize.clean_names(messy)
-    return standardize.apply_renames(messy.limit(0), renames).unionByName(clean)
+    """One half of the rows gets its names cleaned, the other those that the first was given."""
+    messy = load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("Cust  Key"), F.col("c_name").alias("_CUSTOMER-name_"), F.col("c_nationkey").alias("nation.id"), F.col("c_acctbal").alias("acct--Bal!")
+    )
+    odd = F.col("`Cust  Key`") % 2 == 1
+    clean, renames = standardize.clean_names(messy.where(odd))
+    return standardize.apply_renames(messy.where(~F.coalesce(odd, F.lit(False))), renames).unionByName(clean)
 
 
 @query("""

@@ -87,13 +87,15 @@ def silver_validation(spark, sf_dir):
     return layers.validate_silver(*_silver(spark, sf_dir))
 
 
-@query(f"select n_nationkey, n_name, true as _is_current, timestamp '{NOW}' as _effective_from from nation union all select n_nationkey, n_name, null, null from nation where n_regionkey = 1")
+@query(f"""
+select c_custkey, c_name, true as _is_current, timestamp '{NOW}' as _effective_from from customer
+union all select c_custkey, c_name, null, null from customer where c_mktsegment = 'BUILDING'""")
 def silver_strategies(spark, sf_dir):
     """A historical load, then an append-only one onto it."""
-    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    full = layers.silver_state(nation, None, TableSpec("NATION", "nation"), None, ntz(NOW))
-    more = layers.silver_state(nation.where("n_regionkey = 1"), full, TableSpec("NATION", "nation", "incremental", "append"), None, ntz(NOW))
-    return more.select("n_nationkey", "n_name", "_is_current", "_effective_from")
+    customer = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    full = layers.silver_state(customer, None, TableSpec("CUSTOMER", "customer"), None, ntz(NOW))
+    more = layers.silver_state(customer.where("c_mktsegment = 'BUILDING'"), full, TableSpec("CUSTOMER", "customer", "incremental", "append"), None, ntz(NOW))
+    return more.select("c_custkey", "c_name", "_is_current", "_effective_from")
 
 
 @query("select count(*) as rows, '' as missing from events")
@@ -107,6 +109,5 @@ def control_marks(spark, sf_dir):
     marks = events(spark, sf_dir).groupBy(F.col("event_type").alias("table_name")).agg(F.max("ts").alias("last_processed_watermark"), F.count("*").alias("rows_processed"))
     runs = marks.select("table_name", F.lit("bronze").alias("layer"), "last_processed_watermark", F.lit("SUCCESS").alias("last_run_status"), ntz(NOW).alias("last_run_timestamp"), "rows_processed", F.lit("run-1").alias("run_id"))
     control = ingest.next_control(ingest.empty_control(spark), runs)
-    tables = [r.table_name for r in control.select("table_name").collect()] + ["no_such"]  # a row a table of the inventory
-    found = [(t, ingest.last_watermark(control, t, "bronze")) for t in tables]
-    return spark.createDataFrame(found, "table_name string, mark timestamp_ntz")
+    wanted = control.select("table_name").union(spark.createDataFrame([("no_such",)], "table_name string"))
+    return ingest.last_watermarks(control, wanted, "bronze")

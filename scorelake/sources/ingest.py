@@ -59,6 +59,12 @@ def last_watermark(control: DataFrame, table: str, layer: str):
     return row[0] if row else None
 
 
+def last_watermarks(control: DataFrame, tables: DataFrame, layer: str) -> DataFrame:
+    """(table_name, mark) of all ``tables`` by one join; the mark is null where no run of the table was good."""
+    marks = control.where(F.col("layer") == layer).select("table_name", F.col("last_processed_watermark").alias("mark"))
+    return tables.select("table_name").distinct().join(marks, "table_name", "left")
+
+
 def next_control(control: DataFrame, runs: DataFrame) -> DataFrame:
     """The control table after ``runs`` (its columns, a row a table and layer).
 

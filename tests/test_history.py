@@ -93,6 +93,9 @@ def test_control_table_keeps_the_last_good_mark(spark):
     control = ingest.next_control(control, run("t", at(7), "FAILED", 0))
     row = control.first()
     assert (row.last_processed_watermark, row.last_run_status, row.rows_processed) == (at(1), "FAILED", 5)
+    wanted = spark.createDataFrame([("t",), ("none",), ("t",)], "table_name string")
+    assert sorted(map(tuple, ingest.last_watermarks(control, wanted, "bronze").collect())) == [("none", None), ("t", at(1))]
+    assert [r.mark for r in ingest.last_watermarks(control, wanted.limit(1), "silver").collect()] == [None]
     assert ingest.choose_load("incremental", "ts", True, None) == "historical"
     source = table(spark, [(1, "a", 1), (2, "b", 2)])
     assert ingest.incremental_batch(source, source.limit(0), "ts")[1] == "historical"
