@@ -33,7 +33,7 @@ import lzma
 import re
 import urllib.parse
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -149,18 +149,33 @@ def _texts(chunks: Iterator[bytes], max_layer: int) -> Iterator[str]:
         yield text
 
 
-def _deflated(raw: memoryview, max_layer: int) -> bytes | None:
-    """What a raw deflate stream of all these bytes unpacks to (its first ``max_layer`` bytes); it has no mark, so anything else is None."""
+def _raw_deflate(raw: memoryview, max_layer: int) -> Iterator[bytes]:
+    """What a raw deflate stream unpacks to, in pieces, as far as it goes."""
+    one, rest = zlib.decompressobj(-15), raw
+    try:
+        while not one.eof:
+            piece = one.decompress(rest, max_layer)
+            if piece:
+                yield piece
+            elif not one.unconsumed_tail:
+                return
+            rest = one.unconsumed_tail
+    except zlib.error:
+        return
+
+
+def _deflated(raw: memoryview, max_layer: int) -> bool:
+    """Whether all these bytes are a raw deflate stream; it has no mark, so it is unpacked, up to ``max_layer`` bytes, to see."""
     # The first block's kind: 3 is none, 0 has its length twice, 2 has at most 286 codes.
     kind = raw[0] >> 1 & 3 if len(raw) > 4 else 3
     if kind == 3 or kind == 2 and raw[0] >> 3 > 29 or kind == 0 and (raw[1] ^ raw[3] != 255 or raw[2] ^ raw[4] != 255):
-        return None
+        return False
     one = zlib.decompressobj(-15)
     try:
         out = one.decompress(raw, max_layer)
     except zlib.error:
-        return None
-    return out if out and (len(out) >= max_layer or one.eof and len(one.unused_data) <= 2) else None
+        return False
+    return bool(out) and (len(out) >= max_layer or one.eof and len(one.unused_data) <= 2)
 
 
 def _characters(raw: bytes) -> tuple[str, np.ndarray]:
@@ -205,24 +220,19 @@ def _unwrap_base64(token: str, places: np.ndarray, layer: Layer, max_layer: int)
             inside = view[(start - step) * 3 // 4 :]
             head = bytes(inside[:16]).lstrip(b"\0")
             if _packed(head):
-                yield from map(whole, _unpacked(bytes(inside), max_layer))
-            elif (out := _deflated(inside, max_layer)) is not None:
-                yield from map(whole, _unwrap_bytes(out, max_layer))
-
-
-def _unpacked(raw: bytes, max_layer: int) -> Iterator[str]:
-    """Texts that packed bytes hold, level by level, without the bytes' own."""
-    return _unwrap_bytes(raw, max_layer, 1)
+                yield from map(whole, _unwrap(lambda inside=inside: iter([bytes(inside)]), max_layer, 1))  # the bytes' own text is a layer already
+            elif _deflated(inside, max_layer):
+                yield from map(whole, _unwrap(lambda inside=inside: _raw_deflate(inside, max_layer), max_layer))
 
 
-def _unwrap_bytes(raw: bytes, max_layer: int, depth: int = 0) -> Iterator[str]:
-    """Texts inside bytes: their own and of what they unpack to, from level ``depth`` on.
+def _unwrap(source: Callable[[], Iterator[bytes]], max_layer: int, depth: int = 0) -> Iterator[str]:
+    """Texts inside bytes that ``source`` gives in pieces: their own and of what they unpack to, from level ``depth`` on.
 
-    Each level is unpacked anew from the bytes, so that no level has to be held.
+    Each level is unpacked anew from the source, so that no level has to be held.
     """
     seen = set()
     while True:
-        chunks = iter([raw])
+        chunks = source()
         for _ in range(depth):
             chunks = _inflate(chunks, max_layer)
         digest, head = hashlib.sha1(), b""
@@ -326,7 +336,8 @@ def _children(layer: Layer, max_layer: int) -> Iterator[Layer]:
     span = lambda start, end: (start if starts is None else starts[start], end if ends is None else ends[end - 1])
     for m in PACKED_PERCENT.finditer(text) if "%" in text else ():
         a, b = span(*m.span())
-        for inner in _unwrap_bytes(urllib.parse.unquote_to_bytes(m[0]), max_layer):
+        raw = urllib.parse.unquote_to_bytes(m[0])
+        for inner in _unwrap(lambda raw=raw: iter([raw]), max_layer):
             yield inner, np.broadcast_to(np.int64(a), len(inner)), np.broadcast_to(np.int64(b), len(inner))
     for m in BASE64.finditer(text):
         yield from _unwrap_base64(m[0], np.arange(m.start(), m.end()), layer, max_layer)

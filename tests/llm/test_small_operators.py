@@ -448,3 +448,27 @@ def test_likeness_estimates_the_cosine_of_multisets():
         true = sum(n * y.get(p, 0) for p, n in x.items()) / (sum(n * n for n in x.values()) * sum(n * n for n in y.values())) ** 0.5
         seen.append(fingerprint.likeness(fingerprint.multiset_sum(parts), fingerprint.multiset_sum(other)) - true)
     assert abs(np.mean(seen)) < 0.03 and np.std(seen) < 0.12
+
+
+@pytest.mark.parametrize("packs", [[], [gzip.compress], [bz2.compress]])
+def test_secrets_at_the_end_of_raw_deflate_above_a_layer(packs):
+    """Raw deflate, and what is packed in it, is read to its end, not up to a layer's size."""
+    rnd = random.Random(21)
+    raw = b" ".join(str(rnd.random()).encode() for _ in range(400)) + b" token = 'abcdefgh12' AKIA" + b"A" * 16 + b" " + b"0" * 40
+    for pack in [*packs, DEFLATE]:
+        raw = pack(raw)
+    code = b64(raw)
+    for max_layer in (1000, 1001, 6000, secrets.MAX_LAYER):
+        added = secrets.find_secrets(f"see {code}.", max_layer)[1]
+        assert {(4, kind, 4 + len(code)) for kind in (0, 1, 2)} <= set(added), max_layer
+
+
+def test_secrets_stand_anywhere_in_long_texts(frame):
+    """Every text is scanned to its end: each part of it that has a secret of each kind, plain or packed, is found."""
+    plain = "token = 'abcdefgh12' AKIA" + "A" * 16 + " " + "0" * 40
+    packed, filler = b64(gzip.compress(plain.encode())), "some words in between " * 60_000
+    text = "".join(f"{filler}{plain} {packed} " for _ in range(5))
+    (r,) = secrets.digest_columns(secrets.scan_secrets(frame([(1, text)]))).collect()
+    assert len(text) > 6_000_000 and (r.n_assign, r.n_access, r.n_hex) == (5, 5, 5)
+    assert sum(int(x.split(":")[2]) - int(x.split(":")[1]) == len(packed) for x in r.spans.split(",")) == 15
+    assert int(r.spans.split(",")[-1].split(":")[2]) == len(text) - 1
