@@ -17,9 +17,13 @@ def star_join(fact: DataFrame, dims: list[tuple[DataFrame, list[str]]]) -> DataF
     return fact
 
 
-def facilities(fact: DataFrame, bridge: DataFrame, facility: DataFrame, application_key: str, facility_key: str) -> DataFrame:
-    """Approved rows get their facility, declined ones nulls; several bridge rows fan out."""
-    return fact.join(bridge, application_key, "left").join(facility, facility_key, "left")
+def facilities(fact: DataFrame, bridge: DataFrame, facility: DataFrame, performance: DataFrame, application_key: str, facility_key: str) -> DataFrame:
+    """Approved rows get their facility and its performance, declined ones nulls; several bridge rows fan out.
+
+    The bridge's rows meet the facility first: by the facility's key, all rows of the fact without one would go to one task.
+    """
+    leg = bridge.join(facility, facility_key, "left").join(performance, facility_key, "left")
+    return fact.join(leg, application_key, "left")
 
 
 def performance_window(rows: DataFrame, key: str, months: str, arrears: str, hardship: str, snapshot: str, horizon: int = 24) -> DataFrame:
@@ -31,9 +35,8 @@ def performance_window(rows: DataFrame, key: str, months: str, arrears: str, har
     )
 
 
-def application_mart(fact: DataFrame, dims: list[tuple[DataFrame, list[str]]], performance: DataFrame, key: str, decision: str, date: str, horizon: int = 24) -> DataFrame:
-    """The joined mart with target_flag, sample_flag and dp3_application; ``key`` is the performance's."""
-    joined = star_join(fact, dims).join(performance, key, "left")
+def with_flags(joined: DataFrame, decision: str, date: str, horizon: int = 24) -> DataFrame:
+    """Joined rows with target_flag, sample_flag and dp3_application."""
     return joined.withColumns({
         "target_flag": lending.target_flag(F.col(decision) == "DECLINED", F.col(f"max_arrears_days_{horizon}mo"), F.col(f"hardship_ever_{horizon}mo")),
         "sample_flag": lending.sample_flag(F.col(decision) == "APPROVED"),
@@ -41,12 +44,17 @@ def application_mart(fact: DataFrame, dims: list[tuple[DataFrame, list[str]]], p
     })
 
 
+def application_mart(fact: DataFrame, dims: list[tuple[DataFrame, list[str]]], performance: DataFrame, key: str, decision: str, date: str, horizon: int = 24) -> DataFrame:
+    """The joined mart with its flags; ``key``, which every row has, is the performance's."""
+    return with_flags(star_join(fact, dims).join(performance, key, "left"), decision, date, horizon)
+
+
 def full_mart(
     fact: DataFrame, dims: list[tuple[DataFrame, list[str]]], bridge: DataFrame, facility: DataFrame, performance: DataFrame, application_key: str, facility_key: str, decision: str, date: str, horizon: int = 24
 ) -> DataFrame:
     """Dimensions, facility and its performance in one row an application; the surrogate facility key goes."""
-    joined = facilities(star_join(fact, dims), bridge, facility, application_key, facility_key)
-    return application_mart(joined, [], performance, facility_key, decision, date, horizon).drop(facility_key)
+    joined = facilities(star_join(fact, dims), bridge, facility, performance, application_key, facility_key)
+    return with_flags(joined, decision, date, horizon).drop(facility_key)
 
 
 def write_mart(built: DataFrame, fact: DataFrame, path: str) -> DataFrame:

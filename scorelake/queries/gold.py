@@ -107,8 +107,8 @@ def facility_leg(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame]:
 @query(FACILITY_SQL)
 def gold_facility_mart(spark, sf_dir):
     """Applications by way of a bridge to their facility, and the facility's performance."""
-    bridge, facility, window = facility_leg(spark, sf_dir)
-    built = mart.application_mart(mart.facilities(applications(spark, sf_dir), bridge, facility, "application_id", "facility_key"), [], window, "facility_key", "decision", "application_date")
+    joined = mart.facilities(applications(spark, sf_dir), *facility_leg(spark, sf_dir), "application_id", "facility_key")
+    built = mart.with_flags(joined, "decision", "application_date")
     return built.select("application_id", "funded_date", "facility_id", "loan_amount_funded", "loan_term_months", "perf_observations", "target_flag")
 
 

@@ -114,3 +114,28 @@ def test_the_mart_tells_when_its_grain_is_lost(spark, tmp_path):
     twice = dim.union(dim)
     assert tuple(mart.write_mart(build(twice, bridge), fact, str(tmp_path / "m")).first()) == (3, 5, False)
     assert not mart.write_mart(build(dim, bridge.union(bridge)), fact, str(tmp_path / "m")).first().matches
+
+
+def test_applications_without_a_facility_stay_in_many_tasks(spark):
+    """They have no facility key; by that key all of them would be sorted by one task."""
+    ids = spark.range(4000).select(F.col("id").alias("a"), F.lit("d1").alias("d"), F.when(F.col("id") % 10 == 0, "APPROVED").otherwise("DECLINED").alias("decision"), F.lit("2024-01-05").alias("day"))
+    fact = ids.unionByName(ids.limit(1).withColumn("a", F.lit(None).cast("long")))
+    dim = spark.createDataFrame([("d1", "x")], "d string, name string")
+    facility = spark.range(0, 3000, 20).select((F.col("id") % 1000).cast("string").alias("f"), F.col("id").cast("double").alias("amount")).dropDuplicates(["f"])
+    performance = spark.range(0, 3000, 30).select(F.col("id").cast("string").alias("f"), (F.col("id") % 120).cast("int").alias("max_arrears_days_24mo"), F.lit(0).alias("hardship_ever_24mo"), F.lit(3).alias("perf_observations"), F.lit("2024-03-01").alias("last_observed_date"))
+    bridge = ids.where("decision = 'APPROVED'").select("a", F.when(F.col("a") % 70 != 0, F.col("a").cast("string")).alias("f"), F.lit("2024-02-01").alias("funded"))
+    bridge = bridge.union(bridge.where("a % 300 = 0"))  # two rows an application
+    hold = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in hold}
+    try:
+        for k, v in hold.items():
+            spark.conf.set(k, v)
+        got = mart.full_mart(fact, [(dim, ["d"])], bridge, facility, performance, "a", "f", "decision", "day")
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    plain = fact.join(dim, "d", "left").join(bridge, "a", "left").join(facility, "f", "left").join(performance, "f", "left")
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+    columns = ["a", "name", "funded", "amount", "max_arrears_days_24mo", "perf_observations", "last_observed_date"]
+    assert sorted(map(tuple, got.select(columns).collect()), key=repr) == sorted(map(tuple, plain.select(columns).collect()), key=repr)
