@@ -17,8 +17,8 @@ Each document is scanned where it is read: no shuffle.  Null counts as empty; re
 scanned each; input columns named like a result column are replaced.  Decoded bytes
 are scanned whatever they are: those that aren't UTF-8 count as replacement characters.  A stream
 that unpacks to more than ``max_layer`` characters is scanned in overlapping pieces of about that
-size, so a task's memory stays bounded; of what such a stream holds only base64 stretches longer
-than a piece are cut.  Texts themselves are scanned whole, however long.  An empty table gives no
+size, so a task's memory stays bounded; what is packed in base64 stretches of it that are longer than
+a piece is unpacked from the stream itself.  Texts themselves are scanned whole, however long.  An empty table gives no
 rows.
 """
 
@@ -70,6 +70,11 @@ LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}(?:[ \t]*+\r?\n[ \t]*+={1,2})?")
 TAIL = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+[ \t\r\n=]*+")
 SPACES = re.compile(" {2,}")
+#: Bytes of a base64 stretch in a stream, line breaks included, and those among them that something can stand after.
+BREAKS = b" \t\r\n"
+STRETCH = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-" + BREAKS
+OPENS = re.compile(rb"[/+_\s-]+")
+ONE_ALPHABET_BYTES = bytes.maketrans(b"-_", b"+/")
 UNDECODED = re.compile("[\udc80-\udcff]")
 
 #: A layer: its text, and for each character where it starts and ends in the document; None: identity.
@@ -149,26 +154,29 @@ def _texts(chunks: Iterator[bytes], max_layer: int) -> Iterator[str]:
         yield text
 
 
-def _raw_deflate(raw: memoryview, max_layer: int) -> Iterator[bytes]:
-    """What a raw deflate stream unpacks to, in pieces, as far as it goes."""
-    one, rest = zlib.decompressobj(-15), raw
+def _raw_deflate(chunks: Iterator[bytes | memoryview], max_layer: int) -> Iterator[bytes]:
+    """What a raw deflate stream, given in pieces, unpacks to, in pieces, as far as it goes."""
+    one, rest = zlib.decompressobj(-15), b""
     try:
         while not one.eof:
-            piece = one.decompress(rest, max_layer)
-            if piece:
+            if piece := one.decompress(rest, max_layer):
                 yield piece
-            elif not one.unconsumed_tail:
-                return
             rest = one.unconsumed_tail
+            if not one.eof and not rest and not piece and (rest := next(chunks, None)) is None:
+                return
     except zlib.error:
         return
 
 
+def _can_deflate(raw: bytes | memoryview) -> bool:
+    """Whether the first block's kind fits: 3 is none, 0 has its length twice, 2 has at most 286 codes."""
+    kind = raw[0] >> 1 & 3 if len(raw) > 4 else 3
+    return not (kind == 3 or kind == 2 and raw[0] >> 3 > 29 or kind == 0 and (raw[1] ^ raw[3] != 255 or raw[2] ^ raw[4] != 255))
+
+
 def _deflated(raw: memoryview, max_layer: int) -> bool:
     """Whether all these bytes are a raw deflate stream; it has no mark, so it is unpacked, up to ``max_layer`` bytes, to see."""
-    # The first block's kind: 3 is none, 0 has its length twice, 2 has at most 286 codes.
-    kind = raw[0] >> 1 & 3 if len(raw) > 4 else 3
-    if kind == 3 or kind == 2 and raw[0] >> 3 > 29 or kind == 0 and (raw[1] ^ raw[3] != 255 or raw[2] ^ raw[4] != 255):
+    if not _can_deflate(raw):
         return False
     one = zlib.decompressobj(-15)
     try:
@@ -222,33 +230,138 @@ def _unwrap_base64(token: str, places: np.ndarray, layer: Layer, max_layer: int)
             if _packed(head):
                 yield from map(whole, _unwrap(lambda inside=inside: iter([bytes(inside)]), max_layer, 1))  # the bytes' own text is a layer already
             elif _deflated(inside, max_layer):
-                yield from map(whole, _unwrap(lambda inside=inside: _raw_deflate(inside, max_layer), max_layer))
+                yield from map(whole, _unwrap(lambda inside=inside: _raw_deflate(iter([inside]), max_layer), max_layer))
 
 
-def _unwrap(source: Callable[[], Iterator[bytes]], max_layer: int, depth: int = 0) -> Iterator[str]:
+def _unwrap(source: Callable[[], Iterator[bytes]], max_layer: int, depth: int = 0, own: bool = True, seen: set[bytes] | None = None) -> Iterator[str]:
     """Texts inside bytes that ``source`` gives in pieces: their own and of what they unpack to, from level ``depth`` on.
 
-    Each level is unpacked anew from the source, so that no level has to be held.
+    Each level is unpacked anew from the source, so that no level has to be held.  Without ``own`` the
+    first level's text is left out.  ``seen``: digests of levels that were opened.
     """
-    seen = set()
+    seen = set() if seen is None else seen
     while True:
-        chunks = source()
-        for _ in range(depth):
-            chunks = _inflate(chunks, max_layer)
-        digest, head = hashlib.sha1(), b""
 
-        def watched(chunks: Iterator[bytes] = chunks) -> Iterator[bytes]:
+        def level(depth: int = depth) -> Iterator[bytes]:
+            chunks = source()
+            for _ in range(depth):
+                chunks = _inflate(chunks, max_layer)
+            return chunks
+
+        digest, head, long = hashlib.sha1(), b"", []
+
+        def watched(chunks: Iterator[bytes]) -> Iterator[bytes]:
             nonlocal head
             for chunk in chunks:
                 digest.update(chunk)
                 head = head if len(head) > 2 else (head + chunk[:3]).lstrip(b"\0")
                 yield chunk
 
-        yield from _texts(watched(), max_layer)
-        if digest.digest() in seen or not _packed(head):
+        chunks = _long_stretches(watched(level()), max_layer, long)
+        if own:
+            yield from _texts(chunks, max_layer)
+        else:
+            for _ in chunks:
+                pass
+        if digest.digest() in seen:
             return
         seen.add(digest.digest())
-        depth += 1
+        for start, end in long:
+            yield from _unwrap_long(level, start, end, max_layer, seen)
+        if not _packed(head):
+            return
+        depth, own = depth + 1, True
+
+
+def _long_stretches(chunks: Iterator[bytes], least: int, found: list[tuple[int, int]]) -> Iterator[bytes]:
+    """The chunks; places of base64 stretches longer than ``least`` that a cut can go through are put into ``found``."""
+    at = begin = 0
+    for chunk in chunks:
+        lead = len(chunk) - len(chunk.lstrip(STRETCH))
+        if lead < len(chunk):
+            if at + lead - begin > least:
+                found.append((begin, at + lead))
+            begin = at + len(chunk.rstrip(STRETCH))
+        at += len(chunk)
+        yield chunk
+    if at - begin > least:
+        found.append((begin, at))
+
+
+def _part(chunks: Iterator[bytes], start: int, end: int) -> Iterator[bytes]:
+    at = 0
+    for chunk in chunks:
+        if part := chunk[max(0, start - at) : max(0, end - at)]:
+            yield part
+        at += len(chunk)
+        if at >= end:
+            return
+
+
+def _decoded(chunks: Iterator[bytes], step: int) -> Iterator[bytes]:
+    """Bytes of a base64 stretch, given in pieces, from its sign ``step`` on."""
+    rest = b""
+    for chunk in chunks:
+        rest += chunk.translate(ONE_ALPHABET_BYTES, BREAKS)
+        whole = (len(rest) - step) // 4 * 4
+        if whole > 0:
+            yield base64.b64decode(rest[step : step + whole])
+            rest, step = rest[step + whole :], 0
+    rest = rest[step:]
+    rest = rest[: len(rest) - (len(rest) % 4 == 1)]
+    if rest:
+        yield base64.b64decode(rest + b"=" * (-len(rest) % 4))
+
+
+def _goes_on(signs: bytes) -> tuple[bool, bool]:
+    """Whether a base64 stretch's first signs are of a stream with a mark, or of raw deflate, that doesn't end in them."""
+    signs = signs.translate(ONE_ALPHABET_BYTES, BREAKS)
+    raw = base64.b64decode(signs[: len(signs) // 4 * 4])
+    if marked := _packed(raw.lstrip(b"\0")):
+        raw = raw.lstrip(b"\0")
+        if raw[:3] in (b"BZh", XZ):
+            return True, False
+    elif not _can_deflate(raw):
+        return False, False
+    one = zlib.decompressobj(47 if marked else -15)
+    try:
+        one.decompress(raw)
+    except zlib.error:
+        return False, False
+    return marked and not one.eof, not marked and not one.eof
+
+
+def _opens(chunks: Iterator[bytes], at: int, probe: int) -> Iterator[tuple[int, bool]]:
+    """Where streams start that go on beyond ``probe`` signs in a stretch that begins at ``at``, and whether they are raw deflate; shorter ones lie in a piece."""
+    held, first = b"", True
+    for chunk in chunks:
+        held += chunk
+        upto = max(0, len(held) - probe)
+        places = {0} if first and upto else set()
+        for m in OPENS.finditer(held, 0, upto):
+            places |= {m.start() + 1, m.end()}
+        for place in sorted(places):
+            if any(_goes_on(held[place : place + 256])):
+                marked, raw = _goes_on(held[place : place + probe])
+                if marked or raw:
+                    yield at + place, raw
+        first = first and not upto
+        held, at = held[upto:], at + upto
+
+
+def _unwrap_long(level: Callable[[], Iterator[bytes]], start: int, end: int, max_layer: int, seen: set[bytes]) -> Iterator[str]:
+    """Texts that are packed in a base64 stretch of a stream which is longer than a piece, and so is never held.
+
+    What stands in it plainly is found in the overlapping pieces.
+    """
+    for step in range(4):
+        yield from _unwrap(lambda step=step: _decoded(_part(level(), start, end), step), max_layer, 0, False, seen)
+    for at, raw in _opens(_part(level(), start, end), start, min(1 << 16, max_layer // 2)):
+        source = lambda at=at: _decoded(_part(level(), at, end), 0)
+        if raw:
+            yield from _unwrap(lambda source=source: _raw_deflate(source(), max_layer), max_layer, 0, True, seen)
+        else:
+            yield from _unwrap(source, max_layer, 1, True, seen)
 
 
 def _percent(run: str) -> list[tuple[str, int]]:

@@ -472,3 +472,18 @@ def test_secrets_stand_anywhere_in_long_texts(frame):
     assert len(text) > 6_000_000 and (r.n_assign, r.n_access, r.n_hex) == (5, 5, 5)
     assert sum(int(x.split(":")[2]) - int(x.split(":")[1]) == len(packed) for x in r.spans.split(",")) == 15
     assert int(r.spans.split(",")[-1].split(":")[2]) == len(text) - 1
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress, lzma.compress, DEFLATE])
+@pytest.mark.parametrize("lead", ["", "x ", "data/", "a-b/"])
+def test_secrets_packed_in_base64_longer_than_a_piece_of_a_stream(pack, lead):
+    """What base64 in a stream holds is unpacked to its end, also where the stretch is longer than the stream's pieces."""
+    rnd = random.Random(31)
+    raw = " ".join(str(rnd.random()) for _ in range(400)) + " token = 'abcdefgh12' AKIA" + "A" * 16 + " " + "0" * 40
+    inner = b64(pack(raw.encode()))
+    wrapped = "\n".join(inner[i : i + 76] for i in range(0, len(inner), 76))
+    for text in (inner,) if "/" in lead else (inner, wrapped, b64(inner)):
+        for outer in (gzip.compress, DEFLATE):
+            code = b64(outer(f"Before: {lead}{text}; after it.".encode()))
+            for max_layer in (1500, secrets.MAX_LAYER):
+                assert {(4, kind, 4 + len(code)) for kind in (0, 1, 2)} <= set(secrets.find_secrets(f"see {code}.", max_layer)[1]), (max_layer, outer)
